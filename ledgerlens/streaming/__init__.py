@@ -1,0 +1,3 @@
+"""The engine has no stream operators of its own. Row-wise steps (column
+rules, bins on fitted edges, lookups, model scoring) hold no state, so they
+also take a streaming DataFrame; ``tests/test_streaming.py`` shows it."""
