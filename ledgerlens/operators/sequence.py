@@ -42,15 +42,6 @@ def ordered_slices(df: DataFrame, order: Sequence[str], n: int | None = None) ->
     return stage(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
-def running_total(slices: DataFrame, weight: Column) -> DataFrame:
-    """``(_slice, _before)``: total weight in earlier slices. One row per slice."""
-    totals = slices.groupBy("_slice").agg(F.sum(weight).alias("_w"))
-    earlier = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    return totals.select(
-        "_slice", F.coalesce(F.sum("_w").over(earlier), F.lit(0)).cast("long").alias("_before")
-    )
-
-
 def next_event(
     df: DataFrame,
     key: str,
