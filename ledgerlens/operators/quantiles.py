@@ -3,8 +3,8 @@
 A quantile sketch, merged on the map side, brackets every wanted rank in a
 narrow value range; one aggregate counts exactly the rows below and inside the
 ranges. Only the rows inside are exchanged, as counts per value, so a value
-held by a third of the rows is one row. If they are still many, they are put
-in order over many slices and only slices with a wanted rank are numbered.
+held by a third of the rows is one row. If they are still many values, they are
+put in order over many slices and only slices with a wanted rank are numbered.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import cut_right, plain_number, range_label
+from ..session import stage
 from .sequence import ordered_slices
 
 DIRECT_ROWS = 200_000
@@ -155,6 +156,9 @@ def order_statistics(
                         break
                     kept += inside
     kept_rows = sum(r[3] for rs in ranges.values() for r in rs)
+    if kept_rows > direct_rows:
+        counts = stage(counts, "value-counts")
+        kept_rows = counts.count()
     found = (
         _pick_directly(counts, wanted) if kept_rows <= direct_rows else _pick_by_slice(counts, wanted)
     )

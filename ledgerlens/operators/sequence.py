@@ -23,8 +23,13 @@ from ..session import shuffle_partitions, stage
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Staged table of keys with more than ``hot_rows`` rows, None if there are none."""
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
+    """Staged table of keys with more than ``hot_rows`` rows, None if there are none.
+
+    Pass None for ``hot_rows`` only where a bound on the rows of a key is known.
+    """
+    if hot_rows is None:
+        return None
     heavy = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
@@ -48,7 +53,7 @@ def next_event(
     when: str,
     row_id: str,
     take: Mapping[str, str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add per row: ordinal, rows of the key, and the next row's columns.
 
@@ -150,7 +155,7 @@ def thin_recent(
     when: str,
     row_id: str,
     days: int = 30,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Keep the last row of every run of transactions close to the run's first.
 

@@ -10,6 +10,7 @@ from ..functions.columns import coerce_timestamp, plain_number
 from ..operators.periods import Period, split_by_period
 from ..operators.quality import require_columns
 from ..operators.sequence import HOT_ROWS, next_event, thin_recent
+from ..session import stage
 from .settings import DATE_COLUMNS, FILTER_COLUMNS, PRICE_COLUMNS, Preparation
 
 # Fixed values for a customer's last purchase.
@@ -76,6 +77,8 @@ def extract(
     )
     if settings.evaluation is None:
         return sales, None, None
+    # the split looks for the date bounds first
+    sales = stage(sales, "thinned")
     return split_by_period(sales, "spa_date", *settings.evaluation, settings.after_end)
 
 
@@ -87,7 +90,7 @@ def label_next_purchase(
     kind: str = "phase_property_type",
     price: str = "non_land_posted_selling_price",
     stamp: str = "spa_stamp_date",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Label each purchase with the customer's next one.
 

@@ -1,0 +1,89 @@
+import datetime as dt
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.functions.columns import (
+    coerce_timestamp, differs, first_valid, hash_bucket, is_sentinel, not_in_keep_null, parity_value,
+    plain_number, ratio_band, row_hash, safe_ratio, strip, strip_upper, whole_days, within_tolerance,
+)
+
+NAN = float("nan")
+
+
+def run(spark, values, kind, expression):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
+    return [r[0] for r in df.orderBy("i").select(expression(F.col("x"))).collect()]
+
+
+def test_strip_takes_all_whitespace(spark):
+    assert run(spark, ["\t a b \n", "", None], "string", strip) == ["a b", "", None]
+    assert run(spark, [" nric no. \r"], "string", strip_upper) == ["NRIC NO."]
+
+
+def test_null_safe_filters(spark):
+    assert run(spark, ["a", "b", None], "string", lambda c: not_in_keep_null(c, ["a"])) == [False, True, True]
+    assert run(spark, [0, 1, None], "int", lambda c: differs(c, 1)) == [True, False, True]
+    assert run(spark, [" others", None, "x"], "string", lambda c: is_sentinel(c, ["OTHERS"])) == [True, False, False]
+
+
+def test_first_valid(spark):
+    rows = [(None, "b"), ("-", "b"), ("a", "b"), (" - ", None)]
+    df = spark.createDataFrame(rows, "p string, q string")
+    out = df.select(first_valid([(F.col("p"), ["-"]), (F.col("q"), ["-"])], F.lit("z")))
+    assert [r[0] for r in out.collect()] == ["b", "b", "a", "z"]
+
+
+def test_parity(spark):
+    got = run(spark, ["901", "90A", "12", "", None], "string", lambda c: parity_value(c, "MALE", "FEMALE"))
+    assert got == ["MALE", None, "FEMALE", None, None]
+
+
+def test_ratio(spark):
+    rows = [(0.0, 0.0), (5.0, 0.0), (-5.0, 0.0), (1.0, 4.0), (None, 4.0), (1.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    out = [r[0] for r in df.select(safe_ratio(F.col("a"), F.col("b"))).collect()]
+    assert out == [None, float("inf"), float("-inf"), 0.25, None, None]
+    bands = run(spark, [0.0, 0.0999, 0.1, -0.1, None, float("inf")], "double", ratio_band)
+    assert bands == ["NO REBATE", "< 10% REBATE", "> 10% REBATE", None, None, "> 10% REBATE"]
+
+
+def test_tolerance_bounds_are_inside(spark):
+    low, high = 250.0, 500.0
+    values = [low * 0.8, low * 0.8 - 1e-6, high * 1.2, high * 1.2 + 1e-6, None]
+    got = run(spark, values, "double", lambda c: within_tolerance(c, F.lit(low), F.lit(high)))
+    assert got == [True, False, True, False, None]
+
+
+def test_whole_days_are_floored(spark):
+    base = dt.datetime(2020, 1, 1)
+    got = run(
+        spark, [base + dt.timedelta(days=30, hours=23), base + dt.timedelta(days=31), None], "timestamp_ntz",
+        lambda c: whole_days(c, F.lit("2020-01-01").cast("timestamp_ntz")),
+    )
+    assert got == [30, 31, None]
+
+
+def test_coercion(spark):
+    got = run(spark, ["2020-02-30", "2020-02-29", "x", None], "string", lambda c: coerce_timestamp(c, "yyyy-MM-dd"))
+    assert [v is not None for v in got] == [False, True, False, False]
+    assert run(spark, [NAN, 1.5, None], "double", plain_number) == [None, 1.5, None]
+
+
+def test_hash_does_not_depend_on_partitions(spark):
+    df = spark.range(100)
+    a = {r[0]: (r[1], r[2]) for r in df.repartition(3).select("id", row_hash(["id"], 1), hash_bucket(["id"], 1)).collect()}
+    b = {r[0]: (r[1], r[2]) for r in df.repartition(9).select("id", row_hash(["id"], 1), hash_bucket(["id"], 1)).collect()}
+    assert a == b
+    assert all(int(h[:4], 16) == n for h, n in a.values())
+
+
+@pytest.mark.parametrize("value,expected", [("N/A", True), ("NOT APPLICABLE", False), ("nan", True)])
+def test_na_tokens_agree_with_pandas(value, expected):
+    import io
+
+    from ledgerlens.plans.settings import NA_TOKENS
+
+    assert (value in NA_TOKENS) is expected
+    assert bool(pd.read_csv(io.StringIO(f"x,y\n{value},1\n"))["x"].isna()[0]) is expected

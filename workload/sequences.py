@@ -132,7 +132,8 @@ from l group by 1, 2
 def flagship(spark, d):
     """Thin, label the next purchase, and sum up by year and property type."""
     sales = thin_recent(select(spark, d, SALES), "customer", "spa_date", "sales_id")
-    labelled = label_next_purchase(sales, "customer")
+    # thinned sales of a customer are at least 31 days apart, so no customer is hot
+    labelled = label_next_purchase(sales, "customer", hot_rows=None)
     cents = F.round(F.col("non_land_posted_selling_price") * 100).cast("long")
     return labelled.groupBy(F.year("spa_date").cast("long").alias("spa_year"), "phase_property_type").agg(
         F.count(F.lit(1)).alias("purchases"),
