@@ -8,6 +8,7 @@ adaptive execution splits skewed partitions. No broadcast is forced here.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -63,6 +64,13 @@ def map_values(
 ) -> DataFrame:
     """Map the stripped, upper-cased column through a mapping table."""
     table = stage(mapping_table(mapping, key, value, normalise_key), "mapping")
+    return attach_mapped(df, column, table, out, default)
+
+
+def attach_mapped(
+    df: DataFrame, column: str, table: DataFrame, out: str, default: str = UNMAPPED
+) -> DataFrame:
+    """Join a ``(_key, _value)`` table of unique keys on the normalised column."""
     joined = df.withColumn("_key", strip_upper(F.col(column))).join(table, "_key", "left")
     return joined.withColumn(out, F.coalesce("_value", F.lit(default))).drop("_key", "_value")
 
@@ -88,7 +96,12 @@ def duplicate_keys(mapping: DataFrame, key: str) -> DataFrame:
 
 def require_unique_keys(mappings: Mapping[str, tuple[DataFrame, str]]) -> None:
     """Raise when any mapping table ``{name: (table, key)}`` repeats a key."""
-    bad = [n for n, (table, key) in mappings.items() if not duplicate_keys(table, key).isEmpty()]
+    keys = reduce(
+        DataFrame.unionByName,
+        [t.select(F.lit(n).alias("name"), F.col(k).alias("key")) for n, (t, k) in mappings.items()],
+    )
+    twice = keys.groupBy("name", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    bad = [r["name"] for r in twice.select("name").distinct().orderBy("name").collect()]
     if bad:
         raise ValueError(f"duplicate mapping keys in {bad}")
 
@@ -120,15 +133,20 @@ def attach_range(
     )
 
 
-def attach_group(df: DataFrame, group: str, aggregates: Mapping[str, Column]) -> DataFrame:
+def attach_group(
+    df: DataFrame, group: str, aggregates: Mapping[str, Column], source: DataFrame | None = None
+) -> DataFrame:
     """Join per-group aggregates back, null for rows without a group.
 
+    They are taken from ``source`` if given, else from ``df`` itself.
+
     Aggregate and join rather than a window: the aggregate combines on the map
     side, so a group with a third of the rows is one row when it is exchanged,
     and the wide rows are not sorted. The staged table is broadcast if small.
     """
     table = (
-        df.where(F.col(group).isNotNull())
+        (df if source is None else source)
+        .where(F.col(group).isNotNull())
         .groupBy(group)
         .agg(*[c.alias(n) for n, c in aggregates.items()])
     )

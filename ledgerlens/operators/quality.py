@@ -52,3 +52,15 @@ def unmapped_report(unmapped: DataFrame, column: str, stage_name: str) -> DataFr
         F.col("value"),
         "n",
     )
+
+
+def removed_report(before: DataFrame, after: DataFrame, stage_name: str, issue: str) -> DataFrame:
+    """How many rows a step took out, counted only when the report is read."""
+    n = after.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return before.agg((F.count(F.lit(1)) - n).alias("n")).select(
+        F.lit(stage_name).alias("stage"),
+        F.lit(None).cast("string").alias("column"),
+        F.lit(issue).alias("issue"),
+        F.lit(None).cast("string").alias("value"),
+        "n",
+    )

@@ -20,22 +20,26 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import shuffle_partitions, stage
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 100_000
+SAMPLE_HITS = 1_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
-    """Staged table of keys with more than ``hot_rows`` rows, None if there are none.
+    """Staged table of the keys to split, None if there are none.
 
-    Pass None for ``hot_rows`` only where a bound on the rows of a key is known.
+    Every key with more than ``hot_rows`` rows is in it. Pass None for ``hot_rows`` only where a bound on the rows of a key is known.
     """
     if hot_rows is None:
         return None
+    rows = df.where(F.col(key).isNotNull()).select(key)
+    limit = hot_rows
+    if hot_rows > SAMPLE_HITS:
+        # a sample is enough: a hot key has a thousand hits in it, and a key
+        # that is split without need costs time only
+        fraction = SAMPLE_HITS / hot_rows
+        rows, limit = rows.sample(fraction, seed=1), SAMPLE_HITS // 2
     heavy = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(key)
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(key)
     )
     return None if heavy.isEmpty() else stage(heavy, "hot-keys")
 
@@ -165,15 +169,17 @@ def thin_recent(
     the instant are ordered by ``row_id``, which must be unique.
     """
     df = df.where(F.col(key).isNotNull())
-    undated = df.where(F.col(when).isNull())
-    dated = df.where(F.col(when).isNotNull())
-    hot = hot_keys(dated, key, hot_rows)
+    hot = hot_keys(df, key, hot_rows)
     if hot is None:
-        return _thin_by_island(dated, key, when, row_id, days).unionByName(undated)
-    usual = _thin_by_island(dated.join(hot, key, "left_anti"), key, when, row_id, days)
-    heavy = dated.join(hot, key, "left_semi")
-    kept = _thin_by_day(heavy.select(key, when, row_id), key, when, row_id, days)
-    return usual.unionByName(heavy.join(kept, row_id, "left_semi")).unionByName(undated)
+        return _thin_by_island(df, key, when, row_id, days)
+    usual = _thin_by_island(df.join(hot, key, "left_anti"), key, when, row_id, days)
+    heavy = df.join(hot, key, "left_semi")
+    dated = heavy.where(F.col(when).isNotNull())
+    kept = _thin_by_day(dated.select(key, when, row_id), key, when, row_id, days)
+    return (
+        usual.unionByName(dated.join(kept, row_id, "left_semi"))
+        .unionByName(heavy.where(F.col(when).isNull()))
+    )
 
 
 def _reach(days: int) -> Column:
@@ -189,7 +195,7 @@ def _thin_by_island(df, key, when, row_id, days):
     at once (``_from``), and so is that run's last row. Only rows past the
     first run go to the fold, which reuses the exchange on the key.
     """
-    ordered = W.partitionBy(key).orderBy(when, row_id)
+    ordered = W.partitionBy(key).orderBy(F.col(when).asc_nulls_last(), row_id)
     at, reach = F.col(when), _reach(days)
     before = F.lag(when).over(ordered)
     marked = df.withColumns(
@@ -200,7 +206,7 @@ def _thin_by_island(df, key, when, row_id, days):
     ).withColumn("_from", F.max("_start").over(ordered))
     first_run = at < F.col("_from") + reach
     run_ends = F.col("_next").isNull() | (F.col("_next") >= F.col("_from") + reach)
-    easy = marked.where(first_run & run_ends).select(df.columns)
+    easy = marked.where(at.isNull() | (first_run & run_ends)).select(df.columns)
 
     row = F.struct(at.alias("_at"), F.col(row_id).alias("_id"), F.struct(df.columns).alias("_row"))
     rest = marked.where(~first_run).groupBy(key, "_from").agg(

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import coerce_timestamp, plain_number
 from ..operators.periods import Period, split_by_period
-from ..operators.quality import require_columns
+from ..operators.quality import removed_report, require_columns
 from ..operators.sequence import HOT_ROWS, next_event, thin_recent
 from ..session import stage
 from .settings import DATE_COLUMNS, FILTER_COLUMNS, PRICE_COLUMNS, Preparation
@@ -50,10 +51,16 @@ def join_views(
     return a.join(b, on, "inner")
 
 
-def extract(
-    df: DataFrame, settings: Preparation, hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None, Period | None]:
-    """(sales, evaluation slice, period); the last two only with an evaluation period."""
+@dataclass(frozen=True)
+class Extraction:
+    sales: DataFrame
+    report: DataFrame
+    evaluation: DataFrame | None = None
+    period: Period | None = None
+
+
+def extract(df: DataFrame, settings: Preparation, hot_rows: int = HOT_ROWS) -> Extraction:
+    """Filtered, joined and thinned sales, cut at the evaluation period if there is one."""
     require_columns(df, DATE_COLUMNS, "for date conversion")
     require_columns(df, FILTER_COLUMNS, "for filtering")
     columns = list(dict.fromkeys([*settings.columns, settings.key]))
@@ -64,7 +71,7 @@ def extract(
     df = df.withColumn(settings.key, F.col(settings.key).cast("string"))
     df = df.withColumns({c: plain_number(F.col(c)) for c in PRICE_COLUMNS})
     sold = {"project_country": settings.country, "last_sales_status": settings.sale_status}
-    sales = join_views(
+    joined = join_views(
         df,
         "sales_id",
         {**sold, "date_type": settings.attribute_view},
@@ -72,14 +79,19 @@ def extract(
         {**sold, "date_type": settings.price_view},
         PRICE_COLUMNS,
     )
-    sales = thin_recent(
-        sales, settings.key, "spa_date", "sales_id", settings.thin_days, hot_rows
+    # read by the report, the statistics and the search for date bounds
+    sales = stage(
+        thin_recent(joined, settings.key, "spa_date", "sales_id", settings.thin_days, hot_rows),
+        "thinned",
     )
+    known = joined.where(F.col(settings.key).isNotNull())
+    report = removed_report(known, sales, "extraction", "recent purchases removed")
     if settings.evaluation is None:
-        return sales, None, None
-    # the split looks for the date bounds first
-    sales = stage(sales, "thinned")
-    return split_by_period(sales, "spa_date", *settings.evaluation, settings.after_end)
+        return Extraction(sales, report)
+    train, evaluation, period = split_by_period(
+        sales, "spa_date", *settings.evaluation, settings.after_end
+    )
+    return Extraction(train, report, evaluation, period)
 
 
 def label_next_purchase(

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import not_in_keep_null, ratio_band, safe_ratio
 from ..operators.lookup import (
-    attach_group, map_values, require_unique_keys, unmapped_values,
+    attach_group, attach_mapped, mapping_table, require_unique_keys, unmapped_values,
 )
 from ..operators.quality import unmapped_report
 from ..operators.quantiles import Cut, bin_columns
+from ..session import stage
 from .clean import COMPANY, ID_TYPE, NOT_APPLICABLE
 from .settings import DROPPED_SALES
 
@@ -63,16 +65,19 @@ def completion(kind: Column, years: Column) -> Column:
     return out.otherwise("UNKNOWN")
 
 
-def years_since_first(df: DataFrame, group: str, date: str, out: str) -> DataFrame:
+def years_since_first(
+    df: DataFrame, group: str, date: str, out: str, source: DataFrame | None = None
+) -> DataFrame:
     """Years between a row's date and the first date of its group."""
     return (
-        attach_group(df, group, {"_first": F.min(date)})
+        attach_group(df, group, {"_first": F.min(date)}, source)
         .withColumn(out, F.year(date) - F.year("_first"))
         .drop("_first")
     )
 
 
 def add_features(df: DataFrame) -> DataFrame:
+    source = df
     df = df.withColumn(
         "derived_rebate_percentage",
         safe_ratio(
@@ -80,8 +85,8 @@ def add_features(df: DataFrame) -> DataFrame:
             F.col("derived_non_land_posted_selling_price"),
         ),
     )
-    df = years_since_first(df, "project_name", "spa_date", "_project_years")
-    df = years_since_first(df, "phase", "spa_date", "_phase_years")
+    df = years_since_first(df, "project_name", "spa_date", "_project_years", source)
+    df = years_since_first(df, "phase", "spa_date", "_phase_years", source)
     return df.withColumns(
         {
             "derived_township_maturity": maturity(F.col("_project_years")),
@@ -98,16 +103,22 @@ def group_values(df: DataFrame, mappings: dict[str, DataFrame]) -> tuple[DataFra
     if missing:
         raise ValueError(f"missing mapping tables {missing}")
     require_unique_keys({n: (t, t.columns[1]) for n, t in mappings.items()})
-    report = None
-    out = df
-    for column, name, target, normalise in GROUPS:
+    tables, reports = [], []
+    for column, name, _, normalise in GROUPS:
         table = mappings[name]
         key, value = table.columns[1], table.columns[3]
-        out = map_values(out, column, table, key, value, target, normalise_key=normalise)
-        lost = unmapped_report(
-            unmapped_values(df, column, table, key, value, normalise), column, "group"
+        tables.append(
+            mapping_table(table, key, value, normalise).withColumn("_name", F.lit(name))
         )
-        report = lost if report is None else report.unionByName(lost)
+        lost = unmapped_values(df, column, table, key, value, normalise)
+        reports.append(unmapped_report(lost, column, "group"))
+    # one small staged table for all mappings
+    staged = stage(reduce(DataFrame.unionByName, tables), "mappings")
+    out = df
+    for column, name, target, _ in GROUPS:
+        table = staged.where(F.col("_name") == name).drop("_name")
+        out = attach_mapped(out, column, table, target)
+    report = reduce(DataFrame.unionByName, reports)
     income = "group_derived_contact_annual_income"
     company = F.col(ID_TYPE) == COMPANY
     return out.withColumn(income, F.when(company, NOT_APPLICABLE).otherwise(F.col(income))), report

@@ -28,9 +28,8 @@ def prepare(
 ) -> Prepared:
     """Extract, label, clean, add features, group and bin.
 
-    Stage tables are written where a later step reads its input more than
-    once: extraction (statistics), cleaning (group minima) and grouping (bin
-    edges). With ``save_dir`` every phase's table is kept under its name.
+    Tables are staged where a later step reads its input more than once: after
+    thinning (statistics), cleaning (group minima) and grouping (bin edges). With ``save_dir`` every phase's table is kept under its name.
     """
 
     def keep(df: DataFrame, name: str, barrier: bool) -> DataFrame:
@@ -38,10 +37,11 @@ def prepare(
             return write_stage(df, settings.save_dir, name)
         return stage(df, name) if barrier else df
 
-    sales, evaluation, _ = extract(raw, settings, hot_rows)
+    extracted = extract(raw, settings, hot_rows)
+    evaluation = extracted.evaluation
     if evaluation is not None:
-        evaluation = keep(evaluation, "eval_slice", barrier=True)
-    sales = keep(sales, "extraction", barrier=True)
+        evaluation = keep(evaluation, "eval_slice", barrier=False)
+    sales = keep(extracted.sales, "extraction", barrier=False)
     if settings.with_label:
         sales = label_next_purchase(sales, settings.key, hot_rows=hot_rows)
         sales = keep(sales, "label", barrier=True)
@@ -51,7 +51,8 @@ def prepare(
     grouped, unmapped = group_values(featured, lookups.mappings)
     grouped = keep(grouped, "group", barrier=True)
     binned = keep(bin_values(grouped, settings.dropped_sales), "bin", barrier=False)
-    return Prepared(binned, evaluation, dropped.unionByName(unmapped))
+    report = extracted.report.unionByName(dropped).unionByName(unmapped)
+    return Prepared(binned, evaluation, report)
 
 
 def resume_or_prepare(

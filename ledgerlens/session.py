@@ -28,9 +28,19 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def staged_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/ledgerlens/{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables, once their frames are done with."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(staged_dir(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/ledgerlens/{label}-{uuid.uuid4().hex}"
+    path = f"{staged_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

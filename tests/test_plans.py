@@ -43,3 +43,11 @@ def test_big_lookups_are_not_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
+
+
+def test_thinning_shuffles_the_rows_once(spark):
+    plan = physical(entry.queries()["thin_recent"](spark, SMALL))
+    assert plan.count("Exchange hashpartitioning") == 2  # the second is reused when it runs
+    df = entry.queries()["thin_recent"](spark, SMALL)
+    df.collect()
+    assert "ReusedExchange" in physical(df) or "Reused" in physical(df)

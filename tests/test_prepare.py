@@ -32,7 +32,8 @@ def cleaned(raw, lookups):
 
 
 def test_extract_joins_views_and_thins(raw):
-    sales, evaluation, _ = extract(raw, SETTINGS)
+    done = extract(raw, SETTINGS)
+    sales = done.sales
     rows = [dict(zip(NAMES, r)) for r in make_sales()]
     sold = [r for r in rows if r["project_country"] == "Malaysia" and r["last_sales_status"] == "Sold"]
     priced = {r["sales_id"] for r in sold if r["date_type"] == "spa_month_type"}
@@ -40,6 +41,7 @@ def test_extract_joins_views_and_thins(raw):
     for r in sold:
         if r["date_type"] == "spa_date_type" and r["sales_id"] in priced and r["contact_nric_masked"]:
             by_key.setdefault(r["contact_nric_masked"], []).append((r["spa_date"], r["sales_id"]))
+    groups = {k: list(v) for k, v in by_key.items()}
     want = set()
     for items in by_key.values():
         items.sort()
@@ -48,10 +50,12 @@ def test_extract_joins_views_and_thins(raw):
             want.add(run[-1][1])
             items = items[len(run):]
     assert {r.sales_id for r in sales.collect()} == want
-    assert evaluation is None
+    assert done.evaluation is None
+    joined = sum(len(v) for v in groups.values())
+    assert done.report.first().n == joined - len(want)
     # the customer id is named once even when it is in the column list too
     again = Preparation(columns=[*COLUMNS, "contact_nric_masked"])
-    assert extract(raw, again)[0].columns.count("contact_nric_masked") == 1
+    assert extract(raw, again).sales.columns.count("contact_nric_masked") == 1
 
 
 def test_missing_columns_are_named(raw):
@@ -130,7 +134,9 @@ def test_whole_preparation(raw, lookups, tmp_path):
     assert {p.name for p in tmp_path.iterdir()} == {
         "extraction", "label", "clean", "features", "group", "bin", "eval_slice"
     }
-    assert {r.issue for r in done.report.collect()} == {"null rows removed", "no mapping target"}
+    assert {r.issue for r in done.report.collect()} == {
+        "recent purchases removed", "null rows removed", "no mapping target"
+    }
     again = resume_or_prepare(raw.limit(0), lookups, settings)
     assert again.count() == done.rows.count() > 50
     positives = done.rows.where("label = 1").count()
