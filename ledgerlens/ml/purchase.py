@@ -84,7 +84,6 @@ def train_ensemble(
     row_id: str = "sales_id",
     date: str = "spa_date",
     label: str = "label",
-    params: Mapping | None = None,
 ) -> Ensemble:
     """One member per temporal slice; the encoder is fitted on all rows."""
     features = [c for c in settings.columns if c not in (label, date, key, row_id)]
@@ -101,7 +100,7 @@ def train_ensemble(
             part = downsample(part, label, [row_id], settings.ratio, clamp=settings.clamp)
         part = stage(part, "slice")
         member, report, weights = _fit(
-            settings.model, part, names, label, row_id, settings.validation, params
+            settings.model, part, names, label, row_id, settings.validation, settings.params
         )
         out.members.append(member)
         out.reports.append(report)
@@ -137,7 +136,6 @@ def train_types(
     own_kind: str = "derived_phase_property_type",
     classes: Mapping[str, str] = PROPERTY_TYPES,
     exclude: Sequence[str] = tuple(EXCLUDED_TYPES),
-    params: Mapping | None = None,
 ) -> dict[str, Ensemble]:
     """One-vs-rest models, one per property type; each encoder sees its training rows only."""
     features = [c for c in settings.columns if c not in (label, date, key, row_id, next_kind, own_kind)]
@@ -155,7 +153,7 @@ def train_types(
     out = {}
     for t in classes:
         target = f"_is_{t}"
-        member = fit_member(settings.model, train, target, row_id, params)
+        member = fit_member(settings.model, train, target, row_id, settings.params)
         report = None
         if settings.validation > 0:
             scored = member.score(held, "_p").withColumn("_y", at_least(F.col("_p"), 0.5))
@@ -174,11 +172,6 @@ def load_types(spark, path: str, settings: TypeModel) -> dict[str, Ensemble]:
     return {t: Ensemble.load(spark, f"{path}/{t}", settings.model, 1) for t in settings.types}
 
 
-def predict(model: Ensemble, df: DataFrame, threshold: float) -> DataFrame:
-    """The input rows with probability and predicted label."""
-    return model.score(df, threshold)
-
-
 def evaluate(
     model: Ensemble, df: DataFrame, key: str, truth: str, threshold: float
 ) -> tuple[DataFrame, DataFrame]:

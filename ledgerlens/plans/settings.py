@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -77,6 +77,7 @@ class PurchaseModel:
     clamp: bool = False
     validation: float = 0.2
     threshold: float = 0.6
+    params: Mapping = field(default_factory=dict)
 
     def __post_init__(self):
         check_model(self.model, self.validation)
@@ -97,6 +98,7 @@ class TypeModel:
     validation: float = 0.2
     threshold: float = 0.5
     types: Sequence[str] = tuple(PROPERTY_TYPES)
+    params: Mapping = field(default_factory=dict)
 
     def __post_init__(self):
         check_model(self.model, self.validation)

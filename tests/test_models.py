@@ -104,8 +104,8 @@ def test_one_hot_null_is_no_class(spark):
 
 
 def test_ensemble_and_cascade(spark, rows, tmp_path):
-    settings = PurchaseModel(columns=COLUMNS, splits=2, clamp=True)
-    model = train_ensemble(rows, settings, "customer", params=PARAMS["random_forest"])
+    settings = PurchaseModel(columns=COLUMNS, splits=2, clamp=True, params=PARAMS["random_forest"])
+    model = train_ensemble(rows, settings, "customer")
     assert len(model.members) == 2 and len(model.reports) == 2
     assert {r["class"] for r in model.reports[0].collect()} >= {"accuracy", "macro avg", "weighted avg"}
     predictions, metrics = evaluate(model, rows, "customer", "label", 0.6)
@@ -122,7 +122,9 @@ def test_ensemble_and_cascade(spark, rows, tmp_path):
     saved = spark.read.parquet(str(tmp_path / "rp" / "feature_importance_1")).collect()
     assert len(saved) == 7
 
-    types = train_types(rows, TypeModel(columns=["colour", "size"]), "customer", params=PARAMS["random_forest"])
+    types = train_types(
+        rows, TypeModel(columns=["colour", "size"], params=PARAMS["random_forest"]), "customer"
+    )
     save_types(types, str(tmp_path / "pt"))
     types = load_types(spark, str(tmp_path / "pt"), TypeModel())
     assert list(types) == ["landed", "high_rise", "commercial"]
