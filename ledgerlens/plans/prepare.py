@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,6 +37,11 @@ def prepare(
             return write_stage(df, settings.save_dir, name)
         return stage(df, name) if barrier else df
 
+    # staged, the lookups have a known size and small ones are broadcast
+    lookups = replace(
+        lookups,
+        **{n: stage(getattr(lookups, n), n) for n in ("id_type", "nationality", "city", "area_range")},
+    )
     extracted = extract(raw, settings, hot_rows)
     evaluation = extracted.evaluation
     if evaluation is not None:

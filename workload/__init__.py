@@ -1,4 +1,4 @@
 """Checked queries: every operator on the given tables, with its SQL twin."""
 
-from . import bins, cleaning, labels, lookups, models, samples, sequences  # noqa: F401
+from . import bins, cleaning, labels, lookups, models, samples, sequences, whole  # noqa: F401
 from .registry import oracle_sql, queries  # noqa: F401

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import (
-    is_sentinel, ratio_band, safe_ratio, strip_upper,
+    at_least, is_sentinel, parity_value, ratio_band, safe_ratio, strip_upper, whole_days,
 )
-from ledgerlens.operators.quality import drop_nulls, drop_report
-from ledgerlens.operators.stats import mean_value, mode_value, null_counts
+from ledgerlens.operators.quality import drop_nulls, drop_report, removed_report
+from ledgerlens.operators.stats import distinct_values, mean_value, mode_value, null_counts
 from ledgerlens.plans import clean as rules
 from ledgerlens.plans.clean import clean_area
 from ledgerlens.sources.tables import normalise_na
 
-from .registry import plain, query, select
+from .registry import plain, query, select, table
 
 PEOPLE = """
 select c_custkey,
@@ -341,3 +341,42 @@ from q
 def area(spark, d):
     out = clean_area(select(spark, d, AREAS), select(spark, d, AREA_RANGES), out="area")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("area", 4).alias("area"))
+
+
+@query(
+    "whole_days",
+    """select o_orderkey, cast(floor(epoch(timestamp '2001-08-02 06:00:00' - o_orderdate) / 86400) as bigint) as days from orders""",
+)
+def days(spark, d):
+    end = F.lit("2001-08-02 06:00:00").cast("timestamp_ntz")
+    return table(spark, d, "orders").select("o_orderkey", whole_days(end, c("o_orderdate")).alias("days"))
+
+
+@query("distinct_values", "select distinct o_orderpriority from orders")
+def distinct(spark, d):
+    return distinct_values(table(spark, d, "orders"), "o_orderpriority")
+
+
+@query(
+    "removed_report",
+    P + """select 'x' as stage, cast(null as string) as "column", 'removed' as issue, cast(null as string) as value,
+                  count(*) - count(nation) as n from p""",
+)
+def removed(spark, d):
+    p = _people(spark, d)
+    return removed_report(p, p.where("nation is not null"), "x", "removed")
+
+
+@query("parity_value", P + "select c_custkey, case when right(nric, 1) between '0' and '9' then case when cast(right(nric, 1) as int) % 2 = 1 then 'odd' else 'even' end end as parity from p")
+def parity(spark, d):
+    return _people(spark, d).select("c_custkey", parity_value(c("nric"), "odd", "even").alias("parity"))
+
+
+@query(
+    "class_threshold",
+    "select l_orderkey, l_linenumber, l_partkey, cast(l_discount >= 0.05 as int) as predicted from lineitem",
+)
+def threshold(spark, d):
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", at_least(c("l_discount"), 0.05).alias("predicted")
+    )
