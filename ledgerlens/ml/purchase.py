@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import at_least, differs, not_in_keep_null
 from ..operators.quality import require_columns
-from ..operators.sampling import downsample, split_exact, temporal_splits
+from ..operators.sampling import downsample_slices, hold_out, split_exact, temporal_splits
 from ..operators.stats import binary_metrics, class_report
 from ..plans.settings import EXCLUDED_TYPES, PROPERTY_TYPES, PurchaseModel, TypeModel
 from ..session import path_exists, stage
@@ -66,15 +66,13 @@ def soft_vote(df: DataFrame, parts: Sequence[str], threshold: float) -> DataFram
     )
 
 
-def _fit(name, data, encoder_names, label, row_id, validation, params):
-    train, held = split_exact(data, validation, [row_id])
-    train, held = stage(train, "train"), stage(held, "validation")
-    member = fit_member(name, train, label, row_id, params)
+def _fit(name, train, held, names, label, row_id, settings):
+    member = fit_member(name, train, label, row_id, settings.params)
     report = None
-    if validation > 0:
+    if settings.validation > 0:
         scored = member.score(held, "_p").withColumn("_y", at_least(F.col("_p"), 0.5))
         report = class_report(scored, label, "_y")
-    return member, report, importances(member, train, encoder_names, row_id)
+    return member, report, importances(member, train, names, row_id)
 
 
 def train_ensemble(
@@ -93,15 +91,19 @@ def train_ensemble(
     names = feature_names(encoder)
     encoded = temporal_splits(encode(encoder, df), date, settings.splits, settings.pivot_year)
     encoded = stage(encoded.select(row_id, label, "split_id", FEATURES), "encoded")
-    out = Ensemble(encoder, [])
-    for i in range(1, settings.splits + 1):
-        part = encoded.where(F.col("split_id") == i)
-        if settings.down_sampling:
-            part = downsample(part, label, [row_id], settings.ratio, clamp=settings.clamp)
-        part = stage(part, "slice")
-        member, report, weights = _fit(
-            settings.model, part, names, label, row_id, settings.validation, settings.params
+    slices = list(range(1, settings.splits + 1))
+    rows = encoded.where(F.col("split_id").isin(slices))
+    if settings.down_sampling:
+        rows = downsample_slices(
+            rows, "split_id", slices, label, [row_id], settings.ratio, clamp=settings.clamp
         )
+    rows = stage(rows, "slices")
+    rows = stage(hold_out(rows, "split_id", slices, settings.validation, [row_id], "_held"), "held")
+    out = Ensemble(encoder, [])
+    for i in slices:
+        part = rows.where(F.col("split_id") == i)
+        train, held = part.where(~F.col("_held")), part.where("_held")
+        member, report, weights = _fit(settings.model, train, held, names, label, row_id, settings)
         out.members.append(member)
         out.reports.append(report)
         out.importances.append(weights)
@@ -152,13 +154,9 @@ def train_types(
     held = encode(encoder, held)
     out = {}
     for t in classes:
-        target = f"_is_{t}"
-        member = fit_member(settings.model, train, target, row_id, settings.params)
-        report = None
-        if settings.validation > 0:
-            scored = member.score(held, "_p").withColumn("_y", at_least(F.col("_p"), 0.5))
-            report = class_report(scored, target, "_y")
-        table = importances(member, train, names, row_id)
+        member, report, table = _fit(
+            settings.model, train, held, names, f"_is_{t}", row_id, settings
+        )
         out[t] = Ensemble(encoder, [member], [table], [report])
     return out
 

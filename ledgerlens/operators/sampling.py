@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 import warnings
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -19,31 +19,49 @@ MAX_SPLITS = 5
 MAX_RATIO = 5
 
 
-def hash_order_flag(df: DataFrame, n: int, ids: Sequence[str], seed: int, flag: str) -> DataFrame:
-    """Flag exactly the ``n`` rows with the smallest hashes.
+def hash_order_flag(
+    df: DataFrame, sizes: Mapping, ids: Sequence[str], seed: int, flag: str, group: str | None = None
+) -> DataFrame:
+    """Flag exactly ``sizes[g]`` rows of every group ``g``: those with the smallest hashes.
 
-    ``ids`` must identify a row. Rows fall into 65,536 hash buckets; counting
-    them finds the bucket the n-th row is in. Only that bucket, one row in
-    65,536, is ordered.
+    ``ids`` must identify a row; without ``group`` all rows are the group None.
+    Rows fall into 65,536 hash buckets per group; counting them finds the
+    bucket the last row wanted is in. Only that bucket, one row in 65,536, is
+    ordered.
     """
-    df = df.withColumns({"_b": hash_bucket(ids, seed)})
-    counts = df.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(W.orderBy("_b"))
-    totals = counts.withColumn("_upto", upto).where(F.col("_upto") >= n).orderBy("_b").limit(1)
-    cut = totals.select("_b", (F.lit(n) - (F.col("_upto") - F.col("_n"))).alias("_need")).first()
-    if n <= 0:
-        return df.withColumn(flag, F.lit(False)).drop("_b")
-    if cut is None:
-        return df.withColumn(flag, F.lit(True)).drop("_b")
-    rank = F.row_number().over(W.partitionBy("_b").orderBy(row_hash(ids, seed), *ids))
-    whole = df.where(F.col("_b") != cut["_b"]).withColumn(flag, F.col("_b") < cut["_b"])
-    part = df.where(F.col("_b") == cut["_b"]).withColumn(flag, rank <= cut["_need"])
-    return whole.unionByName(part).drop("_b")
+    g = F.col(group) if group else F.lit(0)
+    sizes = sizes if group else {0: sizes[None]}
+    marked = df.withColumns({"_b": hash_bucket(ids, seed), "_g": g})
+    counts = marked.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(W.partitionBy("_g").orderBy("_b"))
+    counts = counts.withColumn("_upto", upto).withColumn("_size", _case(F.col("_g"), sizes))
+    # one row per group: the bucket where its running count reaches the size
+    reached = counts.where(F.col("_upto") >= F.col("_size")).groupBy("_g").agg(
+        F.min(F.struct("_b", (F.col("_size") - F.col("_upto") + F.col("_n")).alias("need"))).alias("cut")
+    )
+    cuts = {r["_g"]: r["cut"] for r in reached.collect()}
+    bucket = {k: cuts[k]["_b"] if k in cuts else 65536 for k in sizes}
+    need = {k: cuts[k]["need"] if k in cuts else 0 for k in sizes}
+    last = _case(F.col("_g"), bucket)
+    rank = F.row_number().over(W.partitionBy("_g", "_b").orderBy(row_hash(ids, seed), *ids))
+    whole = marked.where(~F.coalesce(F.col("_b") == last, F.lit(False))).withColumn(
+        flag, F.coalesce(F.col("_b") < last, F.lit(False))
+    )
+    part = marked.where(F.col("_b") == last).withColumn(flag, rank <= _case(F.col("_g"), need))
+    return whole.unionByName(part).drop("_b", "_g")
+
+
+def _case(key: Column, values: Mapping) -> Column:
+    """The value of a key as a CASE over a handful of keys, else null."""
+    out = F.lit(None).cast("long")
+    for k, v in values.items():
+        out = F.when(key == k, F.lit(v).cast("long")).otherwise(out)
+    return out
 
 
 def sample_exact(df: DataFrame, n: int, ids: Sequence[str], seed: int) -> DataFrame:
     """Exactly ``n`` rows without replacement."""
-    return hash_order_flag(df, n, ids, seed, "_take").where("_take").drop("_take")
+    return hash_order_flag(df, {None: n}, ids, seed, "_take").where("_take").drop("_take")
 
 
 def downsample(
@@ -53,16 +71,33 @@ def downsample(
 
     Asking for more than there are is an error unless ``clamp`` is set.
     """
+    one = F.lit(1)
+    return downsample_slices(df.withColumn("_s", one), "_s", [1], label, ids, ratio, seed, clamp).drop("_s")
+
+
+def downsample_slices(
+    df: DataFrame,
+    slice_id: str,
+    slices: Sequence[int],
+    label: str,
+    ids: Sequence[str],
+    ratio: int = 1,
+    seed: int = 123,
+    clamp: bool = False,
+) -> DataFrame:
+    """Down-sample every slice on its own, all in one pass."""
     if not 1 <= ratio <= MAX_RATIO:
         raise ValueError(f"ratio must be between 1 and {MAX_RATIO}")
     c = F.col(label)
-    size = df.agg(F.count_if(c == 0).alias("zeros"), F.count_if(c == 1).alias("ones")).first()
-    n = size["ones"] * ratio
-    if n > size["zeros"]:
-        if not clamp:
-            raise ValueError(f"cannot take {n} of {size['zeros']} rows without replacement")
-        n = size["zeros"]
-    return sample_exact(df.where(c == 0), n, ids, seed).unionByName(df.where(c == 1))
+    counted = df.groupBy(slice_id).agg(F.count_if(c == 0).alias("zeros"), F.count_if(c == 1).alias("ones"))
+    sizes = {s: 0 for s in slices}
+    for r in counted.where(F.col(slice_id).isin(list(slices))).collect():
+        n = r["ones"] * ratio
+        if n > r["zeros"] and not clamp:
+            raise ValueError(f"cannot take {n} of {r['zeros']} rows without replacement")
+        sizes[r[slice_id]] = min(n, r["zeros"])
+    zeros = hash_order_flag(df.where(c == 0), sizes, ids, seed, "_take", slice_id)
+    return zeros.where("_take").drop("_take").unionByName(df.where(c == 1))
 
 
 def split_by_hash(
@@ -79,10 +114,22 @@ def split_exact(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, validation) with exactly ceil(fraction * rows) rows held out."""
     _check_fraction(fraction)
-    flagged = hash_order_flag(df, math.ceil(fraction * df.count()), ids, seed, "_held")
+    flagged = hash_order_flag(df, {None: math.ceil(fraction * df.count())}, ids, seed, "_held")
     return flagged.where(~F.col("_held")).drop("_held"), flagged.where("_held").drop("_held")
 
 
+def hold_out(
+    df: DataFrame, slice_id: str, slices: Sequence[int], fraction: float, ids: Sequence[str],
+    flag: str, seed: int = 42,
+) -> DataFrame:
+    """Flag exactly ceil(fraction * rows) rows of every slice, all in one pass."""
+    _check_fraction(fraction)
+    counted = df.groupBy(slice_id).agg(F.count(F.lit(1)).alias("n"))
+    rows = {r[slice_id]: r["n"] for r in counted.where(F.col(slice_id).isin(list(slices))).collect()}
+    sizes = {s: math.ceil(fraction * rows.get(s, 0)) for s in slices}
+    return hash_order_flag(df, sizes, ids, seed, flag, slice_id)
+
+
 def _check_fraction(fraction: float) -> None:
     if not 0 <= fraction <= 0.5:
         raise ValueError("the validation fraction must be between 0 and 0.5")

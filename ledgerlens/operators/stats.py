@@ -11,8 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import stage
-
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """``(column, n)``, most frequent first, ties by value; nulls left out."""
@@ -155,18 +153,22 @@ def class_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
             }
         )
     )
-    per = stage(per, "class-table")  # one row per class
     names = ["precision", "recall", "f1"]
-    classes = per.select(F.col("c").cast("string").alias("class"), *names, "support")
-    total = F.sum("support").alias("support")
-    accuracy = share(F.sum("hits"), F.sum("support"))
-    overall = per.agg(*[accuracy.alias(m) for m in names], total)
-    macro = per.agg(*[F.avg(m).alias(m) for m in names], total)
-    weighted = per.agg(
-        *[share(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(m) for m in names],
-        total,
-    )
-    out = classes
-    for name, part in (("accuracy", overall), ("macro avg", macro), ("weighted avg", weighted)):
-        out = out.unionByName(part.select(F.lit(name).alias("class"), *names, "support"))
-    return out
+    # one entry per class from here on
+    overall = share(F.sum("hits"), F.sum("support"))
+    summary = {
+        "accuracy": {m: overall for m in names},
+        "macro avg": {m: F.avg(m) for m in names},
+        "weighted avg": {
+            m: share(F.sum(F.col(m) * F.col("support")), F.sum("support")) for m in names
+        },
+    }
+    lines = [
+        F.struct(
+            F.lit(name).alias("class"), *[c.alias(m) for m, c in scores.items()],
+            F.sum("support").alias("support"),
+        )
+        for name, scores in summary.items()
+    ]
+    per_class = F.collect_list(F.struct(F.col("c").cast("string").alias("class"), *names, "support"))
+    return per.agg(F.concat(per_class, F.array(*lines)).alias("lines")).select(F.inline("lines"))
