@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import differs
+from ..operators.quality import REPORT_SCHEMA
 from ..operators.sequence import HOT_ROWS
 from ..session import path_exists, stage
 from ..sources.sinks import write_stage
@@ -29,8 +30,16 @@ def prepare(
     """Extract, label, clean, add features, group and bin.
 
     Tables are staged where a later step reads its input more than once: after
-    thinning (statistics), cleaning (group minima) and grouping (bin edges). With ``save_dir`` every phase's table is kept under its name.
+    thinning (statistics), cleaning (group minima) and grouping (bin edges).
+    With ``save_dir`` every phase's table is kept under its name, and ``resume``
+    returns the finished ones.
     """
+    if settings.resume:
+        if not settings.save_dir:
+            raise ValueError("save_dir is needed to resume")
+        done = finished(raw.sparkSession, settings.save_dir)
+        if done is not None:
+            return done
 
     def keep(df: DataFrame, name: str, barrier: bool) -> DataFrame:
         if settings.save_dir:
@@ -60,16 +69,17 @@ def prepare(
     return Prepared(binned, evaluation, report)
 
 
-def resume_or_prepare(
-    raw: DataFrame, lookups: Lookups, settings: Preparation, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """The finished ``bin`` table of ``save_dir``, preparing it only if absent."""
-    if not settings.save_dir:
-        raise ValueError("save_dir is needed to resume")
-    path = f"{settings.save_dir.rstrip('/')}/bin"
-    if path_exists(raw.sparkSession, f"{path}/_SUCCESS"):
-        return raw.sparkSession.read.parquet(path)
-    return prepare(raw, lookups, settings, hot_rows).rows
+def finished(spark: SparkSession, save_dir: str) -> Prepared | None:
+    """The tables of an earlier preparation in ``save_dir``, if it was finished."""
+
+    def table(name: str) -> DataFrame | None:
+        path = f"{save_dir.rstrip('/')}/{name}"
+        return spark.read.parquet(path) if path_exists(spark, f"{path}/_SUCCESS") else None
+
+    rows = table("bin")
+    if rows is None:
+        return None
+    return Prepared(rows, table("eval_slice"), spark.createDataFrame([], REPORT_SCHEMA))
 
 
 def with_label(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:

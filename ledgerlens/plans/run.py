@@ -61,7 +61,11 @@ def run(
     done = prepare(raw, lookups, replace(preparation, with_label=labelled))
     append_report(done.report, f"{out_dir}/report")
     key = preparation.key
-    rows = with_label(done.rows, key) if modes.training or modes.evaluation else done.rows
+    rows = done.rows
+    if need_period and done.evaluation is None:
+        raise FileNotFoundError("the resumed preparation has no evaluation slice")
+    if (modes.training or modes.evaluation) and "label" not in rows.columns:
+        rows = write_stage(with_label(rows, key), preparation.save_dir or out_dir, "bin_labelled")
     outcome = Outcome(rows, done.report)
     spark, run_id = raw.sparkSession, new_run_id()
 

@@ -62,6 +62,7 @@ class Preparation:
     with_label: bool = True
     dropped_sales: Sequence[int] = tuple(DROPPED_SALES)
     save_dir: str | None = None
+    resume: bool = False  # use the finished tables in save_dir if there are any
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.plans.clean import clean
 from ledgerlens.plans.extract import extract, label_next_purchase
 from ledgerlens.plans.features import GROUPS, add_features, bin_values, group_values
-from ledgerlens.plans.prepare import prepare, resume_or_prepare, scoring_rows, with_label
+from ledgerlens.plans.prepare import prepare, scoring_rows, with_label
 from ledgerlens.plans.settings import Preparation
 from ledgerlens.session import stage
 from property_rows import COLUMNS, MAPPINGS, NAMES, SCHEMA, make_lookups, make_sales, plain_clean, text
@@ -137,8 +138,11 @@ def test_whole_preparation(raw, lookups, tmp_path):
     assert {r.issue for r in done.report.collect()} == {
         "recent purchases removed", "null rows removed", "no mapping target"
     }
-    again = resume_or_prepare(raw.limit(0), lookups, settings)
-    assert again.count() == done.rows.count() > 50
+    again = prepare(raw.limit(0), lookups, replace(settings, resume=True))
+    assert again.rows.count() == done.rows.count() > 50
+    assert again.evaluation.count() == done.evaluation.count() and again.report.isEmpty()
+    with pytest.raises(ValueError, match="save_dir"):
+        prepare(raw, lookups, replace(SETTINGS, resume=True))
     positives = done.rows.where("label = 1").count()
     assert scoring_rows(done.rows).count() == done.rows.count() - positives
     assert scoring_rows(done.rows.drop("label")).count() == done.rows.count()

@@ -1,5 +1,6 @@
 import pytest
 
+from ledgerlens.plans.prepare import prepare
 from ledgerlens.plans.run import Modes, run
 from ledgerlens.plans.settings import Preparation, PurchaseModel, TypeModel
 from ledgerlens.session import path_exists, stage, staged_dir
@@ -20,10 +21,20 @@ def raw(spark):
     return stage(spark.createDataFrame(make_sales(400, 5), SCHEMA))
 
 
-def test_train_evaluate_then_score(spark, raw, tmp_path):
+@pytest.fixture(scope="module")
+def prepared(spark, raw, tmp_path_factory):
+    """Folder with the finished tables, unlabelled, and an evaluation slice."""
+    folder = str(tmp_path_factory.mktemp("prepared"))
+    settings = Preparation(columns=COLUMNS, evaluation=PERIOD, with_label=False, save_dir=folder)
+    prepare(raw, make_lookups(spark), settings)
+    return folder
+
+
+def test_train_evaluate_then_score(spark, raw, prepared, tmp_path):
     lookups, out = make_lookups(spark), str(tmp_path)
-    settings = Preparation(columns=COLUMNS, evaluation=PERIOD)
+    settings = Preparation(columns=COLUMNS, evaluation=PERIOD, save_dir=prepared, resume=True)
     done = run(raw, lookups, settings, Modes(training=True, evaluation=True), out, PURCHASE, TYPES)
+    assert path_exists(spark, f"{prepared}/bin_labelled/_SUCCESS")
     assert set(done.tables) == {
         "purchase_predictions", "purchase_metrics", "landed_predictions", "landed_metrics",
         "commercial_predictions", "commercial_metrics",
@@ -32,8 +43,7 @@ def test_train_evaluate_then_score(spark, raw, tmp_path):
     assert m.tp + m.tn + m.fp + m.fn == done.tables["purchase_predictions"].count() > 10
     assert path_exists(spark, f"{out}/purchase_model/feature_importance_2")
 
-    plain = Preparation(columns=COLUMNS)
-    scored = run(raw, lookups, plain, Modes(inference=True), out, PURCHASE, TYPES)
+    scored = run(raw, lookups, settings, Modes(inference=True), out, PURCHASE, TYPES)
     assert "label" not in scored.rows.columns
     stored = spark.read.parquet(f"{out}/purchase_predictions")
     assert {r["mode"] for r in stored.select("mode").distinct().collect()} == {"eval", "infer"}
