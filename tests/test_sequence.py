@@ -2,9 +2,8 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
-from ledgerlens.operators.sequence import next_event, thin_recent
+from ledgerlens.operators.sequence import hot_keys, next_event, thin_recent
 
 SCHEMA = "k string, t timestamp_ntz, id long, price double"
 BASE = dt.datetime(2020, 1, 1)
@@ -93,3 +92,11 @@ def test_usual_path_has_one_exchange_and_no_python(spark, sf_small):
     nxt = next_event(o, "o_custkey", "o_orderdate", "o_orderkey", {"n": "o_orderkey"})
     physical = nxt._jdf.queryExecution().executedPlan().toString()
     assert physical.count("Exchange hashpartitioning") == 1
+
+
+def test_sampled_count_finds_the_hot_key(spark):
+    rows = spark.range(40_000).selectExpr("if(id % 3 = 0, -1, id) as k", "id")
+    hot = hot_keys(rows, "k", hot_rows=5_000)
+    assert [r.k for r in hot.collect()] == [-1]
+    assert hot_keys(rows.where("k <> -1"), "k", hot_rows=5_000) is None
+    assert hot_keys(rows, "k", hot_rows=None) is None

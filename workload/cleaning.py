@@ -367,7 +367,11 @@ def removed(spark, d):
     return removed_report(p, p.where("nation is not null"), "x", "removed")
 
 
-@query("parity_value", P + "select c_custkey, case when right(nric, 1) between '0' and '9' then case when cast(right(nric, 1) as int) % 2 = 1 then 'odd' else 'even' end end as parity from p")
+@query(
+    "parity_value",
+    P + """select c_custkey, case when right(nric, 1) in ('1', '3', '5', '7', '9') then 'odd'
+                  when right(nric, 1) in ('0', '2', '4', '6', '8') then 'even' end as parity from p""",
+)
 def parity(spark, d):
     return _people(spark, d).select("c_custkey", parity_value(c("nric"), "odd", "even").alias("parity"))
 

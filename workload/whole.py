@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.ml.encode import FEATURES, encode, feature_names, fit_encoder
 from ledgerlens.plans.prepare import prepare
-from ledgerlens.plans.settings import DATE_COLUMNS, Lookups, Preparation
+from ledgerlens.plans.settings import Lookups, Preparation
 from pyspark.ml.functions import vector_to_array
 
 from .registry import query, select
