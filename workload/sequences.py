@@ -123,7 +123,7 @@ with recursive s as ({SALES_SQL}), anchors(k, a) as (
   from s join kept using (sales_id)
 )
 select year(spa_date) as spa_year, phase_property_type, count(*) as purchases, count(nid) as repeats,
-       sum(cast(round(non_land_posted_selling_price * 100) as bigint)) as cents
+       cast(sum(cast(round(non_land_posted_selling_price * 100) as bigint)) as bigint) as cents
 from l group by 1, 2
 """
 
