@@ -167,6 +167,9 @@ def thin_recent(
     ``days`` whole days after that anchor; the next row starts a new run. An
     undated row is a run of its own; rows without a key are dropped. Ties on
     the instant are ordered by ``row_id``, which must be unique.
+
+    Select the columns that are needed before, not after: then both parts of
+    the plan ask for the same columns and share one exchange.
     """
     df = df.where(F.col(key).isNotNull())
     hot = hot_keys(df, key, hot_rows)

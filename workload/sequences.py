@@ -131,13 +131,16 @@ from l group by 1, 2
 @query("yearly_repeat_summary", FLAGSHIP_SQL)
 def flagship(spark, d):
     """Thin, label the next purchase, and sum up by year and property type."""
-    sales = thin_recent(select(spark, d, SALES), "customer", "spa_date", "sales_id")
-    # thinned sales of a customer are at least 31 days apart, so no customer is hot
-    labelled = label_next_purchase(sales, "customer", hot_rows=None)
+    columns = ["sales_id", "customer", "spa_date", "phase_property_type", "non_land_posted_selling_price"]
+    sales = thin_recent(
+        select(spark, d, SALES).select(columns), "customer", "spa_date", "sales_id"
+    )
+    # a customer keeps one sale per run and runs start over 30 days apart: none is hot
+    labelled = next_event(sales, "customer", "spa_date", "sales_id", {}, hot_rows=None)
     cents = F.round(F.col("non_land_posted_selling_price") * 100).cast("long")
     return labelled.groupBy(F.year("spa_date").cast("long").alias("spa_year"), "phase_property_type").agg(
         F.count(F.lit(1)).alias("purchases"),
-        F.sum(F.col("label").cast("long")).alias("repeats"),
+        F.count_if("has_next").alias("repeats"),
         F.sum(cents).alias("cents"),
     )
 
