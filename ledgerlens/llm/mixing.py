@@ -31,20 +31,18 @@ def _measures(shares: DataFrame, ks: list[int]) -> dict[int, tuple]:
     return {r["k"]: (math.log(r["z"]) - r["e"] * r["s"] / r["z"], r["hi"] / r["z"], r["lo"] / r["z"]) for r in rows.collect()}
 
 
-def find_exponent(shares: DataFrame, too_flat) -> int:
-    """The least k of the grid whose measures are not ``too_flat``, by halving; 2**BITS if none is.
+def find_exponent(shares: DataFrame, too_flat, top: int = 2**BITS) -> int:
+    """The least k of the grid below ``top`` whose measures are not ``too_flat``, by halving; else ``top``.
 
     ``shares`` has a column p. Eight halvings share a pass, which returns a bounded number of rows.
     """
-    low, high = -1, 2**BITS
+    low, high = -1, top
     while high - low > 1:
         step = max(1, (high - low) >> AT_ONCE)
         ks = list(range(low + step, high, step)) or [high - 1]
         seen = _measures(shares, ks)
         while ks:
             k = ks[len(ks) // 2]
-            if k not in seen:  # no shares at all
-                return 2**BITS
             if too_flat(*seen[k]):
                 low, ks = k, ks[len(ks) // 2 + 1 :]
             else:
@@ -106,9 +104,10 @@ def mix_sources(
             k = max(0, find_exponent(shares, lambda h, hi, lo: h >= least - 1e-12) - 1)
         else:
             limit = max_repeat + 1e-12
-            k = find_exponent(shares, lambda h, hi, lo: (hi / lo if keep_all else hi * spend / total) > limit)
-            if k > 2**BITS / TOP:
+            if spend > limit * total:
                 raise ValueError("the budget is more than max_repeat times the tokens there are")
+            natural = int(2**BITS / TOP)  # exponent 1
+            k = find_exponent(shares, lambda h, hi, lo: (hi / lo if keep_all else hi * spend / total) > limit, natural)
         exponent = k * (TOP / 2**BITS)
         z = shares.agg(F.sum(F.pow("p", F.lit(exponent)))).first()[0]
         if keep_all:
