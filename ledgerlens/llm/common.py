@@ -59,3 +59,30 @@ def exclusive_sums(df: DataFrame, group: list[str], bucket: list[str], order: li
     within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumns({new: F.coalesce(F.sum(c).over(within), zero) for new, c in sums.items()}).join(of, keys)
     return df.withColumns({new: F.col(new) + F.col(f"{new}__to") for new in sums}).drop(*(f"{new}__to" for new in sums))
+
+
+#: Parts into which rows that share one order value are split.
+TIE_PARTS = 64
+
+
+def with_buckets(rows: DataFrame, order_by: str, tie: str, part: str, sub: str, parts: int) -> DataFrame:
+    """Adds the bucket (part, sub) of each row in the order of a number or date, nulls first.
+
+    Quantiles cut the order into about ``parts``; at most that many values come to the driver.
+    Rows whose value is a cut come first in their part, in sub-buckets of their own by the hash column
+    ``tie``, so no value fills one bucket.
+    """
+    cuts = rows.agg(F.percentile_approx(order_by, [i / parts for i in range(1, parts)], 20 * parts).alias("c")).first()["c"]
+    cuts = sorted({c for c in cuts or [] if c is not None})
+    value = F.col(order_by)
+    place, on_cut = F.lit(0), F.lit(False)
+    if cuts:
+        # the number of cuts up to the value, by halving steps
+        steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+        bounds = F.lit(cuts)
+        reached = lambda i: F.coalesce((i <= len(cuts)) & (F.get(bounds, i - 1) <= value), F.lit(False))
+        place = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when(reached(at + step), at + step).otherwise(at))
+        on_cut = F.coalesce(F.get(bounds, F.col(part) - 1) == value, F.lit(False))
+    rows = rows.withColumn(part, F.when(value.isNull(), -1).otherwise(place))
+    spread = F.pmod(F.col(tie), F.lit(TIE_PARTS)).cast("int")
+    return rows.withColumn(sub, F.when((F.col(part) < 0) | on_cut, spread).otherwise(TIE_PARTS))

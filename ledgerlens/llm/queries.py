@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from .common import held_out
 from .darts import near_duplicates
+from .fingerprints import fingerprints
 from .mixing import mix_sources
+from .neighbours import link_near_vectors
 from .packing import pack_best_fit, token_pieces
 from .quality import classify_quality, fit_quality
 from .sharding import shard_by_bytes
@@ -152,3 +154,13 @@ def op2(spark, d):
 def op3(spark, d):
     rows = near_duplicates(table(spark, d, "documents"))
     return rows.select("doc_id", "class_id", "kept")
+
+
+@query("op7_weighted_fingerprints")
+def op7(spark, d):
+    return fingerprints(table(spark, d, "documents"))
+
+
+@query("op9_projection_passes")
+def op9(spark, d):
+    return link_near_vectors(table(spark, d, "embeddings"))

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import shuffle_partitions
 
-from .common import exclusive_sums, fresh, others
-
-#: Parts into which rows that share one order value are split.
-TIE_PARTS = 64
+from .common import exclusive_sums, fresh, others, with_buckets
 
 
 def shard_by_bytes(docs: DataFrame, shards: int, text: str = "text", order_by: str = "doc_id", overhead: int = 8) -> DataFrame:
@@ -25,32 +22,16 @@ def shard_by_bytes(docs: DataFrame, shards: int, text: str = "text", order_by: s
     """
     if shards < 1 or overhead < 1:
         raise ValueError("shards and overhead must be positive")
-    spark = docs.sparkSession
     docs = docs.select(*others(docs, "size", "shard", "slot"))
-    part, sub, tie, before, index, one, total, first = fresh(docs, "_part", "_sub", "_tie", "_before", "_index", "_one", "_total", "_first")
-    parts = max(2, shuffle_partitions(spark))
-    cuts = docs.agg(F.percentile_approx(order_by, [i / parts for i in range(1, parts)], 20 * parts).alias("c")).first()["c"]
-    cuts = sorted({c for c in cuts or [] if c is not None})
-    value = F.col(order_by)
-    if cuts:
-        # number of cuts up to the value, by halving steps
-        steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
-        bounds = F.lit(cuts)
-        within = lambda i: F.coalesce((i <= len(cuts)) & (F.get(bounds, i - 1) <= value), F.lit(False))
-        place = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when(within(at + step), at + step).otherwise(at))
-        on_cut = F.coalesce(F.get(bounds, F.col(part) - 1) == value, F.lit(False))
-    else:
-        place, on_cut = F.lit(0), F.lit(False)
-    spread = F.pmod(F.col(tie), F.lit(TIE_PARTS)).cast("int")
+    names = ("_part", "_sub", "_tie", "_before", "_index", "_one", "_total", "_first", "_all")
+    part, sub, tie, before, index, one, total, first, every = fresh(docs, *names)
     rows = docs.withColumns({
         "size": (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long"),
         tie: F.xxhash64(text),
         one: F.lit(1).cast("long"),
-    }).withColumn(part, F.when(value.isNull(), -1).otherwise(place))
-    # rows on a cut come first in their partition, in parts of their own
-    rows = rows.withColumn(sub, F.when((F.col(part) < 0) | on_cut, spread).otherwise(TIE_PARTS))
-    rows = rows.withColumn("_all" if "_all" not in docs.columns else fresh(docs, "_all")[0], F.lit(0))
-    every = rows.columns[-1]
+        every: F.lit(0),
+    })
+    rows = with_buckets(rows, order_by, tie, part, sub, max(2, shuffle_partitions(docs.sparkSession)))
     rows = exclusive_sums(rows, [every], [part, sub], [order_by, tie, "size"], {before: "size", index: one}, {total: "size"})
     rows = rows.withColumn("shard", F.expr(f"(2 * `{before}` + size) * {shards} div (2 * `{total}`)").cast("int"))
     firsts = rows.groupBy("shard").agg(F.min(index).alias(first))
