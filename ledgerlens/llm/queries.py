@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import held_out
+from .contexts import score_texts
 from .darts import near_duplicates
 from .fingerprints import fingerprints
 from .mixing import mix_sources
@@ -164,3 +165,11 @@ def op7(spark, d):
 @query("op9_projection_passes")
 def op9(spark, d):
     return link_near_vectors(table(spark, d, "embeddings"))
+
+
+@query("op4_context_tree")
+def op4(spark, d):
+    """Learns only from rows whose crc32 of the id leaves another remainder than 2 by 7."""
+    out = held_out(F.col("doc_id"), 7, 2)
+    rows = score_texts(table(spark, d, "documents"), ~out)
+    return rows.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
