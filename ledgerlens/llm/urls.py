@@ -49,7 +49,8 @@ def _resolved(found: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst): canonical links and refresh redirects that pages state, as bare urls."""
+    """(src, dst): canonical links and refresh redirects that pages state, as bare urls; null where
+    an url or link can't be one."""
     tags = F.regexp_extract_all(html, F.lit(r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>|<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)"), F.lit(1))
     to_link = lambda tag: F.coalesce(
         F.nullif(F.regexp_extract(tag, r"(?is)^<link\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1), F.lit("")),
@@ -57,8 +58,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     )
     found = pages.where(F.col(url).isNotNull() & F.col(html).isNotNull()).select(F.col(url).alias("base"), F.explode(tags).alias("tag"))
     found = found.select("base", to_link(F.col("tag")).alias("link")).where("link != ''")
-    found = _resolved(found).select(bare(F.col("base")).alias("src"), bare(F.col("to")).alias("dst"))
-    return found.where("src is not null and dst is not null")
+    return _resolved(found).select(bare(F.col("base")).alias("src"), bare(F.col("to")).alias("dst"))
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
@@ -102,7 +102,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None =
     edges = at.distinct().select(F.col("url").alias("src"), bare(F.col("url")).alias("dst"))
     for x in links:
         edges = edges.unionByName(x.select("src", "dst")).unionByName(x.select(F.col("src"), bare(F.col("src")).alias("dst"))).unionByName(x.select(F.col("dst").alias("src"), bare(F.col("dst")).alias("dst")))
-    edges = stage(edges.where("src is not null and dst is not null and src != dst").distinct(), "links")
+    # a filter before the write would be pushed below the urls' expressions and repeat them
+    edges = stage(edges.distinct(), "links").where("src is not null and dst is not null and src != dst")
     nodes = at.unionByName(edges.select(F.col("src").alias("url"))).unionByName(edges.select(F.col("dst").alias("url")))
     ruled = stage(match_rules(nodes, rules), "ruled")
     member = connected_components(edges, "src", "dst")
