@@ -17,6 +17,8 @@ SHAPES = (
 )
 #: A score from which a document is predicted good.
 CUT = 0.7
+#: Pairs whose differences are in memory at a time.
+PAIRS_AT_ONCE = 4096
 
 
 def features(text: str | None) -> np.ndarray:
@@ -78,11 +80,14 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, pairs_per_row: int = 8, ridge: fl
     rng = np.random.default_rng(seed)
     n = pairs_per_row * len(x)
     # every document of the smaller kind meets many of the other
-    d = (z[win[rng.permutation(n) % len(win)]] - z[lose[rng.permutation(n) % len(lose)]]).astype(np.float64)
+    first, second = win[rng.permutation(n) % len(win)], lose[rng.permutation(n) % len(lose)]
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -40, 40)))  # that the worse one wins
-        grad = d.T @ p / n - ridge * w
-        hess = (d * (p * (1 - p))[:, None]).T @ d / n + (ridge + 1e-9) * np.eye(len(w))
+        grad, hess = -ridge * w, (ridge + 1e-9) * np.eye(len(w))
+        for at in range(0, n, PAIRS_AT_ONCE):
+            d = (z[first[at : at + PAIRS_AT_ONCE]] - z[second[at : at + PAIRS_AT_ONCE]]).astype(np.float64)
+            p = 1 / (1 + np.exp(np.clip(d @ w, -40, 40)))  # that the worse one wins
+            grad += d.T @ p / n
+            hess += (d * (p * (1 - p))[:, None]).T @ d / n
         step = np.linalg.solve(hess, grad)
         w = w + step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-4:
