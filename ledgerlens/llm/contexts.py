@@ -169,7 +169,7 @@ def tree_nodes(counted: DataFrame, depth: int) -> DataFrame:
 
 def _slots(keys: np.ndarray, depth, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Place and check byte of nodes."""
-    h = mix(keys.astype(np.uint64) + (np.asarray(depth).astype(np.uint64) + np.uint64(1)) * GOLDEN)
+    h = mix(keys.astype(np.uint64) + (np.atleast_1d(depth).astype(np.uint64) + np.uint64(1)) * GOLDEN)
     return (h >> np.uint64(64 - bits)).astype(np.int64), (h & np.uint64(0xFF)).astype(np.uint8)
 
 
