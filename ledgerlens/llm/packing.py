@@ -11,42 +11,87 @@ from ledgerlens.session import shuffle_partitions, stage
 
 from .common import exclusive_sums
 
-#: Documents for each gap from which gaps are cut into slots, so that tiny documents need few rounds.
-CROWDED = 16
-#: Word texts whose ids a worker keeps at a time.
-KEPT_WORDS = 400_000
+#: Pieces for each gap from which gaps are cut into slots, so that tiny pieces need few rounds.
+CROWDED = 3
+#: Words whose ids a worker process keeps, first come first kept; about 150 MB.
+KEPT_WORDS = 600_000
 
 PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"
+#: How the tokenizer parts lower-cased Latin-1 text into words (fixed pattern, narrowed to that range).
+LATIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+"
+
+
+def byte_letters() -> list[str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+def word_ids(tokenizer: str) -> dict[str, bytes]:
+    """Little-endian ids of any text without blanks, by look-up; what is asked for first is encoded and kept.
+
+    The tokenizer ``word_bpe_49k.json`` parts its text into words and encodes each alone. For printable Latin-1,
+    which its normalizer only lower-cases, the parting is done here and only the words go to its
+    merges; any other text goes through the whole tokenizer. Worker processes are used for many tasks, so
+    the table is kept for the life of the process.
+    """
+    import re
+    import sys
+    from array import array
+    from types import ModuleType
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    kept = sys.modules.setdefault("ledgerlens_kept_words", ModuleType("ledgerlens_kept_words"))
+    if tokenizer in kept.__dict__:
+        return kept.__dict__[tokenizer]
+    coder = Tokenizer.from_file(public_tokenizers.path(tokenizer))
+    tokenize, parted, letters = coder.model.tokenize, re.compile(LATIN_WORDS).findall, byte_letters()
+    words: dict[str, bytes] = {}
+
+    def one(word):
+        if (got := words.get(word)) is None:
+            # printable ASCII is written as itself
+            spelt = word if word.isascii() else "".join([letters[b] for b in word.encode()])
+            got = array("I", [t.id for t in tokenize(spelt)]).tobytes()
+            if len(words) < KEPT_WORDS // 2:
+                words[word] = got
+        return got
+
+    class Ids(dict):
+        def __missing__(self, text):
+            if text.isalpha() and text.isascii():
+                found = one(text.lower())
+            elif text.isprintable() and max(text, default=" ") < "\u0100" and "<|" not in text:
+                found = b"".join(map(one, parted(text.lower())))
+            else:
+                found = array("I", coder.encode(text, add_special_tokens=False).ids).tobytes()
+            if len(self) < KEPT_WORDS // 2:
+                self[text] = found
+            return found
+
+    kept.__dict__[tokenizer] = Ids()
+    return kept.__dict__[tokenizer]
 
 
 def _piece_maker(tokenizer: str, capacity: int, end: int, keep_ids: bool):
     def make(batches):
         import zlib
-        from array import array
-        from itertools import chain
 
         import pandas as pd
-        import public_tokenizers
-        from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-        known: dict[str, list[int]] = {}
+        ids_of = word_ids(tokenizer).__getitem__
+        stop, wide = end.to_bytes(4, "little"), 4 * capacity
         for docs in batches:
             rows = []
             for at, text in enumerate(docs["text"]):
-                # the tokenizer never joins across these blanks, so every stretch is encoded once
-                parts = (text or "").replace("\n", " ").split(" ")
-                new = [p for p in set(parts) if p not in known]
-                if new:
-                    if len(known) > KEPT_WORDS:
-                        known.clear()
-                        new = list(set(parts))
-                    known.update(zip(new, (x.ids for x in coder.encode_batch(new, add_special_tokens=False))))
-                ids = array("I", chain.from_iterable(map(known.__getitem__, parts)))
-                ids.append(end)
-                for start in range(0, len(ids), capacity):
-                    data = ids[start : start + capacity].tobytes()
-                    rows.append((at, start // capacity, start, len(data) // 4, zlib.crc32(data), data if keep_ids else None))
+                # the tokenizer never joins across these blanks
+                ids = b"".join(map(ids_of, (text or "").replace("\n", " ").split(" "))) + stop
+                for start in range(0, len(ids), wide):
+                    data = ids[start : start + wide]
+                    rows.append((at, start // wide, start // 4, len(data) // 4, zlib.crc32(data), data if keep_ids else None))
             made = pd.DataFrame(rows, columns=["at", "piece", "start", "length", "ids_crc32", "ids"])
             kept = docs.drop(columns="text").iloc[made.pop("at")].reset_index(drop=True)
             yield pd.concat([kept, made], axis=1)
@@ -59,8 +104,8 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity
 
     A document's ids are the tokenizer's, then ``end``; a null text is empty and so has one token. Only
     longer ones are cut. ``ids`` are little-endian unsigned 32-bit numbers, null unless ``keep_ids``.
-    ``tokenizer`` is the name of a file of the public tokenizers; its pre-tokenizer must not join
-    across spaces and line breaks (true of ``word_bpe_49k.json``, which drops white space).
+    ``tokenizer`` is the name of a file of the public tokenizers that parts words as
+    ``word_bpe_49k.json`` does.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
@@ -124,30 +169,33 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
     opened = 0
     total = pieces.agg(F.sum("_size")).first()[0] or 0
     wanted = max(0, math.ceil(total / capacity) - full)
+    before = None
     while True:
-        left = rest.agg(F.count(F.lit(1)), F.sum("size"), F.min("size")).first()
-        if not left[0]:
-            break
         if wanted:
             new = pieces.sparkSession.range(opened, opened + wanted).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("size"))
             gaps, opened, wanted = gaps.unionByName(new), opened + wanted, 0
-        gaps = gaps.where(F.col("size") >= left[2])
-        n_gaps = gaps.count()
-        slots = left[0] // max(n_gaps, 1) // 2 if left[0] >= CROWDED * n_gaps else 1
-        # no more slots than the smallest piece still fits
-        cut = F.greatest(F.lit(1), F.least(F.lit(max(slots, 1)), F.call_function("div", F.col("size"), F.lit(left[2]))))
-        slot = gaps.select("sequence_id", F.call_function("div", F.col("size"), cut).alias("size"), F.explode(F.sequence(F.lit(1), cut.cast("int"))).alias("k"))
+        size, none = F.col("size"), F.lit(None).cast("long")
+        both = rest.select(size.alias("piece"), none.alias("gap")).unionByName(gaps.select(none.alias("piece"), size.alias("gap")))
+        left = both.agg(F.count("piece").alias("pieces"), F.sum("piece").alias("tokens"), F.min("piece").alias("least"), F.max("piece").alias("most"), F.count("gap").alias("gaps")).first()
+        if not left["pieces"]:
+            break
+        if before is not None and left["pieces"] > 0.95 * before:
+            # few were placed: what is left is larger than most gaps
+            wanted, before = math.ceil(left["tokens"] / capacity), None
+            continue
+        before = left["pieces"]
+        slots = left["pieces"] // max(left["gaps"], 1)
+        # slots of a gap, into each of which every piece fits
+        cut = F.greatest(F.lit(1), F.least(F.lit(slots), F.call_function("div", size, F.lit(left["most"])))) if slots >= CROWDED else F.lit(1).cast("long")
+        slot = gaps.where(size >= left["least"]).select("sequence_id", F.call_function("div", size, cut).alias("size"), F.explode(F.sequence(F.lit(1), cut.cast("int"))).alias("k"))
         slot = slot.select("sequence_id", "size", F.xxhash64("sequence_id", "k").alias("id"))
         found = stage(_matched(rest, slot).join(rest, "id"), "placed")
         placed.append(found.select("id", "sequence_id"))
-        n = found.count()
-        if n:
-            taken = found.groupBy("sequence_id").agg(F.sum("size").alias("taken"))
-            gaps = stage(gaps.join(taken, "sequence_id", "left").select("sequence_id", (F.col("size") - F.coalesce("taken", F.lit(0))).alias("size")).where("size > 0"), "gaps")
-            rest = stage(rest.join(found.select("id"), "id", "left_anti"), "rest")
-        if n < max(1, left[0] // 20):
-            tokens = rest.agg(F.sum("size")).first()[0] or 0
-            wanted = math.ceil(tokens / capacity)
+        taken = found.groupBy("sequence_id").agg(F.sum("size").alias("taken"))
+        gaps = gaps.join(taken, "sequence_id", "left").select("sequence_id", (size - F.coalesce("taken", F.lit(0))).alias("size"))
+        # the least piece never gets smaller
+        gaps = stage(gaps.where(size >= left["least"]), "gaps")
+        rest = stage(rest.join(found.select("id"), "id", "left_anti"), "rest")
     where = placed[0]
     for x in placed[1:]:
         where = where.unionByName(x)
