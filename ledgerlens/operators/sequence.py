@@ -7,7 +7,9 @@ keys take another, exact way:
 * neighbours and ordinals: the hot rows are range-partitioned on the full
   order, so a key spreads over many contiguous slices, and only one row per
   slice is exchanged to join the slices up;
-* thinning: the rows are first reduced to one per instant and per day.
+* thinning: the rows are first reduced to one per instant; range slices find
+  where the run of each instant ends and the next begins, and doubling the steps
+  marks the instants that do begin one.
 
 The set of hot keys holds at most rows / hot_rows values.
 """
@@ -157,7 +159,7 @@ def thin_recent(
     df: DataFrame,
     key: str,
     when: str,
-    row_id: str,
+    row_id: str | Sequence[str],
     days: int = 30,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
@@ -165,32 +167,47 @@ def thin_recent(
 
     A run starts at an anchor row and takes every later row of the key at most
     ``days`` whole days after that anchor; the next row starts a new run. An
-    undated row is a run of its own; rows without a key are dropped. Ties on
-    the instant are ordered by ``row_id``, which must be unique.
+    undated row is a run of its own; rows without a key are dropped. Rows of one
+    instant are ordered by ``row_id`` (one column or several), then by the
+    other columns as they stand, nulls first; so of repeated ids one row stays,
+    the same one for any ``hot_rows``. Columns of maps have no order: rows that
+    differ in those alone are ties.
 
     Select the columns that are needed before, not after: then both parts of
     the plan ask for the same columns and share one exchange.
     """
     df = df.where(F.col(key).isNotNull())
+    ids = [row_id] if isinstance(row_id, str) else list(row_id)
     hot = hot_keys(df, key, hot_rows)
     if hot is None:
-        return _thin_by_island(df, key, when, row_id, days)
-    usual = _thin_by_island(df.join(hot, key, "left_anti"), key, when, row_id, days)
+        return _thin_by_island(df, key, when, ids, days)
+    # three parts read it
+    df = stage(df, "to-thin")
+    usual = _thin_by_island(df.join(hot, key, "left_anti"), key, when, ids, days)
     heavy = df.join(hot, key, "left_semi")
     dated = heavy.where(F.col(when).isNotNull())
-    kept = _thin_by_day(dated.select(key, when, row_id), key, when, row_id, days)
     return (
-        usual.unionByName(dated.join(kept, row_id, "left_semi"))
+        usual.unionByName(_thin_by_doubling(dated, key, when, ids, days))
         .unionByName(heavy.where(F.col(when).isNull()))
     )
 
 
+def _ties(df: DataFrame, key: str, when: str, ids: Sequence[str]) -> list[str]:
+    """Columns that order the rows of one instant."""
+    rest = [f.name for f in df.schema if not _holds_map(f.dataType)]
+    return [*ids, *(c for c in rest if c not in {key, when, *ids})]
+
+
+def _holds_map(kind) -> bool:
+    return "map<" in kind.simpleString() or "variant" in kind.simpleString()
+
+
 def _reach(days: int) -> Column:
     """A row belongs to an anchor's run while it is before anchor + reach."""
     return F.make_dt_interval(F.lit(days + 1))
 
 
-def _thin_by_island(df, key, when, row_id, days):
+def _thin_by_island(df, key, when, ids, days):
     """One window pass settles the first run of every island; a fold the rest.
 
     A gap from the previous row longer than the reach always starts a run, so
@@ -198,7 +215,8 @@ def _thin_by_island(df, key, when, row_id, days):
     at once (``_from``), and so is that run's last row. Only rows past the
     first run go to the fold, which reuses the exchange on the key.
     """
-    ordered = W.partitionBy(key).orderBy(F.col(when).asc_nulls_last(), row_id)
+    ties = _ties(df, key, when, ids)
+    ordered = W.partitionBy(key).orderBy(F.col(when).asc_nulls_last(), *ties)
     at, reach = F.col(when), _reach(days)
     before = F.lag(when).over(ordered)
     marked = df.withColumns(
@@ -211,9 +229,11 @@ def _thin_by_island(df, key, when, row_id, days):
     run_ends = F.col("_next").isNull() | (F.col("_next") >= F.col("_from") + reach)
     easy = marked.where(at.isNull() | (first_run & run_ends)).select(df.columns)
 
-    row = F.struct(at.alias("_at"), F.col(row_id).alias("_id"), F.struct(df.columns).alias("_row"))
-    rest = marked.where(~first_run).groupBy(key, "_from").agg(
-        F.array_sort(F.collect_list(row)).alias("_rows")
+    # rows of one instant make one entry, the last of them
+    last = F.max_by(F.struct(df.columns), F.struct(ties)).alias("_row")
+    instants = marked.where(~first_run).groupBy(key, "_from", at.alias("_at")).agg(last)
+    rest = instants.groupBy(key, "_from").agg(
+        F.array_sort(F.collect_list(F.struct("_at", "_row")), lambda a, b: F.when(a["_at"] < b["_at"], -1).otherwise(1)).alias("_rows")
     )
     folded = F.aggregate(
         "_rows",
@@ -239,69 +259,51 @@ def _thin_by_island(df, key, when, row_id, days):
     return easy.unionByName(hard)
 
 
-def _thin_by_day(df, key, when, row_id, days):
-    """Ids of the kept rows of hot keys, from one row per (key, instant).
+def _thin_by_doubling(df, key, when, ids, days):
+    """The kept rows of hot keys, whose dated rows are ``df``.
 
-    The reduction combines on the map side, so a hot key never meets in one
-    task. When no day holds two instants, the daily table says everything and
-    a key has at most one row per calendar day. Otherwise runs are followed
-    round by round.
+    The rows are reduced to the last of every (key, instant), on the map side
+    first. Sorted with a probe at each instant + reach, every instant learns the
+    next anchor if it were one itself, and its run's last instant. The
+    first instant of a key is an anchor; then each round doubles the steps that
+    anchors are followed by: as many rounds as the logarithm of the runs.
     """
-    instants = df.groupBy(key, when).agg(F.max(row_id).alias(row_id))
-    instants = instants.withColumn("_day", F.to_date(when))
-    instants = stage(instants.repartitionByRange("_day", when), "instants")
-    daily = stage(
-        instants.groupBy(key, "_day").agg(
-            F.min(when).alias("_first"), F.max(F.struct(when, row_id)).alias("_last")
-        ),
-        "daily",
-    )
-    if daily.where(F.col("_first") < F.col(f"_last.{when}")).isEmpty():
-        return _thin_by_island(daily.select(key, "_last.*"), key, when, row_id, days).select(row_id)
-    return _thin_by_round(instants, daily, key, when, row_id, days)
-
-
-def _thin_by_round(instants, daily, key, when, row_id, days):
-    """Advance all hot keys one run per round, at most time span / reach rounds.
-
-    A round needs the instants of a single day per key, the day a run ends on;
-    whole days come from the daily table.
-    """
-    anchors = stage(daily.groupBy(key).agg(F.min("_first").alias("_anchor")), "anchors")
-    kept = None
-    while True:
-        runs = anchors.withColumn("_end", F.col("_anchor") + _reach(days))
-        runs = runs.withColumn("_end_day", F.to_date("_end"))
-        span = runs.agg(F.min("_end_day").alias("a"), F.max("_end_day").alias("b")).first()
-        if span["a"] is None:
-            return kept
-        from_days = (
-            daily.join(runs, key)
-            .where(F.col("_day") >= F.to_date("_anchor"))
-            .groupBy(key)
-            .agg(
-                F.max(F.when(F.col("_day") < F.col("_end_day"), F.col("_last"))).alias("_whole"),
-                F.min(F.when(F.col("_day") > F.col("_end_day"), F.col("_first"))).alias("_later"),
-            )
-        )
-        inside = F.col(when) < F.col("_end")
-        from_end_day = (
-            instants.where(F.col("_day").between(span["a"], span["b"]))
-            .join(runs.withColumnRenamed("_end_day", "_day"), [key, "_day"])
-            .groupBy(key)
-            .agg(
-                F.max(F.when(inside, F.struct(when, row_id))).alias("_part"),
-                F.min(F.when(~inside, F.col(when))).alias("_same_day"),
-            )
-        )
-        step = stage(
-            from_days.join(from_end_day, key, "left").select(
-                key,
-                F.coalesce("_part", "_whole")[row_id].alias(row_id),
-                F.coalesce("_same_day", "_later").alias("_anchor"),
-            ),
-            "runs",
-        )
-        ended = step.select(row_id)
-        kept = ended if kept is None else kept.unionByName(ended)
-        anchors = step.where(F.col("_anchor").isNotNull()).select(key, "_anchor")
+    ties = _ties(df, key, when, ids)
+    last = F.max_by(F.struct(df.columns), F.struct(ties)).alias("_row")
+    instants = stage(df.groupBy(key, when).agg(last), "instants")
+    steps = stage(_steps(instants.select(key, F.col(when).alias("_at")), key, days), "steps")
+    jump = steps.where(F.col("_to").isNotNull()).select(key, "_at", "_to")
+    anchors = stage(steps.groupBy(key).agg(F.min("_at").alias("_at")), "anchors")
+    while not jump.isEmpty():
+        # anchors so far and those one jump after them; then jumps twice as long
+        after = anchors.join(jump, [key, "_at"]).select(key, F.col("_to").alias("_at"))
+        anchors = stage(anchors.unionByName(after).distinct(), "anchors")
+        second = jump.select(key, F.col("_at").alias("_to"), F.col("_to").alias("_far"))
+        jump = stage(jump.join(second, [key, "_to"]).select(key, "_at", F.col("_far").alias("_to")), "jumps")
+    ends = anchors.join(steps, [key, "_at"]).select(key, F.col("_end").alias(when))
+    return instants.join(ends, [key, when], "left_semi").select("_row.*")
+
+
+def _steps(instants, key, days):
+    """(key, _at, _to, _end): the first instant beyond the reach of ``_at``, null if there is
+    none, and the last within it. No slice holds more than a range of the instants."""
+    probes = instants.select(key, (F.col("_at") + _reach(days)).alias("_when"), F.lit(0).alias("_kind"), "_at")
+    both = instants.select(key, F.col("_at").alias("_when"), F.lit(1).alias("_kind"), "_at").unionByName(probes)
+    # a probe stands before an instant of the same time: that one is beyond
+    slices = ordered_slices(both, [key, "_when", "_kind", "_at"])
+    instant = F.when(F.col("_kind") == 1, F.col("_when"))
+    local = W.partitionBy("_slice", key).orderBy("_when", "_kind", "_at")
+    found = slices.withColumns({
+        "_next": F.first(instant, True).over(local.rowsBetween(0, W.unboundedFollowing)),
+        "_prev": F.last(instant, True).over(local.rowsBetween(W.unboundedPreceding, 0)),
+    }).where("_kind = 0")
+    # at most a row for each slice and one for each key
+    edges = slices.groupBy("_slice", key).agg(F.min(instant).alias("_first"), F.max(instant).alias("_last"))
+    by_key = W.partitionBy(key).orderBy("_slice")
+    edges = stage(edges.select(
+        "_slice", key,
+        F.first("_first", True).over(by_key.rowsBetween(1, W.unboundedFollowing)).alias("_after"),
+        F.last("_last", True).over(by_key.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
+    ), "edges")
+    found = found.join(edges, ["_slice", key])
+    return found.select(key, "_at", F.coalesce("_next", "_after").alias("_to"), F.coalesce("_prev", "_before").alias("_end"))

@@ -100,3 +100,32 @@ def test_sampled_count_finds_the_hot_key(spark):
     assert [r.k for r in hot.collect()] == [-1]
     assert hot_keys(rows.where("k <> -1"), "k", hot_rows=5_000) is None
     assert hot_keys(rows, "k", hot_rows=None) is None
+
+
+@pytest.mark.parametrize("step_hours,days", [(24, 30), (7, 2)])
+def test_thinning_keeps_the_same_rows_of_repeated_ids(spark, step_hours, days):
+    rng = random.Random(days)
+    rows = [(k, t, i % 150, rng.choice([None, 1.0, 2.0])) for k, t, i, _ in random_rows(9, 900, step_hours)]
+    rows += rows[:100]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    ways = [sorted(map(str, thin_recent(df, "k", "t", ids, days, hot_rows=n).collect())) for n in (10**9, 20) for ids in ("id", ["id", "price"])]
+    assert all(w == ways[0] for w in ways)
+    runs = 0
+    for key in {r[0] for r in rows} - {None}:
+        times = sorted(r[1] for r in rows if r[0] == key and r[1] is not None)
+        while times:
+            times = [t for t in times if (t - times[0]).days > days]
+            runs += 1
+    assert len(ways[0]) == runs + sum(r[0] is not None and r[1] is None for r in rows)
+
+
+def test_rounds_of_hot_keys_grow_with_the_logarithm(spark, monkeypatch):
+    from ledgerlens.operators import sequence
+
+    seen = []
+    real = sequence.stage
+    monkeypatch.setattr(sequence, "stage", lambda df, label="stage": seen.append(label) or real(df, label))
+    rows = [("hot", BASE + dt.timedelta(days=40 * i), i, 1.0) for i in range(300)]
+    out = thin_recent(spark.createDataFrame(rows, SCHEMA), "k", "t", "id", hot_rows=10)
+    assert out.count() == 300
+    assert seen.count("jumps") <= 10 and seen.count("to-thin") == 1

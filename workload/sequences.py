@@ -63,6 +63,49 @@ def thin_events(spark, d):
     return _thin(events, 2)
 
 
+@query("thin_recent_instants_split_keys", THIN_SQL.format(rows=EVENT_ROWS, reach=3))
+def thin_events_split(spark, d):
+    """Instants within the day, with the busiest users taken by the way for hot keys."""
+    events = table(spark, d, "events").selectExpr("event_id as id", "user_id as k", "ts as t")
+    return _thin(events, 2, hot_rows=40)
+
+
+THIN_REPEATED_SQL = """
+with recursive rows_in as (
+  select o_orderkey as id, o_custkey as k, o_orderdate as t, l_linenumber as line, l_extendedprice as price
+  from orders join lineitem on o_orderkey = l_orderkey
+), anchors(k, a) as (
+  select k, min(t) from rows_in group by k
+  union all
+  select x.k, min(r.t) from anchors x join rows_in r on r.k = x.k and r.t >= x.a + interval 31 day
+  group by x.k, x.a
+), kept as (
+  select max(struct_pack(t := r.t, id := r.id, line := r.line, price := r.price)) as r, x.k
+  from anchors x join rows_in r on r.k = x.k and r.t >= x.a and r.t < x.a + interval 31 day
+  group by x.k, x.a
+)
+select k, r.t as t, r.id as id, r.line as line, r.price as price from kept
+"""
+
+
+def _lines(spark, d):
+    return select(spark, d, """
+        select o_orderkey as id, o_custkey as k, o_orderdate as t, l_linenumber as line, l_extendedprice as price
+        from {orders} join {lineitem} on o_orderkey = l_orderkey
+    """)
+
+
+@query("thin_recent_repeated_ids", THIN_REPEATED_SQL)
+def thin_repeated(spark, d):
+    """Ids that repeat: of a run's last instant and id, the last in the order of the other columns."""
+    return thin_recent(_lines(spark, d), "k", "t", "id")
+
+
+@query("thin_recent_repeated_ids_split_keys", THIN_REPEATED_SQL)
+def thin_repeated_split(spark, d):
+    return thin_recent(_lines(spark, d), "k", "t", "id", hot_rows=60)
+
+
 NEXT_SQL = f"""
 with s as ({SALES_SQL}), n as (
   select *, lead(sales_id) over w as nid, lead(phase_property_type) over w as nkind,
