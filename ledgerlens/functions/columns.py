@@ -13,8 +13,11 @@ INFINITY = float("inf")
 
 
 def strip(c: Column) -> Column:
-    """Remove whitespace of every kind at both ends (``trim`` knows only spaces)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove whitespace of every kind at both ends (``trim`` knows only spaces).
+
+    That is Unicode's white space and the four separators U+001C to U+001F.
+    """
+    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def strip_upper(c: Column) -> Column:

@@ -109,24 +109,34 @@ def require_unique_keys(mappings: Mapping[str, tuple[DataFrame, str]]) -> None:
 def upsert_mapping(mapping: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
     """Put new or changed ``(key, value)`` rows into a mapping table.
 
-    Both texts are stripped and upper-cased; an existing row of the same key
-    gives way. Columns of the table that the new rows lack stay null.
+    Both texts are stripped and upper-cased; every existing row whose key is the
+    same after that gives way. Of new rows with one key the one with the smallest
+    target stays. Columns of the table that the new rows lack stay null.
     """
+    shared = [c for c in mapping.columns if c in rows.columns]
     fresh = rows.select(
-        *[
-            strip_upper(F.col(c)).alias(c) if c in (key, value) else F.col(c)
-            for c in mapping.columns
-            if c in rows.columns
-        ]
+        *[strip_upper(F.col(c)).alias(c) if c in (key, value) else F.col(c) for c in shared]
     )
-    old = mapping.join(fresh.select(key), key, "left_anti").select(mapping.columns)
+    rest = [c for c in shared if c not in (key, value)]
+    one = F.min(F.struct(value, *rest)).alias("_row")
+    fresh = fresh.groupBy(key).agg(one).select(key, "_row.*")
+    taken = fresh.select(F.col(key).alias("_key"))
+    old = mapping.join(taken, strip_upper(F.col(key)) == F.col("_key"), "left_anti")
     return old.unionByName(fresh, allowMissingColumns=True)
 
 
 def attach_range(
     df: DataFrame, ranges: DataFrame, on: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """Left join a range table on a composite key; ``_matched`` marks the hits."""
+    """Left join a range table on a composite key; ``_matched`` marks the hits.
+
+    A key that the table repeats would repeat rows, so it is an error. The keys
+    are counted as they come: normalise them first.
+    """
+    twice = ranges.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    bad = twice.where(F.col("_n") > 1).select(*on).limit(5).collect()
+    if bad:
+        raise ValueError(f"range keys occur more than once: {[tuple(r) for r in bad]}")
     table = ranges.select(*on, *values, F.lit(True).alias("_matched"))
     return df.join(table, list(on), "left").withColumn(
         "_matched", F.coalesce("_matched", F.lit(False))

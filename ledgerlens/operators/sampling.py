@@ -7,7 +7,6 @@ not depend on partitioning and is the same after a recomputation.
 from __future__ import annotations
 
 import math
-import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -143,11 +142,8 @@ def temporal_split_id(
     The last block before the pivot takes the years left over. One split takes
     every row, undated ones too.
     """
-    if splits > MAX_SPLITS:
-        warnings.warn(f"at most {MAX_SPLITS} splits; using {MAX_SPLITS}", stacklevel=2)
-        splits = MAX_SPLITS
-    if splits < 1:
-        raise ValueError("splits must be at least 1")
+    if not 1 <= splits <= MAX_SPLITS:
+        raise ValueError(f"splits must be between 1 and {MAX_SPLITS}")
     if splits == 1 or min_year is None:
         return F.lit(1)
     blocks = splits - 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import is_in, plain_number
 from ..plans.settings import NA_TOKENS, Lookups
@@ -39,45 +39,87 @@ def normalise_na(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, na_tokens: Sequence[str] = NA_TOKENS
+    spark: SparkSession, path: str, schema: T.StructType | str, na_tokens: Sequence[str] = NA_TOKENS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header and a declared schema; columns are matched by name.
 
     Every column is read as text and cast after the missing-value tokens are
-    taken out, so a token in a numeric column is a null, not a bad row.
+    taken out, so a token in a numeric column is a null, not a bad row. A whole
+    number may be written with a fraction of zero (``2.0``). Text that is no
+    value of its column's type is a null too: ``cast_failures`` lists it.
+
+    Quoted fields may hold line breaks. A file is then read by one task; without
+    such fields, ``multi_line=False`` lets Spark split large files. A record
+    with more or fewer fields than the header ends the job.
     """
+    text = normalise_na(_read_text(spark, path, schema, multi_line), na_tokens)
+    return text.select([_typed(f).alias(f.name) for f in _schema(schema)])
+
+
+def cast_failures(
+    spark: SparkSession, path: str, schema: T.StructType | str, na_tokens: Sequence[str] = NA_TOKENS,
+    multi_line: bool = True,
+) -> DataFrame:
+    """``(column, value, n)``: texts that ``read_csv`` turns into nulls although they are no token."""
+    text = normalise_na(_read_text(spark, path, schema, multi_line), na_tokens)
+    cells = F.array(
+        *[
+            F.when(
+                F.col(f"`{f.name}`").isNotNull() & _typed(f).isNull(),
+                F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("value")),
+            )
+            for f in _schema(schema)
+        ]
+    )
+    cell = text.select(F.explode(F.array_compact(cells)).alias("c"))
+    return cell.groupBy("c.column", "c.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _typed(field: T.StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return c
+    if isinstance(field.dataType, T.IntegralType):
+        c = F.regexp_replace(c, r"^(\s*[+-]?\d+)\.0*\s*$", "$1")
+    return c.try_cast(field.dataType)
+
+
+def _read_text(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool) -> DataFrame:
+    """Every column of the file as text; a record of another number of fields is an error."""
     _must_exist(spark, path)
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    header = spark.read.option("header", True).csv(path)
-    missing = [f.name for f in schema if f.name not in header.columns]
+    # with only the asked columns parsed, surplus fields would not be seen
+    reader = (
+        spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+        .option("columnPruning", False)
+    )
+    names = reader.csv(path).columns
+    missing = [f.name for f in _schema(schema) if f.name not in names]
     if missing:
         raise ValueError(f"missing columns in {path}: {missing}")
-    text = (
-        spark.read.option("header", True)
-        .option("multiLine", False)
-        .option("escape", '"')
-        .schema(T.StructType([T.StructField(c, T.StringType()) for c in header.columns]))
-        .csv(path)
-    )
-    text = normalise_na(text, na_tokens)
-    return text.select(
-        [
-            F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType)
-            else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+    bad = "_bad_record"
+    fields = [T.StructField(c, T.StringType()) for c in [*names, bad]]
+    text = reader.option("columnNameOfCorruptRecord", bad).schema(T.StructType(fields)).csv(path)
+    message = F.concat(F.lit(f"bad record in {path}: "), F.col(bad))
+    # Spark refuses to read the bad records alone, as a count would: the first column goes along
+    good = F.coalesce(F.length(F.col(f"`{names[0]}`")) >= 0, F.lit(True))
+    return text.where(F.when(F.col(bad).isNull(), good).otherwise(F.raise_error(message).cast("boolean"))).drop(bad)
 
 
 def read_sales(
-    spark: SparkSession, path: str, key: str, schema: T.StructType | str | None = None, fmt: str = "csv"
+    spark: SparkSession, path: str, key: str, schema: T.StructType | str | None = None, fmt: str = "csv",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Raw sales with the customer key as text, from CSV or parquet."""
+    """Raw sales with the customer key as text, from CSV or parquet; ``multi_line`` as in ``read_csv``."""
     _must_exist(spark, path)
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV needs a declared schema")
-        df = read_csv(spark, path, schema)
+        df = read_csv(spark, path, schema, multi_line=multi_line)
     else:
         reader = spark.read.format(fmt)
         df = normalise_na((reader.schema(schema) if schema is not None else reader).load(path))

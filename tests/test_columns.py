@@ -20,6 +20,8 @@ def run(spark, values, kind, expression):
 def test_strip_takes_all_whitespace(spark):
     assert run(spark, ["\t a b \n", "", None], "string", strip) == ["a b", "", None]
     assert run(spark, [" nric no. \r"], "string", strip_upper) == ["NRIC NO."]
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    assert run(spark, [f"{b}a{b}b{b}{b}" for b in blanks], "string", strip) == [f"a{b}b" for b in blanks]
 
 
 def test_null_safe_filters(spark):

@@ -52,6 +52,17 @@ def test_upsert(spark, mapping):
     new = spark.createDataFrame([(" x ", "y"), ("peru", "others")], "clean string, target string")
     got = {r.clean: r.target for r in upsert_mapping(mapping, new, "clean", "target").collect()}
     assert got == {"ZAMBIA": "OTHERS", "ZAMBIA ": "AFRICA", "X": "Y", "PERU": "OTHERS"}
+    again = spark.createDataFrame([("zambia", "b"), ("Zambia\u00a0", "a")], "clean string, target string")
+    got = sorted((r.clean, r.target) for r in upsert_mapping(mapping, again, "clean", "target").collect())
+    assert got == [("X", None), ("ZAMBIA", "A")]
+
+
+def test_repeated_range_key_is_an_error(spark):
+    df = spark.createDataFrame([("p", "1")], "a string, b string")
+    ranges = spark.createDataFrame([("p", "1", 5.0), ("p", "1", 6.0), (None, "1", 1.0), (None, "1", 2.0)], "a string, b string, low double")
+    with pytest.raises(ValueError, match="more than once"):
+        attach_range(df, ranges, ["a", "b"], ["low"])
+    assert attach_range(df, ranges.where("low <> 6"), ["a", "b"], ["low"]).count() == 1
 
 
 def test_range_match(spark):

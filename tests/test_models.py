@@ -141,3 +141,10 @@ def test_too_few_zeros(rows):
     positive = rows.withColumn("label", F.lit(1))
     with pytest.raises(ValueError, match="without replacement"):
         train_ensemble(positive, PurchaseModel(columns=COLUMNS, splits=1), "customer")
+
+
+def test_too_many_categories_are_an_error(spark):
+    rows = spark.range(3000).selectExpr("cast(id as string) as name", "id % 3 as x")
+    with pytest.raises(ValueError, match="name"):
+        fit_encoder(rows, max_categories=1000)
+    fit_encoder(rows, max_categories=4000)

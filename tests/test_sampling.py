@@ -57,8 +57,8 @@ def test_temporal_slices(spark, k, first, want):
     assert {(r.d.year if r.d else None): r.split_id for r in out.collect()} == want
 
 
-def test_too_many_slices_are_cut(spark):
+def test_too_many_slices_are_an_error(spark):
     rows = [(dt.datetime(y, 6, 1),) for y in range(2000, 2022)]
-    with pytest.warns(UserWarning):
-        out = temporal_splits(spark.createDataFrame(rows, "d timestamp_ntz"), "d", 6)
-    assert {r.split_id for r in out.collect()} == {1, 2, 3, 4, 5}
+    for splits in (0, 6):
+        with pytest.raises(ValueError, match="between 1 and 5"):
+            temporal_splits(spark.createDataFrame(rows, "d timestamp_ntz"), "d", splits)

@@ -4,7 +4,8 @@ from ledgerlens.operators.quality import REPORT_SCHEMA, drop_report, require_col
 from ledgerlens.plans.settings import NA_TOKENS
 from ledgerlens.sources.sinks import append_report, new_run_id, write_result, write_stage
 from ledgerlens.sources.tables import (
-    normalise_na, read_column_list, read_csv, read_lookups, read_mapping, read_or_compute, read_sales,
+    cast_failures, normalise_na, read_column_list, read_csv, read_lookups, read_mapping, read_or_compute,
+    read_override, read_sales,
 )
 
 
@@ -25,6 +26,25 @@ def test_csv_with_tokens_and_casts(spark, tmp_path):
         read_csv(spark, str(tmp_path / "none.csv"), "a long")
 
 
+def test_csv_keeps_line_breaks_and_tells_bad_records(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'a,b,c\n1,"two\nlines",5\n2.0,"q ""x"", y",x7\n3.5,,-2.\n')
+    out = read_csv(spark, path, "a long, b string, c int")
+    assert [tuple(r) for r in out.collect()] == [(1, "two\nlines", 5), (2, 'q "x", y', None), (None, None, -2)]
+    failed = cast_failures(spark, path, "a long, b string, c int").collect()
+    assert sorted(map(tuple, failed)) == [("a", "3.5", 1), ("c", "x7", 1)]
+    for name, line in (("more", "1,2,3,4"), ("less", "1,2")):
+        path = put(tmp_path / f"{name}.csv", f"a,b,c\n1,2,3\n{line}\n")
+        for split in (True, False):
+            with pytest.raises(Exception, match="bad record"):
+                read_csv(spark, path, "a long, c int", multi_line=split).collect()
+
+
+def test_saved_override_with_a_gap_still_matches(spark, tmp_path):
+    path = put(tmp_path / "o.csv", "sales_id,derived_contact_city\n7.0,Klang\n,Ipoh\n9.0,\n")
+    out = read_override(spark, path, "derived_contact_city")
+    assert [tuple(r) for r in out.collect()] == [(7, "Klang"), (None, "Ipoh"), (9, None)]
+
+
 def test_sales_key_is_text(spark, tmp_path):
     path = put(tmp_path / "s.csv", "sales_id,nric,buyer_dob\n1,0007,\n2,12,1990-01-01\n")
     out = read_sales(spark, path, "nric", "sales_id long, nric string, buyer_dob string")

@@ -85,6 +85,5 @@ from y, b group by 1
 """,
 )
 def slice_sizes(spark, d):
-    """More than five slices are cut to five."""
-    out = temporal_splits(table(spark, d, "orders"), "o_orderdate", 7, pivot_year=2000)
+    out = temporal_splits(table(spark, d, "orders"), "o_orderdate", 5, pivot_year=2000)
     return out.groupBy("split_id").agg(F.count(F.lit(1)).alias("n"))
