@@ -9,14 +9,14 @@ from functools import reduce
 from operator import add
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import at_least, differs, not_in_keep_null
 from ..operators.quality import require_columns
 from ..operators.sampling import downsample_slices, hold_out, split_exact, temporal_splits
 from ..operators.stats import binary_metrics, class_report
 from ..plans.settings import EXCLUDED_TYPES, PROPERTY_TYPES, PurchaseModel, TypeModel
-from ..session import path_exists, stage
+from ..session import delete_path, path_exists, stage
 from .encode import FEATURES, encode, feature_names, fit_encoder
 from .models import Member, fit_member, importances
 
@@ -42,6 +42,8 @@ class Ensemble:
         return soft_vote(out, parts, threshold).drop(FEATURES, *parts)
 
     def save(self, path: str) -> None:
+        """Write the ensemble in place of whatever the folder held."""
+        delete_path(SparkSession.active(), path)
         self.encoder.write().overwrite().save(f"{path}/encoder")
         for i, m in enumerate(self.members, start=1):
             m.save(f"{path}/{m.name}_{i}")
@@ -177,6 +179,8 @@ def evaluate(
     scored = model.score(df, threshold).select(
         key, PROBABILITY, PREDICTED, F.col(truth).cast("int").alias(TRUTH)
     )
+    # the metrics read what was scored, and score nothing again
+    scored = stage(scored, "evaluated")
     return scored, binary_metrics(scored, f"`{TRUTH}`", f"`{PREDICTED}`")
 
 
@@ -187,6 +191,7 @@ def evaluate_types(
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
     rows = df.where(not_in_keep_null(F.col(next_kind), exclude))
     rows = one_hot_labels(rows, next_kind, {f"_is_{t}": classes[t] for t in models})
+    rows = stage(rows, "types-test")
     return {t: evaluate(m, rows, key, f"_is_{t}", threshold) for t, m in models.items()}
 
 
@@ -202,9 +207,17 @@ def score_cascade(
     if not types:
         warnings.warn("no property type is selected", stacklevel=2)
     scored = stage(purchase.score(df, threshold), "scored")
-    buyers = scored.where(F.col(PREDICTED) == 1).drop(PROBABILITY, PREDICTED)
-    by_type = {
-        t: m.score(buyers, type_threshold).select(key, PROBABILITY, PREDICTED)
-        for t, m in types.items()
+    return scored.select(key, PROBABILITY, PREDICTED), score_types(types, likely_buyers(scored), key, type_threshold)
+
+
+def likely_buyers(scored: DataFrame) -> DataFrame:
+    """The input rows of predicted buyers, fit for the type models now or in a later run."""
+    return scored.where(F.col(PREDICTED) == 1).drop(PROBABILITY, PREDICTED)
+
+
+def score_types(
+    types: Mapping[str, Ensemble], buyers: DataFrame, key: str, threshold: float = 0.5
+) -> dict[str, DataFrame]:
+    return {
+        t: m.score(buyers, threshold).select(key, PROBABILITY, PREDICTED) for t, m in types.items()
     }
-    return scored.select(key, PROBABILITY, PREDICTED), by_type

@@ -5,14 +5,15 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..ml.purchase import (
-    PREDICTED, Ensemble, evaluate, evaluate_types, load_types, save_types, score_cascade,
-    train_ensemble, train_types,
+    PREDICTED, PROBABILITY, Ensemble, evaluate, evaluate_types, likely_buyers, load_types, save_types,
+    score_types, train_ensemble, train_types,
 )
 from ..operators.periods import holdout_labels
-from ..sources.sinks import append_report, new_run_id, write_result, write_stage
+from ..session import stage
+from ..sources.sinks import append_report, latest_result, new_run_id, write_result, write_stage
 from .prepare import Prepared, prepare, scoring_rows, with_label
 from .settings import EXCLUDED_TYPES, Lookups, Preparation, PurchaseModel, TypeModel
 
@@ -51,7 +52,11 @@ def run(
     purchase: PurchaseModel | None = None,
     types: TypeModel | None = None,
 ) -> Outcome:
-    """Run the modes; models, results and reports go under ``out_dir``."""
+    """Run the modes; models, results and reports go under ``out_dir``.
+
+    Inference with type models alone takes the buyers that the last inference of
+    a purchase model stored.
+    """
     if purchase is None and types is None:
         raise ValueError("give a purchase model, a type model or both")
     need_period = modes.test_labels or modes.labelled and modes.evaluation
@@ -59,7 +64,8 @@ def run(
         raise ValueError("test labels and evaluation need an evaluation period")
     labelled = modes.labelled or modes.test_labels
     done = prepare(raw, lookups, replace(preparation, with_label=labelled))
-    append_report(done.report, f"{out_dir}/report")
+    spark, run_id = raw.sparkSession, new_run_id()
+    append_report(done.report, f"{out_dir}/report", run_id)
     key = preparation.key
     rows = done.rows
     if need_period and done.evaluation is None:
@@ -67,7 +73,6 @@ def run(
     if (modes.training or modes.evaluation) and "label" not in rows.columns:
         rows = write_stage(with_label(rows, key), preparation.save_dir or out_dir, "bin_labelled")
     outcome = Outcome(rows, done.report)
-    spark, run_id = raw.sparkSession, new_run_id()
 
     if modes.test_labels:
         repeat, typed = _test_sets(done, rows, key)
@@ -97,18 +102,19 @@ def run(
             _write(outcome, scored, out_dir, f"{name}_predictions", "eval", run_id)
             _write(outcome, metrics, out_dir, f"{name}_metrics", "eval", run_id)
     elif modes.inference:
-        if purchase is None:
-            raise ValueError("type predictions follow the purchase predictions")
-        model = _load_purchase(spark, out_dir, purchase)
-        models = load_types(spark, f"{out_dir}/type_model", types) if types is not None else {}
-        threshold = types.threshold if types is not None else 0.5
-        scored, by_type = score_cascade(
-            model, models, scoring_rows(rows), key, purchase.threshold, threshold
-        )
-        _write(outcome, scored, out_dir, "purchase_predictions", "infer", run_id)
-        _write(outcome, scored.where(F.col(PREDICTED) == 1), out_dir, "likely_buyers", "infer", run_id)
-        for name, part in by_type.items():
-            _write(outcome, part, out_dir, f"{name}_predictions", "infer", run_id)
+        if purchase is not None:
+            model = _load_purchase(spark, out_dir, purchase)
+            scored = stage(model.score(scoring_rows(rows), purchase.threshold), "scored")
+            buyers = likely_buyers(scored)
+            scored = scored.select(key, PROBABILITY, PREDICTED)
+            _write(outcome, scored, out_dir, "purchase_predictions", "infer", run_id)
+            _write(outcome, buyers, out_dir, "likely_buyers", "infer", run_id)
+        else:
+            buyers = latest_result(spark, f"{out_dir}/likely_buyers", "infer")
+        if types is not None:
+            models = load_types(spark, f"{out_dir}/type_model", types)
+            for name, part in score_types(models, buyers, key, types.threshold).items():
+                _write(outcome, part, out_dir, f"{name}_predictions", "infer", run_id)
     return outcome
 
 

@@ -34,7 +34,11 @@ def staged_dir(spark: SparkSession) -> str:
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables, once their frames are done with."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(staged_dir(spark))
+    delete_path(spark, staged_dir(spark))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 

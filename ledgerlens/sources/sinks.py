@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def new_run_id() -> str:
@@ -30,5 +30,15 @@ def write_result(df: DataFrame, path: str, mode: str, run_id: str) -> None:
     tagged.write.mode("append").partitionBy("mode", "run_id").parquet(path)
 
 
-def append_report(report: DataFrame, path: str) -> None:
-    report.write.mode("append").parquet(path)
+def append_report(report: DataFrame, path: str, run_id: str) -> None:
+    """Append a report under its run, as a partition column."""
+    report.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def latest_result(spark: SparkSession, path: str, mode: str) -> DataFrame:
+    """The rows that the last run of a mode wrote, without the partition columns."""
+    rows = spark.read.option("basePath", path).parquet(path).where(F.col("mode") == mode)
+    last = rows.agg(F.max(F.col("run_id").cast("string"))).first()[0]
+    if last is None:
+        raise FileNotFoundError(f"{path} has no rows of mode {mode}")
+    return rows.where(F.col("run_id") == last).drop("mode", "run_id")

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 
 from ledgerlens.plans.prepare import prepare
@@ -47,7 +49,20 @@ def test_train_evaluate_then_score(spark, raw, prepared, tmp_path):
     assert "label" not in scored.rows.columns
     stored = spark.read.parquet(f"{out}/purchase_predictions")
     assert {r["mode"] for r in stored.select("mode").distinct().collect()} == {"eval", "infer"}
-    assert scored.tables["landed_predictions"].count() == scored.tables["likely_buyers"].count()
+    buyers = scored.tables["likely_buyers"].count()
+    assert scored.tables["landed_predictions"].count() == buyers
+
+    # the type models alone, on the buyers that were stored
+    alone = run(raw, lookups, settings, Modes(inference=True), out, types=TYPES)
+    assert set(alone.tables) == {"landed_predictions", "commercial_predictions"}
+    for name in alone.tables:
+        a, b = (sorted(map(str, x.tables[name].collect())) for x in (scored, alone))
+        assert a == b and len(a) == buyers
+
+    # a smaller ensemble leaves nothing of the larger one
+    smaller = replace(PURCHASE, splits=1)
+    run(raw, lookups, settings, Modes(training=True), out, smaller)
+    assert not path_exists(spark, f"{out}/purchase_model/random_forest_2")
 
 
 def test_labels_only_and_bad_modes(spark, raw, tmp_path):

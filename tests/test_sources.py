@@ -119,9 +119,9 @@ def test_reports(spark, tmp_path):
     df = spark.createDataFrame([(None, 1), ("x", None), (None, None), ("y", 2)], "a string, b int")
     report = drop_report(df, ["a", "b"], "s")
     assert {r["column"]: r.n for r in report.collect()} == {"a": 2, "b": 1}
-    for _ in range(2):
-        append_report(report, str(tmp_path / "report"))
-    stored = spark.read.schema(REPORT_SCHEMA).parquet(str(tmp_path / "report"))
-    assert stored.count() == 4
+    for run in ("r1", "r2"):
+        append_report(report, str(tmp_path / "report"), run)
+    stored = spark.read.schema(f"{REPORT_SCHEMA}, run_id string").parquet(str(tmp_path / "report"))
+    assert sorted((r.run_id, r["column"]) for r in stored.collect()) == [(x, c) for x in ("r1", "r2") for c in ("a", "b")]
     with pytest.raises(ValueError, match="zz"):
         require_columns(df, ["a", "zz"], "here")
