@@ -3,8 +3,8 @@
 Every rule is a Column expression. A step adds its derived column and the row
 is dropped if that is null; drops are one filter at the end. A statistic sees
 only the rows the earlier steps kept, so it is taken from the frame filtered on
-the columns derived so far: one narrow aggregate, whose single value enters
-the later rules as a literal. The input should be a staged table.
+the columns derived so far; one narrow aggregate takes them all, and their values
+enter the rules as literals. The input should be a staged table.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from ..functions.columns import (
 )
 from ..operators.lookup import attach_range, override_first, override_where
 from ..operators.quality import drop_nulls, drop_report
-from ..operators.stats import fixed, mean_frame, mode_frame
 from ..session import stage
 from .settings import Lookups
 
@@ -43,6 +42,13 @@ MIN_LAND_SQFT = 1000
 MIN_LAND_SQM = 1500
 SMALLEST_SQFT = 200
 ID_TYPE = "derived_contact_identification_type"
+FILLED_PRICES = [
+    "non_land_posted_list_price", "non_land_posted_selling_price", "non_land_posted_total_loan_amount",
+    "non_land_posted_spa_amount", "non_land_posted_sales_amount", "non_land_posted_total_rebate",
+]
+AGE = "customer_age"
+# in the order in which the rules take them
+STATISTICS = ["customer_gender", "customer_marital_status", AGE, "contact_annual_income"]
 
 
 def id_type_rule(value: Column, purchaser: Column, nationality: Column) -> Column:
@@ -212,18 +218,41 @@ def clean_area(
     )
 
 
-def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
-    """(cleaned rows, report of dropped rows), in the fixed order of the rules."""
-    c = F.col
+def upper_columns() -> dict[str, Column]:
+    """Texts that are only put into one case."""
+    return {
+        "derived_bumi_status": F.upper("customer_bumi_status"),
+        "derived_contact_occupation": strip_upper(F.col("contact_occupation")),
+        "derived_build_type": F.upper("build_type"),
+        "derived_phase_property_type": F.upper("phase_property_type"),
+    }
+
+
+def filled_prices() -> dict[str, Column]:
+    """Prices with 0 for a missing one."""
+    return {f"derived_{p}": F.coalesce(plain_number(F.col(p)), F.lit(0.0)) for p in FILLED_PRICES}
+
+
+def _derive(
+    df: DataFrame, lookups: Lookups, known: Mapping[str, Column]
+) -> tuple[DataFrame, list[str], dict[str, list[str]]]:
+    """The rules up to the income, given the statistics.
+
+    Returns the frame, the columns that must not be null, and for each statistic
+    those that were there when it is taken.
+    """
+    c, upper = F.col, upper_columns()
     done: list[str] = []
+    before: dict[str, list[str]] = {}
 
     def add(columns: Mapping[str, Column]) -> None:
         nonlocal df
         df = df.withColumns(dict(columns))
         done.extend(columns)
 
-    def survivors(frame: DataFrame) -> DataFrame:
-        return drop_nulls(frame, done)
+    def statistic(name: str) -> Column:
+        before[name] = list(done)
+        return known[name]
 
     # id type, with its override
     df = df.withColumn(ID_TYPE, c("contact_identification_type"))
@@ -231,15 +260,13 @@ def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
         df, lookups.id_type, "sales_id", ID_TYPE, "derived_id_type", c(ID_TYPE) == "Undefined"
     )
     add({ID_TYPE: id_type_rule(c(ID_TYPE), c("contact_purchaser_type"), c("customer_nationality"))})
-    add({"derived_bumi_status": F.upper("customer_bumi_status")})
+    add({"derived_bumi_status": upper["derived_bumi_status"]})
     id_type = c(ID_TYPE)
 
-    mode = fixed(mode_frame(survivors(df), "customer_gender"))
     add({"derived_gender": gender_rule(
-        id_type, c("customer_gender"), c("contact_gender"), c("contact_nric"), mode)})
-    mode = fixed(mode_frame(survivors(df), "customer_marital_status"))
+        id_type, c("customer_gender"), c("contact_gender"), c("contact_nric"), statistic("customer_gender"))})
     add({"derived_marital_status": marital_rule(
-        id_type, c("customer_marital_status"), c("contact_marital_status"), mode)})
+        id_type, c("customer_marital_status"), c("contact_marital_status"), statistic("customer_marital_status"))})
     add({"derived_contact_salutation": salutation_rule(
         id_type, c("contact_salutation"), c("derived_gender"))})
     add({"derived_contact_purchaser_type": purchaser_rule(id_type)})
@@ -252,10 +279,9 @@ def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
     )
     add({nation: F.coalesce(nation, F.lit("OTHERS"))})
 
-    ages = survivors(df).withColumn("customer_age", plain_number(c("customer_age")))
-    mean = fixed(mean_frame(ages, "customer_age", differs(id_type, COMPANY)))
-    add({"derived_age": age_rule(id_type, c("spa_date"), c("buyer_dob"), c("customer_age"), mean)})
-    add({"derived_contact_occupation": strip_upper(c("contact_occupation"))})
+    add({"derived_age": age_rule(
+        id_type, c("spa_date"), c("buyer_dob"), c("customer_age"), statistic("customer_age"))})
+    add({"derived_contact_occupation": upper["derived_contact_occupation"]})
     add({"derived_is_cash_buyer": cash_rule(c("is_cash_buyer"), c("financier1_name"))})
     add({"derived_race": race_rule(
         id_type, c("customer_race"), c("contact_race"), c("customer_race_group"))})
@@ -270,19 +296,64 @@ def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
     lifestyle = "contact_lifestyle_registration_status"
     add({f"derived_{lifestyle}": status_rule(
         id_type, c(lifestyle), "Undefined", "Non-Registered", fill_null=True)})
-    mode = fixed(mode_frame(survivors(df), "contact_annual_income"))
-    add({"derived_contact_annual_income": income_rule(c("contact_annual_income"), mode)})
-
-    df = clean_area(df, lookups.area_range, keep=survivors)
-    done.append("derived_built_up_area_sqft")
-    add({"derived_build_type": F.upper("build_type")})
-    add({"derived_phase_property_type": F.upper("phase_property_type")})
-    add({"derived_financier_name": financier_rule(c("derived_is_cash_buyer"), c("financier1_name"))})
+    add({"derived_contact_annual_income": income_rule(
+        c("contact_annual_income"), statistic("contact_annual_income"))})
+    return df, done, before
+
+
+def _measured(df: DataFrame, before: Mapping[str, list[str]], names: list[str]) -> dict[str, object]:
+    """Modes, and the mean age of persons, each over the rows without a null so far; in one pass."""
+    cells = []
+    for name in names:
+        here = F.lit(True)
+        for x in before[name]:
+            here = here & F.col(x).isNotNull()
+        age = plain_number(F.col(name)) if name == AGE else F.lit(None).cast("double")
+        value = F.lit(None).cast("string") if name == AGE else F.col(name).cast("string")
+        if name == AGE:
+            here = here & differs(F.col(ID_TYPE), COMPANY)
+        present = age.isNotNull() if name == AGE else value.isNotNull()
+        cells.append(F.when(here & present, F.struct(F.lit(name).alias("name"), value.alias("value"), age.alias("age"))))
+    cell = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*")
+    counts = cell.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("age").alias("total"))
+    # the most frequent value, the smallest one on ties
+    first = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")
+    mean = (F.sum("total") / F.sum("n")).alias("mean")
+    found = {r["name"]: r["mean"] if r["name"] == AGE else r["mode"] for r in counts.groupBy("name").agg(first, mean).collect()}
+    return {name: found.get(name) for name in names}
+
+
+def _statistics(df: DataFrame, lookups: Lookups) -> dict[str, Column]:
+    """The statistics as literals.
+
+    A rule is null or not whatever the statistics before it are, as long as they
+    are not null; so stand-ins serve to tell which rows are left, and one pass
+    takes all. Should one be null, the rest is taken in turn.
+    """
+    literal = {n: F.lit(1.0) if n == AGE else F.lit("?") for n in STATISTICS}
+    left = list(STATISTICS)
+    while left:
+        frame, _, before = _derive(df, lookups, literal)
+        found = _measured(frame, before, left)
+        while left:
+            name = left.pop(0)
+            literal[name] = F.lit(found[name]).cast("double" if name == AGE else "string")
+            if found[name] is None:
+                break
+    return literal
+
+
+def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
+    """(cleaned rows, report of dropped rows), in the fixed order of the rules."""
+    df, done, _ = _derive(df, lookups, _statistics(df, lookups))
+    upper = upper_columns()
+    df = clean_area(df, lookups.area_range, keep=lambda frame: drop_nulls(frame, done))
+    late = {
+        "derived_build_type": upper["derived_build_type"],
+        "derived_phase_property_type": upper["derived_phase_property_type"],
+        "derived_financier_name": financier_rule(F.col("derived_is_cash_buyer"), F.col("financier1_name")),
+    }
+    df = df.withColumns(late)
+    done = [*done, "derived_built_up_area_sqft", *late]
     report = drop_report(df, done, "clean")
-    df = survivors(df).withColumns(
-        {f"derived_{p}": F.coalesce(plain_number(c(p)), F.lit(0.0)) for p in (
-            "non_land_posted_list_price", "non_land_posted_selling_price",
-            "non_land_posted_total_loan_amount", "non_land_posted_spa_amount",
-            "non_land_posted_sales_amount", "non_land_posted_total_rebate")}
-    )
-    return df, report
+    return drop_nulls(df, done).withColumns(filled_prices()), report

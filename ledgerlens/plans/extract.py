@@ -71,14 +71,15 @@ def extract(df: DataFrame, settings: Preparation, hot_rows: int = HOT_ROWS) -> E
     df = df.withColumn(settings.key, F.col(settings.key).cast("string"))
     df = df.withColumns({c: plain_number(F.col(c)) for c in PRICE_COLUMNS})
     sold = {"project_country": settings.country, "last_sales_status": settings.sale_status}
-    joined = join_views(
+    # thinning and the report read it: the raw table is read once for each view
+    joined = stage(join_views(
         df,
         "sales_id",
         {**sold, "date_type": settings.attribute_view},
         columns,
         {**sold, "date_type": settings.price_view},
         PRICE_COLUMNS,
-    )
+    ), "joined")
     # read by the report, the statistics and the search for date bounds
     sales = stage(
         thin_recent(joined, settings.key, "spa_date", "sales_id", settings.thin_days, hot_rows),

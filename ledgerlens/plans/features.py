@@ -7,11 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import not_in_keep_null, ratio_band, safe_ratio
-from ..operators.lookup import (
-    attach_group, attach_mapped, mapping_table, require_unique_keys, unmapped_values,
-)
-from ..operators.quality import unmapped_report
+from ..functions.columns import not_in_keep_null, ratio_band, safe_ratio, strip_upper
+from ..operators.lookup import attach_group, attach_mapped, mapping_table, require_unique_keys
 from ..operators.quantiles import Cut, bin_columns
 from ..session import stage
 from .clean import COMPANY, ID_TYPE, NOT_APPLICABLE
@@ -103,27 +100,40 @@ def group_values(df: DataFrame, mappings: dict[str, DataFrame]) -> tuple[DataFra
     if missing:
         raise ValueError(f"missing mapping tables {missing}")
     require_unique_keys({n: (t, t.columns[1]) for n, t in mappings.items()})
-    tables, reports = [], []
+    tables = []
     for column, name, _, normalise in GROUPS:
         table = mappings[name]
         key, value = table.columns[1], table.columns[3]
         tables.append(
             mapping_table(table, key, value, normalise).withColumn("_name", F.lit(name))
         )
-        lost = unmapped_values(df, column, table, key, value, normalise)
-        reports.append(unmapped_report(lost, column, "group"))
     # one small staged table for all mappings
     staged = stage(reduce(DataFrame.unionByName, tables), "mappings")
     out = df
     for column, name, target, _ in GROUPS:
         table = staged.where(F.col("_name") == name).drop("_name")
         out = attach_mapped(out, column, table, target)
-    report = reduce(DataFrame.unionByName, reports)
+    report = _unmapped(df, staged)
     income = "group_derived_contact_annual_income"
     company = F.col(ID_TYPE) == COMPANY
     return out.withColumn(income, F.when(company, NOT_APPLICABLE).otherwise(F.col(income))), report
 
 
+def _unmapped(df: DataFrame, tables: DataFrame) -> DataFrame:
+    """Report of the values of all grouped columns that have no target, from one pass."""
+    cells = F.array(*[
+        F.struct(F.lit(column).alias("column"), F.lit(name).alias("name"), strip_upper(F.col(column)).alias("value"))
+        for column, name, _, _ in GROUPS
+    ])
+    seen = df.select(F.explode(cells).alias("c")).select("c.*")
+    seen = seen.groupBy("column", "name", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = tables.where(F.col("_value").isNotNull()).select(F.col("_name").alias("name"), F.col("_key").alias("value"))
+    # a null value matches no key
+    return seen.join(known, ["name", "value"], "left_anti").select(
+        F.lit("group").alias("stage"), "column", F.lit("no mapping target").alias("issue"), "value", "n"
+    )
+
+
 def bin_values(df: DataFrame, dropped_sales: Sequence[int] = DROPPED_SALES) -> DataFrame:
     """Quantile categories of area, age and prices, and the rebate band."""
     df = df.where(not_in_keep_null(F.col("sales_id"), dropped_sales))

@@ -212,16 +212,38 @@ def mode(spark, d):
 
 @query(
     "fill_zero",
-    """select l_orderkey, l_linenumber, l_partkey,
-              case when l_returnflag = 'A' then 0 else l_extendedprice end as price from lineitem""",
+    "select l_orderkey, l_linenumber, l_partkey, " + ", ".join(
+        f"case when l_returnflag = 'A' or l_linenumber = {i} then 0 else l_extendedprice end as derived_{p}"
+        for i, p in enumerate(rules.FILLED_PRICES, start=1)
+    ) + " from lineitem",
 )
 def fill_zero(spark, d):
+    """The price rule of the cleaning: null and NaN become 0."""
+    prices = ", ".join(
+        f"case when l_returnflag = 'A' then null when l_linenumber = {i} then cast('NaN' as double) else l_extendedprice end as {p}"
+        for i, p in enumerate(rules.FILLED_PRICES, start=1)
+    )
+    rows = select(spark, d, f"select l_orderkey, l_linenumber, l_partkey, {prices} from {{lineitem}}")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", *[v.alias(n) for n, v in rules.filled_prices().items()])
+
+
+@query(
+    "upper_rules",
+    """select c_custkey, upper(case when c_custkey % 40 = 0 then null else 'Bumi ' || c_mktsegment end) as derived_bumi_status,
+              upper(c_mktsegment) as derived_contact_occupation, '\u00a0' || upper(c_name) as derived_build_type,
+              upper(case c_custkey % 3 when 0 then 'Landed' when 1 then 'High Rise' end) as derived_phase_property_type
+       from customer""",
+)
+def upper_rules(spark, d):
+    """The rules that only change case; blanks of every kind go from an occupation alone."""
     rows = select(
         spark, d,
-        """select l_orderkey, l_linenumber, l_partkey,
-           case when l_returnflag = 'A' then null else l_extendedprice end as price from {lineitem}""",
+        """select c_custkey, case when c_custkey % 40 = 0 then null else 'Bumi ' || c_mktsegment end as customer_bumi_status,
+                  '\u00a0\t' || lower(c_mktsegment) || '\u3000 ' as contact_occupation, '\u00a0' || c_name as build_type,
+                  case c_custkey % 3 when 0 then 'Landed' when 1 then 'High Rise' end as phase_property_type
+           from {customer}""",
     )
-    return rows.fillna(0.0, ["price"])
+    return rows.select("c_custkey", *[v.alias(n) for n, v in rules.upper_columns().items()])
 
 
 AMOUNTS = """

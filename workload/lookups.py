@@ -9,7 +9,7 @@ from ledgerlens.operators.lookup import (
     attach_range, duplicate_keys, flag_member, last_value_per_key, map_values, override_first,
     override_where, unmapped_values, upsert_mapping,
 )
-from ledgerlens.plans.features import completion, maturity, years_since_first
+from ledgerlens.plans.features import GROUPS, completion, group_values, maturity, years_since_first
 
 from .registry import plain, query, select, table
 
@@ -80,6 +80,57 @@ def duplicates(spark, d):
     return duplicate_keys(table(spark, d, "part").select("p_partkey", "p_name"), "p_name")
 
 
+# every grouped column, the mapping of its name, and whether that mapping's key is normalised
+GROUPED = """
+select c_custkey, case c_custkey % 3 when 0 then 'REG NO.' else 'NRIC NO.' end as derived_contact_identification_type,
+  c_mktsegment as derived_contact_salutation, lower(n_name) as derived_nationality, c_mktsegment as derived_contact_occupation,
+  n_name || ' ' as derived_financier_name, nullif(n_name, 'FRANCE') as derived_race, n_name as derived_contact_city,
+  n_name as derived_contact_annual_income
+from {customer} join {nation} on c_nationkey = n_nationkey
+"""
+KEYS = """
+select n_name as raw, case when n_nationkey % 3 = 0 then lower(n_name) else n_name end as clean, 1.0e0 as cnt,
+  case when n_nationkey % 5 = 0 then null else r_name end as target
+from {nation} join {region} on n_regionkey = r_regionkey
+union all select distinct c_mktsegment, ' ' || lower(c_mktsegment), 1.0e0, 'SEGMENT ' || c_mktsegment from {customer}
+"""
+
+
+def _grouped_sql() -> str:
+    parts = []
+    for column, _, target, normalised in GROUPS:
+        key = "upper(trim(clean))" if normalised else "clean"
+        value = f"coalesce((select min(target) from m where {key} = upper(trim({column}))), 'UNKNOWN')"
+        if target == "group_derived_contact_annual_income":
+            value = f"case when derived_contact_identification_type = 'REG NO.' then 'NOT APPLICABLE' else {value} end"
+        parts.append(f"{value} as {target}")
+    return f"with m as ({plain(KEYS)}), p as ({plain(GROUPED)}) select c_custkey, {', '.join(parts)} from p"
+
+
+def _group(spark, d):
+    return group_values(select(spark, d, GROUPED), {name: select(spark, d, KEYS) for _, name, _, _ in GROUPS})
+
+
+@query("group_values", _grouped_sql())
+def grouped_values(spark, d):
+    """All seven groupings; keys are taken as they are but for the salutation, companies have no income."""
+    return _group(spark, d)[0].select("c_custkey", *[target for _, _, target, _ in GROUPS])
+
+
+@query(
+    "group_report",
+    f"with m as ({plain(KEYS)}), p as ({plain(GROUPED)}) " + " union all ".join(
+        f"""select 'group' as stage, '{column}' as "column", 'no mapping target' as issue, upper(trim({column})) as value, count(*) as n
+            from p where upper(trim({column})) is null or upper(trim({column})) not in
+              (select {"upper(trim(clean))" if normalised else "clean"} from m where target is not null) group by 4"""
+        for column, _, _, normalised in GROUPS
+    ),
+)
+def group_report(spark, d):
+    """Values without a target, of all columns in one pass."""
+    return _group(spark, d)[1]
+
+
 CHANGES = """
 select '  ' || lower(s_name) || ' ' as clean, 'moved ' as target from {supplier}
 union all select lower(n_name), 'new ' || n_name from {nation} where n_regionkey = 1
