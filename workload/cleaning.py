@@ -15,6 +15,7 @@ from ledgerlens.sources.tables import normalise_na
 
 from .registry import plain, query, select, table
 
+# The sentinels and area constants in the SQL of this module are those of the rules.
 PEOPLE = """
 select c_custkey,
   case c_custkey % 7 when 0 then 'Undefined' when 1 then ' nric no. ' when 2 then 'Passport' when 3 then 'REG NO'
