@@ -17,6 +17,11 @@ BANDS, ROWS = 25, 5
 WORDS_IN_SHINGLE, SIMILAR = 5, 0.8
 #: Pairs whose signatures agree less than this are not read: four standard deviations below SIMILAR.
 PLAUSIBLE = 0.64
+#: Coordinates, of one byte each, by which what a bucket still holds apart is compared; and how far, four
+#: standard deviations, their agreement may be below the similarity.
+WIDE, SLACK = 1024, 0.05
+#: Texts of a bucket that one task compares with as many others.
+BLOCK = 512
 #: Texts taken together when darts are thrown.
 TOGETHER = 256
 
@@ -73,9 +78,9 @@ def throw(elements: list[np.ndarray], weights: list[np.ndarray], k: int, seed: i
     return out
 
 
-def signatures(size: int, k: int, weighted: bool, seed: int):
+def signatures(size: int, k: int, weighted: bool, seed: int, width: int = 4):
     """mapInPandas over (text, ...): the text gives way to ``shingles`` (how many distinct) and
-    ``signature`` (the low 32 bits of each coordinate)."""
+    ``signature`` (the low ``width`` bytes of each coordinate)."""
 
     def run(batches):
         import pandas as pd
@@ -85,7 +90,7 @@ def signatures(size: int, k: int, weighted: bool, seed: int):
             for start in range(0, len(batch), TOGETHER):
                 part = batch.iloc[start : start + TOGETHER]
                 found = [cut(t) for t in part["text"]]
-                rows = throw([e for e, _ in found], [n if weighted else np.ones(len(n)) for _, n in found], k, seed).astype("<u4")
+                rows = throw([e for e, _ in found], [n if weighted else np.ones(len(n)) for _, n in found], k, seed).astype(f"<u{width}")
                 yield part.drop(columns="text").assign(shingles=[len(e) for e, _ in found], signature=pd.Series([r.tobytes() for r in rows], index=part.index, dtype=object))
 
     return run
@@ -107,6 +112,32 @@ def _agreeing(a, b):
     return share(a, b)
 
 
+def _apart(least: float):
+    """Of one block of a bucket and another: pairs of different classes, not both the main one, whose wide
+    signatures agree in a share of at least ``least``."""
+
+    def run(group):
+        import pandas as pd
+
+        wide = np.frombuffer(b"".join(group["wide"]), np.uint8).reshape(len(group), -1)
+        n, c = group["n"].to_numpy(), group["c"].to_numpy()
+        left = (group["block"] == group["i"]).to_numpy()
+        right = np.flatnonzero((group["block"] == group["j"]).to_numpy())
+        outside = c != group["main"].iloc[0]
+        found = []
+        for at in np.flatnonzero(left):
+            # a pair is taken once: in its own block by place, else from the left one
+            to = right[right > at] if group["i"].iloc[0] == group["j"].iloc[0] else right
+            to = to[(c[to] != c[at]) & (outside[to] | outside[at])]
+            if len(to):
+                to = to[(wide[to] == wide[at]).mean(axis=1) >= least]
+                found += [(n[at], m) for m in n[to]]
+        pairs = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+        return pd.DataFrame({"x": pairs[:, 0], "y": pairs[:, 1]})
+
+    return run
+
+
 def _similarity(size: int, weighted: bool, a, b):
     """Exact Jaccard similarity of two texts' shingles, generalised if weighted."""
 
@@ -152,8 +183,9 @@ def near_duplicates(
     class. ``address`` is the text's SHA-256, ``copies`` how many rows have this id and text.
 
     Equal texts are one class before any signature is made. In a bucket of a band everything is compared
-    with the bucket's first text, never with everything. Only where a bucket then still holds
-    several classes, its texts outside the largest class are compared with those of other classes.
+    with the bucket's most central text, never with everything. Only where a bucket then still holds
+    several classes, its texts outside the largest class are compared, in blocks and by wider signatures,
+    with those of other classes; that is quadratic in such a bucket, but only likely pairs leave a block.
 
     A null text is empty; texts without words are a class only with equal ones. A null id is after all others.
     No rows: no rows.
@@ -176,8 +208,13 @@ def near_duplicates(
     signed = stage(made.where("shingles > 0").groupBy("n").agg(F.first("signature").alias("signature")), "signatures")
     cut = lambda b: F.xxhash64(F.lit(b), F.substring("signature", 4 * rows * b + 1, 4 * rows))
     buckets = signed.select("n", F.posexplode(F.array(*(cut(b) for b in range(bands)))).alias("band", "bucket")).select("n", F.col("bucket").alias("b"))
-    shared = buckets.groupBy("b").agg(F.min("n").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    member = stage(buckets.join(stage(shared, "shared"), "b").select("b", "n", "head"), "members")
+    shared = stage(buckets.groupBy("b").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
+    member = stage(buckets.join(shared, "b"), "members")
+    # the text that most others share a bucket with is the likely source of the copies around it
+    central = stage(member.groupBy("n").agg(F.sum("size").alias("central")), "central")
+    member = member.select("b", "n").join(central, "n")
+    heads = stage(member.groupBy("b").agg(F.max_by("n", F.struct("central", "n")).alias("head")), "heads")
+    member = stage(member.join(heads, "b").select("b", "n", "head"), "headed")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Of (x, y), x < y, those that are similar."""
@@ -192,7 +229,7 @@ def near_duplicates(
         pairs = pairs.join(end("x"), "x").join(end("y"), "y")
         return stage(pairs.where(_similarity(size, weighted, F.col("tx"), F.col("ty")) >= similar).select("x", "y"), "similar")
 
-    to_head = member.where("n != head").select(F.col("head").alias("x"), F.col("n").alias("y"))
+    to_head = member.where("n != head").select(F.least("head", "n").alias("x"), F.greatest("head", "n").alias("y"))
     links = verified(to_head)
     classes = stage(connected_components(links, "x", "y"), "classes")
     of = member.join(classes, F.col("n") == F.col("node"), "left").select("b", "n", "head", F.coalesce("component", "n").alias("c"))
@@ -200,11 +237,16 @@ def near_duplicates(
     # buckets that still hold several classes, and the largest class of each
     held = of.groupBy("b", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("b").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count(F.lit(1)).alias("classes"), F.sum("size").alias("size"))
     # in a bucket of two, the two have been compared
-    mixed = stage(held.where("classes > 1 and size > 2").select("b", "main"), "mixed")
-    here = stage(of.join(mixed, "b"), "here")
-    outside = here.where("c != main").select("b", F.col("n").alias("o"), F.col("c").alias("oc"))
-    rest = outside.join(here.select("b", "n", "c", "head"), "b").where("c != oc and n != head and o != head")
-    rest = rest.select(F.least("o", "n").alias("x"), F.greatest("o", "n").alias("y"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+    mixed = stage(held.where("classes > 1 and size > 2").select("b", "main", blocks), "mixed")
+    here = stage(of.join(mixed, "b").select("b", "n", "c", "main", "blocks"), "here")
+    apart = stage(here.select("n").distinct(), "apart")
+    wide = whole.select("text", number).join(apart, "n", "left_semi").mapInPandas(signatures(size, WIDE, weighted, seed + 1, 1), "n long, shingles long, signature binary")
+    wide = stage(wide.groupBy("n").agg(F.first("signature").alias("wide")), "wide")
+    here = here.join(wide, "n").withColumn("block", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int"))
+    here = here.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    here = here.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    rest = here.select("b", "i", "j", "block", "n", "c", "main", "wide").groupBy("b", "i", "j").applyInPandas(_apart(similar - SLACK), "x long, y long")
     more = verified(rest)
     links = stage(links.unionByName(more), "all")
     classes = connected_components(links, "x", "y")
