@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import shuffle_partitions, stage
 
-from .common import exclusive_sums
+from .common import exclusive_sums, fresh, others
 
 #: Pieces for each gap from which gaps are cut into slots, so that tiny pieces need few rounds.
 CROWDED = 3
@@ -156,10 +156,11 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
     """
     bad = F.raise_error(F.lit("a piece must have 1 to capacity tokens")).cast("long")
     fits = F.col(length).isNotNull() & F.col(length).between(1, capacity)
-    names = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
-    pieces = pieces.select(*names, F.when(fits, F.col(length).cast("long")).otherwise(bad).alias("_size"), F.monotonically_increasing_id().alias("_id"))
+    names = others(pieces, "sequence_id", "offset")
+    piece, own = fresh(pieces, "_piece", "_size")
+    pieces = pieces.select(*names, F.when(fits, F.col(length).cast("long")).otherwise(bad).alias(own), F.monotonically_increasing_id().alias(piece))
     pieces = stage(pieces, "pieces")
-    rest = pieces.select(F.col("_id").alias("id"), F.col("_size").alias("size"))
+    rest = pieces.select(F.col(piece).alias("id"), F.col(own).alias("size"))
     # a piece over half a sequence opens its own; its number is its id's complement
     big = rest.where(f"size * 2 > {capacity}").select("id", (-F.col("id") - 1).alias("sequence_id"), "size")
     placed = [big.select("id", "sequence_id")]
@@ -167,7 +168,7 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
     rest = stage(rest.where(f"size * 2 <= {capacity}"), "rest")
     full = big.count()
     opened = 0
-    total = pieces.agg(F.sum("_size")).first()[0] or 0
+    total = pieces.agg(F.sum(own)).first()[0] or 0
     wanted = max(0, math.ceil(total / capacity) - full)
     before = None
     while True:
@@ -199,8 +200,7 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
     where = placed[0]
     for x in placed[1:]:
         where = where.unionByName(x)
-    where = where.select(F.col("id").alias("_id"), "sequence_id")
-    out = pieces.join(where, "_id")
-    before = Window.partitionBy("sequence_id").orderBy(F.col("_size").desc(), "_id").rowsBetween(Window.unboundedPreceding, -1)
-    out = out.withColumn("offset", F.coalesce(F.sum("_size").over(before), F.lit(0)).cast("long"))
+    out = pieces.join(where.select(F.col("id").alias(piece), "sequence_id"), piece)
+    before = Window.partitionBy("sequence_id").orderBy(F.col(own).desc(), piece).rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("offset", F.coalesce(F.sum(own).over(before), F.lit(0)).cast("long"))
     return out.select(*names, "sequence_id", "offset")

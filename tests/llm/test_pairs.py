@@ -285,8 +285,9 @@ def test_packing(spark, name):
 def test_packing_edges(spark):
     assert pack_best_fit(spark.createDataFrame([], "id long, length long")).count() == 0
     same = spark.createDataFrame([(1, 7)] * 30, "id long, length long")
-    rows, groups = packed(same, 10)
-    assert len(rows) == 30 and len(groups) == 30
+    clash = same.withColumns({"_size": F.lit("s"), "offset": F.lit("o"), "_piece": F.lit(0), "sequence_id": F.lit("q")})
+    rows, groups = packed(clash, 10)
+    assert len(rows) == 30 and len(groups) == 30 and rows[0]["_size"] == "s"
     for n in (0, 11, None):
         with pytest.raises(Exception, match="1 to capacity"):
             pack_best_fit(spark.createDataFrame([(1, n)], "id long, length long"), 10).collect()
