@@ -21,8 +21,11 @@ SLOT_BITS = 23
 TOP_WORDS = 1 << 19
 #: Stands before and after a text; no byte of UTF-8.
 EDGE = 0xFF
-#: Bytes of text taken together, and remembered grams while scoring.
-CHUNK, MEMO_BITS = 8 << 20, 21
+#: The table of ready logarithms that scoring tasks get has 2 ** READY_BITS of the frequent grams at most,
+#: of twelve bytes each; other grams are worked out from the nodes.
+READY_BITS = 22
+#: Bytes of text taken together, and words whose values a scoring task keeps.
+CHUNK, KEPT_WORDS = 2 << 20, 400_000
 END = "\n"  # the end token: no word holds white space
 WORD_KIND, GRAM_KIND = 0, 1
 LOWER = bytes(range(256)).lower()
@@ -183,6 +186,14 @@ class ByteModel:
     stop: np.ndarray
     check: np.ndarray
 
+    @staticmethod
+    def of(depth: int, bits: int, at: np.ndarray, *held: np.ndarray) -> ByteModel:
+        """From the places in use and what they hold."""
+        tables = [np.zeros(1 << bits, x.dtype) for x in held]
+        for table, x in zip(tables, held):
+            table[at] = x
+        return ByteModel(depth, bits, *tables)
+
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """Of each gram's last byte after the others: from the deepest known context up, each node mixes its
         own estimate with what deeper ones give."""
@@ -203,9 +214,10 @@ class ByteModel:
         return out
 
 
-def fit_bytes(counted: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) -> ByteModel:
-    """Weigh the trees of the counted grams and bring their nodes into a table of 2 ** bits places. Of
-    nodes that share a place the most frequent has it; the others count as unseen."""
+def fit_bytes(counted: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) -> tuple:
+    """Weigh the trees of the counted grams and bring their nodes into a table of 2 ** bits places, of which
+    those in use are returned (see ``ByteModel.of``). Of nodes that share a place the most
+    frequent has it; the others count as unseen."""
 
     def placed(batches):
         import pyarrow as pa
@@ -227,15 +239,48 @@ def fit_bytes(counted: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) ->
 
     nodes = tree_nodes(counted, depth).mapInArrow(placed, "at long, n long, value long")
     best = nodes.groupBy("at").agg(F.max(F.struct("n", "value")).alias("best")).select("at", "best.value")
-    one, stop, check = np.zeros(1 << bits, np.uint16), np.zeros(1 << bits, np.uint16), np.zeros(1 << bits, np.uint8)
+    parts = [[np.zeros(0, t)] for t in (np.uint32, np.uint16, np.uint16, np.uint8)]
     # at most a row for each place, whatever the corpus
     for r in best.mapInArrow(packed, "at binary, value binary").toLocalIterator():
         at, value = np.frombuffer(r["at"], "<u4"), np.frombuffer(r["value"], "<u8")
-        stop[at], one[at], check[at] = value >> np.uint64(24), (value >> np.uint64(8)) & np.uint64(0xFFFF), value & np.uint64(0xFF)
-    return ByteModel(depth, bits, one, stop, check)
+        held = (at, value >> np.uint64(8) & np.uint64(0xFFFF), value >> np.uint64(24), value & np.uint64(0xFF))
+        for part, column in zip(parts, held):
+            part.append(column.astype(part[0].dtype))
+    return depth, bits, *map(np.concatenate, parts)
+
+
+def fit_grams(counted: DataFrame, nodes, bits: int = READY_BITS) -> tuple[int, np.ndarray, np.ndarray]:
+    """Frequent grams and their logarithms by the broadcast ``nodes``: of grams that share one of 2 ** bits
+    places, the most frequent."""
+
+    def valued(batches):
+        import pyarrow as pa
+
+        trees = ByteModel.of(*nodes.value)
+        for x in batches:
+            key = x.column("key").to_numpy()
+            g = key.astype(np.uint64)
+            at = (mix(g) >> np.uint64(64 - bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at), x.column("n"), pa.array(key), pa.array(trees.log10(g))], ["at", "n", "key", "value"])
+
+    def packed(batches):
+        import pyarrow as pa
+
+        for x in batches:
+            key, value = x.column("key").to_numpy(), x.column("value").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array([key.astype("<i8").tobytes()]), pa.array([value.astype("<f4").tobytes()])], ["key", "value"])
+
+    best = counted.mapInArrow(valued, "at long, n long, key long, value double")
+    best = best.groupBy("at").agg(F.max(F.struct("n", "key", "value")).alias("best")).select("best.key", "best.value")
+    grams, value = [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
+    # at most a row for each place, whatever the corpus
+    for r in best.mapInArrow(packed, "key binary, value binary").toLocalIterator():
+        grams.append(np.frombuffer(r["key"], "<i8").astype(np.uint64))
+        value.append(np.frombuffer(r["value"], "<f4"))
+    return bits, np.concatenate(grams), np.concatenate(value)
 
 
-def _scorer(model, top, total: int, distinct: int):
+def _scorer(model, ready, top, total: int, distinct: int):
     """mapInPandas over (doc_id, text, ...): model and base score; words that ``top`` lacks are left over as
     ``rest``, with how often they occur."""
 
@@ -244,36 +289,38 @@ def _scorer(model, top, total: int, distinct: int):
 
         import pandas as pd
 
-        trees = ByteModel(*model.value)
+        trees = ByteModel.of(*model.value)
         names, often = top.value
         unseen = math.log10(total + distinct + 1)
-        known: dict[bytes, float | None] = {}
-        size = 1 << MEMO_BITS
-        memo_key, memo = np.full(size, -1, np.int64).astype(np.uint64), np.zeros(size)
+        known: dict[bytes, float | int] = {}  # a frequent word's logarithm, another's name
+        place, held, values = ready.value
+        shift = np.uint64(64 - place)
+        ready_gram, ready_value = np.zeros(1 << place, np.uint64), np.zeros(1 << place, np.float32)
+        at = (mix(held) >> shift).astype(np.int64)
+        ready_gram[at], ready_value[at] = held, values
 
         def log10(g):
-            at = (mix(g) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-            new = np.unique(g[memo_key[at] != g])
-            found = trees.log10(new)
-            slot = (mix(new) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-            memo_key[slot], memo[slot] = new, found
-            out = memo[at]
-            lost = np.flatnonzero(memo_key[at] != g)  # their place went to another gram
-            if len(lost):
-                out[lost] = found[np.searchsorted(new, g[lost])] if np.isin(g[lost], new).all() else trees.log10(g[lost])
+            at = (mix(g) >> shift).astype(np.int64)
+            out = ready_value[at].astype(np.float64)
+            other = np.flatnonzero(ready_gram[at] != g)
+            if len(other):
+                new, back = np.unique(g[other], return_inverse=True)
+                out[other] = trees.log10(new)[back]
             return out
 
         def learn(words):
-            if len(known) > 2_000_000:
+            if len(known) > KEPT_WORDS:
                 known.clear()
-            new = [w for w in words if w not in known]
+                new = [*words]
+            else:
+                new = [w for w in words if w not in known]
             if not new:
                 return
             h = np.fromiter(map(_named, new), np.int64, len(new))
             at = np.minimum(np.searchsorted(names, h), max(len(names) - 1, 0))
             hit = names[at] == h if len(names) else np.zeros(len(new), bool)
             value = np.log10(often[at] + 1.0) - unseen if len(names) else np.zeros(len(new))
-            known.update((w, v if x else None) for w, v, x in zip(new, value.tolist(), hit.tolist()))
+            known.update((w, v if x else name) for w, v, x, name in zip(new, value.tolist(), hit.tolist(), h.tolist()))
 
         for batch in batches:
             texts = [_lowered(t) for t in batch["text"]]
@@ -285,8 +332,8 @@ def _scorer(model, top, total: int, distinct: int):
                 for w, k in found.items():
                     v = known[w]
                     n += k
-                    if v is None:
-                        rest.append(_named(w))
+                    if type(v) is int:
+                        rest.append(v)
                         times.append(k)
                     else:
                         base += k * v
@@ -310,7 +357,7 @@ def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int
     ``base_score``: the same of words drawn one by one, with one added to every count; a text's tokens are its
     words and one end. ``n_known`` tokens occur in training texts.
 
-    Grams and words are counted over all training texts; only a table of fixed size and the
+    Grams and words are counted over all training texts; only tables of fixed size and the
     most frequent words go to the tasks, other words are joined. Words are told apart by 64-bit hashes.
     Without training rows, every byte has a chance of 1/256 and no word is known.
     """
@@ -336,7 +383,9 @@ def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int
     made = "n_tokens long, n_known long, base_score double, rest array<long>, times array<long>, score double"
     kind = dict(rows.dtypes)["doc_id"]
     row = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "training", "text")
-    scored = row.mapInPandas(_scorer(sc.broadcast((model.depth, model.bits, model.one, model.stop, model.check)), sc.broadcast(top), total, distinct), f"row long, doc_id {kind}, training boolean, {made}")
+    nodes = sc.broadcast(model)
+    ready = sc.broadcast(fit_grams(counted.where(f"kind = {GRAM_KIND}").select("key", "n"), nodes))
+    scored = row.mapInPandas(_scorer(nodes, ready, sc.broadcast(top), total, distinct), f"row long, doc_id {kind}, training boolean, {made}")
     scored = stage(scored, "scored")  # settles the rows' numbers
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("key"), F.col("x.times").alias("k"))
     rest = rest.join(often.where(F.col("n") <= least), "key", "left")
