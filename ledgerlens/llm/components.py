@@ -45,7 +45,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
-        edges = stage(_small_star(stage(_large_star(edges), "large")), "small")
+        edges = stage(_small_star(_large_star(edges)), "stars")
         after = _sign(edges)
         if tuple(after) == tuple(before):
             break

@@ -199,7 +199,7 @@ def near_duplicates(
     number = F.xxhash64("address").alias("n")
     texts = named.groupBy("address").agg(F.min(order).alias("first"))
     texts = stage(texts.select(number, "address", "first"), "texts")
-    if texts.select("n").distinct().count() != texts.count():
+    if not texts.groupBy("n").count().where("count > 1").isEmpty():
         raise RuntimeError("two texts have the same number")
 
     # every text's signature, made where the text is read; equal texts give equal rows
@@ -248,11 +248,14 @@ def near_duplicates(
     here = here.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     rest = here.select("b", "i", "j", "block", "n", "c", "main", "wide").groupBy("b", "i", "j").applyInPandas(_apart(similar - SLACK), "x long, y long")
     more = verified(rest)
-    links = stage(links.unionByName(more), "all")
-    classes = connected_components(links, "x", "y")
-
-    texts = texts.join(classes, F.col("n") == F.col("node"), "left").select("address", "first", F.coalesce("component", "n").alias("c"))
-    texts = stage(texts, "classed")
+    texts = texts.join(classes, F.col("n") == F.col("node"), "left").select("n", "address", "first", F.coalesce("component", "n").alias("c"))
+    if not more.isEmpty():
+        # classes that a late link joins: components over classes, not over texts
+        texts = stage(texts, "classed")
+        side = lambda end: texts.select(F.col("n").alias(end), F.col("c").alias(f"c{end}"))
+        joined = connected_components(more.join(side("x"), "x").join(side("y"), "y"), "cx", "cy")
+        texts = texts.join(joined, F.col("c") == F.col("node"), "left").withColumn("c", F.coalesce("component", "c"))
+    texts = stage(texts.select("address", "first", "c"), "classed")
     ids = stage(texts.groupBy("c").agg(F.min(F.struct("first", "address")).alias("best")), "best")
     texts = texts.join(ids, "c").select(F.col("address").alias("a"), "best")
     own = F.struct(order.alias("first"), F.col("address").alias("address"))
