@@ -176,6 +176,25 @@ def _slots(keys: np.ndarray, depth, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - bits)).astype(np.int64), (h & np.uint64(0xFF)).astype(np.uint8)
 
 
+def _in_use(mark: np.ndarray, *tables: np.ndarray) -> tuple:
+    """The places where ``mark`` is not zero, and what tables hold there; for tables at least half full
+    no places, and the tables themselves."""
+    if 2 * np.count_nonzero(mark) >= len(mark):
+        return None, *tables
+    at = np.flatnonzero(mark)
+    return at.astype(np.uint32), *(t[at] for t in tables)
+
+
+def _spread(bits: int, at: np.ndarray | None, tables) -> list[np.ndarray]:
+    """The tables again."""
+    if at is None:
+        return list(tables)
+    out = [np.zeros(1 << bits, t.dtype) for t in tables]
+    for table, t in zip(out, tables):
+        table[at] = t
+    return out
+
+
 @dataclass(frozen=True)
 class ByteModel:
     """Nodes in a table of fixed size: chance of a one, weight of stopping, and a check byte."""
@@ -187,12 +206,9 @@ class ByteModel:
     check: np.ndarray
 
     @staticmethod
-    def of(depth: int, bits: int, at: np.ndarray, *held: np.ndarray) -> ByteModel:
-        """From the places in use and what they hold."""
-        tables = [np.zeros(1 << bits, x.dtype) for x in held]
-        for table, x in zip(tables, held):
-            table[at] = x
-        return ByteModel(depth, bits, *tables)
+    def of(depth: int, bits: int, at: np.ndarray | None, *held: np.ndarray) -> ByteModel:
+        """From what ``fit_bytes`` returns."""
+        return ByteModel(depth, bits, *_spread(bits, at, held))
 
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """Of each gram's last byte after the others: from the deepest known context up, each node mixes its
@@ -214,6 +230,19 @@ class ByteModel:
         return out
 
 
+def _columns(df: DataFrame, **kinds: str):
+    """The columns of a bounded frame as arrays, batch by batch, without a Python object for each row."""
+
+    def packed(batches):
+        import pyarrow as pa
+
+        for x in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x.column(c).to_numpy().astype(k).tobytes()]) for c, k in kinds.items()], list(kinds))
+
+    for r in df.mapInArrow(packed, ", ".join(f"{c} binary" for c in kinds)).toLocalIterator():
+        yield [np.frombuffer(r[c], k) for c, k in kinds.items()]
+
+
 def fit_bytes(counted: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) -> tuple:
     """Weigh the trees of the counted grams and bring their nodes into a table of 2 ** bits places, of which
     those in use are returned (see ``ByteModel.of``). Of nodes that share a place the most
@@ -230,28 +259,18 @@ def fit_bytes(counted: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) ->
             value = (np.rint(x["stop"].to_numpy() * 65535).astype(np.int64) << 24) | (one << 8) | check
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array((zeros + ones).astype(np.int64)), pa.array(value)], ["at", "n", "value"])
 
-    def packed(batches):
-        import pyarrow as pa
-
-        for x in batches:
-            at, value = (x.column(c).to_numpy() for c in ("at", "value"))
-            yield pa.RecordBatch.from_arrays([pa.array([at.astype("<u4").tobytes()]), pa.array([value.astype("<u8").tobytes()])], ["at", "value"])
-
     nodes = tree_nodes(counted, depth).mapInArrow(placed, "at long, n long, value long")
     best = nodes.groupBy("at").agg(F.max(F.struct("n", "value")).alias("best")).select("at", "best.value")
-    parts = [[np.zeros(0, t)] for t in (np.uint32, np.uint16, np.uint16, np.uint8)]
+    one, stop, check = np.zeros(1 << bits, np.uint16), np.zeros(1 << bits, np.uint16), np.zeros(1 << bits, np.uint8)
     # at most a row for each place, whatever the corpus
-    for r in best.mapInArrow(packed, "at binary, value binary").toLocalIterator():
-        at, value = np.frombuffer(r["at"], "<u4"), np.frombuffer(r["value"], "<u8")
-        held = (at, value >> np.uint64(8) & np.uint64(0xFFFF), value >> np.uint64(24), value & np.uint64(0xFF))
-        for part, column in zip(parts, held):
-            part.append(column.astype(part[0].dtype))
-    return depth, bits, *map(np.concatenate, parts)
+    for at, value in _columns(best, at="<u4", value="<u8"):
+        stop[at], one[at], check[at] = value >> np.uint64(24), (value >> np.uint64(8)) & np.uint64(0xFFFF), value & np.uint64(0xFF)
+    return depth, bits, *_in_use(one, one, stop, check)
 
 
-def fit_grams(counted: DataFrame, nodes, bits: int = READY_BITS) -> tuple[int, np.ndarray, np.ndarray]:
-    """Frequent grams and their logarithms by the broadcast ``nodes``: of grams that share one of 2 ** bits
-    places, the most frequent."""
+def fit_grams(counted: DataFrame, nodes, bits: int = READY_BITS) -> tuple:
+    """Frequent grams and their logarithms by the broadcast ``nodes``, as ``_in_use`` gives tables of 2 ** bits
+    places: of grams that share a place, the most frequent."""
 
     def valued(batches):
         import pyarrow as pa
@@ -263,21 +282,14 @@ def fit_grams(counted: DataFrame, nodes, bits: int = READY_BITS) -> tuple[int, n
             at = (mix(g) >> np.uint64(64 - bits)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at), x.column("n"), pa.array(key), pa.array(trees.log10(g))], ["at", "n", "key", "value"])
 
-    def packed(batches):
-        import pyarrow as pa
-
-        for x in batches:
-            key, value = x.column("key").to_numpy(), x.column("value").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array([key.astype("<i8").tobytes()]), pa.array([value.astype("<f4").tobytes()])], ["key", "value"])
-
     best = counted.mapInArrow(valued, "at long, n long, key long, value double")
     best = best.groupBy("at").agg(F.max(F.struct("n", "key", "value")).alias("best")).select("best.key", "best.value")
-    grams, value = [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
+    grams, value = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.float32)
     # at most a row for each place, whatever the corpus
-    for r in best.mapInArrow(packed, "key binary, value binary").toLocalIterator():
-        grams.append(np.frombuffer(r["key"], "<i8").astype(np.uint64))
-        value.append(np.frombuffer(r["value"], "<f4"))
-    return bits, np.concatenate(grams), np.concatenate(value)
+    for key, logarithm in _columns(best, key="<u8", value="<f4"):
+        at = (mix(key) >> np.uint64(64 - bits)).astype(np.int64)
+        grams[at], value[at] = key, logarithm
+    return bits, *_in_use(grams, grams, value)
 
 
 def _scorer(model, ready, top, total: int, distinct: int):
@@ -293,11 +305,9 @@ def _scorer(model, ready, top, total: int, distinct: int):
         names, often = top.value
         unseen = math.log10(total + distinct + 1)
         known: dict[bytes, float | int] = {}  # a frequent word's logarithm, another's name
-        place, held, values = ready.value
+        place, at, *held = ready.value
         shift = np.uint64(64 - place)
-        ready_gram, ready_value = np.zeros(1 << place, np.uint64), np.zeros(1 << place, np.float32)
-        at = (mix(held) >> shift).astype(np.int64)
-        ready_gram[at], ready_value[at] = held, values
+        ready_gram, ready_value = _spread(place, at, held)
 
         def log10(g):
             at = (mix(g) >> shift).astype(np.int64)
@@ -378,8 +388,10 @@ def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int
             frequent = often.where(F.col("n") > least)
     else:
         least, frequent = 0, often
-    top = frequent.toPandas().sort_values("key")
-    top = (top["key"].to_numpy(np.int64), top["n"].to_numpy(np.float64))
+    found = [*_columns(frequent, key="<i8", n="<i8")] or [(np.zeros(0, np.int64),) * 2]
+    names, counts = (np.concatenate(c) for c in zip(*found))
+    order = np.argsort(names)
+    top = (names[order], counts[order])
     made = "n_tokens long, n_known long, base_score double, rest array<long>, times array<long>, score double"
     kind = dict(rows.dtypes)["doc_id"]
     row = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "training", "text")
