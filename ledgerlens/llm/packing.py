@@ -180,15 +180,19 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
         left = both.agg(F.count("piece").alias("pieces"), F.sum("piece").alias("tokens"), F.min("piece").alias("least"), F.max("piece").alias("most"), F.count("gap").alias("gaps")).first()
         if not left["pieces"]:
             break
-        if before is not None and left["pieces"] > 0.95 * before:
+        if before is not None and left["pieces"] > 0.9 * before:
             # few were placed: what is left is larger than most gaps
             wanted, before = math.ceil(left["tokens"] / capacity), None
             continue
         before = left["pieces"]
-        slots = left["pieces"] // max(left["gaps"], 1)
-        # slots of a gap, into each of which every piece fits
-        cut = F.greatest(F.lit(1), F.least(F.lit(slots), F.call_function("div", size, F.lit(left["most"])))) if slots >= CROWDED else F.lit(1).cast("long")
-        slot = gaps.where(size >= left["least"]).select("sequence_id", F.call_function("div", size, cut).alias("size"), F.explode(F.sequence(F.lit(1), cut.cast("int"))).alias("k"))
+        # a crowded gap is cut: one slot for the largest piece left, equal ones of the mean or more
+        crowd = left["pieces"] // max(left["gaps"], 1)
+        first = F.least(size, F.greatest(F.call_function("div", size, F.lit(2)), F.lit(left["most"])))
+        mean = math.ceil(left["tokens"] / left["pieces"])
+        parts = F.least(F.lit(crowd), F.call_function("div", size - first, F.lit(mean))).cast("int")
+        equal = F.array_repeat(F.call_function("div", size - first, F.greatest(parts, F.lit(1))), parts)
+        cuts = F.concat(F.array(first), equal) if crowd >= CROWDED else F.array(size)
+        slot = gaps.where(size >= left["least"]).select("sequence_id", F.posexplode(cuts).alias("k", "size"))
         slot = slot.select("sequence_id", "size", F.xxhash64("sequence_id", "k").alias("id"))
         found = stage(_matched(rest, slot).join(rest, "id"), "placed")
         placed.append(found.select("id", "sequence_id"))
