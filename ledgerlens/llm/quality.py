@@ -108,12 +108,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, text
     make = F.udf(lambda t: features(t).astype("<f4").tobytes(), "binary")
     # at most about fit_rows ids: a bounded table
     rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).join(F.broadcast(known), "i")
-    rows = rows.select("i", "y", make("t").alias("x")).collect()
-    rows.sort(key=lambda r: (r["i"], r["x"]))
-    x = np.array([np.frombuffer(r["x"], "<f4") for r in rows]).reshape(len(rows), 256 + len(SHAPES))
+    rows = sorted((r["i"], bytes(r["x"]), r["y"]) for r in rows.select("i", "y", make("t").alias("x")).collect())
+    good = np.array([y for _, _, y in rows])
+    x = np.frombuffer(b"".join(x for _, x, _ in rows), "<f4").reshape(len(rows), 256 + len(SHAPES))
     if not len(rows):
         x = np.zeros((1, 256 + len(SHAPES)), np.float32)
-    return fit_pairs(x, np.array([r["y"] for r in rows]), seed=seed)
+    del rows
+    return fit_pairs(x, good, seed=seed)
 
 
 def quality_of(model: PairModel, text: Column) -> Column:
