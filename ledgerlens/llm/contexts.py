@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -11,18 +10,16 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import stage
 
-from .hashing import GOLDEN, mix
+from .hashing import mix
 
 #: Bytes of context; a gram of DEPTH + 1 bytes fits a long.
 DEPTH = 5
-#: The table that scoring tasks get has 2 ** SLOT_BITS nodes at most, of five bytes each.
-SLOT_BITS = 23
 #: The most frequent words that scoring tasks get, at most; the others are joined.
 TOP_WORDS = 1 << 19
 #: Stands before and after a text; no byte of UTF-8.
 EDGE = 0xFF
-#: The table of ready logarithms that scoring tasks get has 2 ** READY_BITS of the frequent grams at most,
-#: of twelve bytes each; other grams are worked out from the nodes.
+#: Scoring tasks get the ready logarithms of about 2 ** READY_BITS of the most frequent grams at most, of twelve
+#: bytes each; other grams are joined with the nodes.
 READY_BITS = 22
 #: Bytes of text taken together, and words whose values a scoring task keeps.
 CHUNK, KEPT_WORDS = 2 << 20, 400_000
@@ -137,8 +134,16 @@ def _estimate(zeros: Column, ones: Column) -> Column:
     return _ln_gamma(zeros + 0.5) + _ln_gamma(ones + 0.5) - _ln_gamma(zeros + ones + 1.0) - ln_pi
 
 
-def tree_nodes(counted: DataFrame, depth: int) -> DataFrame:
-    """(depth, key, zeros, ones, stop): every node of the context trees.
+def _bits(grams: DataFrame) -> DataFrame:
+    """Eight rows for each row of ``grams``: ``at`` is the key of the deepest node that a bit of its last byte can
+    have, and ``bit`` that bit."""
+    node = "struct((key div 256) * 256 + {0} + (key % 256) div {1} as at, (key div {2}) % 2 as bit)"
+    steps = F.array(*(F.expr(node.format(1 << b, 1 << (8 - b), 1 << (7 - b))) for b in range(8)))
+    return grams.select("*", F.explode(steps).alias("x")).select("*", "x.at", "x.bit").drop("x")
+
+
+def tree_nodes(counted: DataFrame, depth: int) -> list[DataFrame]:
+    """(key, zeros, ones, stop) for each depth from 0: every node of the context trees.
 
     A byte is eight bits; for each run of bits before one of them there is a tree over the contexts of 0
     to ``depth`` bytes. A node's key is its context's bytes and that run after a leading one. From the
@@ -146,14 +151,11 @@ def tree_nodes(counted: DataFrame, depth: int) -> DataFrame:
     its children's; ``stop`` is the weight that its own estimate has in that sum. Every depth is written
     once and is the sum of the one below.
     """
-    node = "struct((key div 256) * 256 + {0} + (key % 256) div {1} as key, (key div {2}) % 2 as bit)"
-    steps = F.array(*(F.expr(node.format(1 << b, 1 << (8 - b), 1 << (7 - b))) for b in range(8)))
-    bits = counted.select("n", F.explode(steps).alias("x"))
-    level = bits.groupBy("x.key").agg(
-        F.sum(F.when(F.col("x.bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
-        F.sum(F.when(F.col("x.bit") == 1, F.col("n")).otherwise(0)).alias("ones"),
+    level = _bits(counted).groupBy(F.col("at").alias("key")).agg(
+        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
+        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones"),
     ).withColumn("below", F.lit(None).cast("double"))
-    out = None
+    out = []
     for d in range(depth, -1, -1):
         own = _estimate(F.col("zeros"), F.col("ones"))
         level = level.withColumn("own", own)
@@ -162,18 +164,55 @@ def tree_nodes(counted: DataFrame, depth: int) -> DataFrame:
         # ln((exp(own) + exp(below)) / 2)
         weighted = F.when(F.col("below").isNull(), F.col("own")).otherwise(F.greatest("own", "below") + F.log1p(F.exp(-F.abs(more))) - math.log(2))
         level = stage(level.select("key", "zeros", "ones", stop.alias("stop"), weighted.alias("weighted")), f"depth{d}")
-        here = level.select(F.lit(d).alias("depth"), "key", "zeros", "ones", "stop")
-        out = here if out is None else out.unionByName(here)
+        out.insert(0, level.select("key", "zeros", "ones", "stop"))
         if d:
             up = F.expr(f"key % {1 << (8 * d)}")  # without the oldest byte of the context
             level = level.groupBy(up.alias("key")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
     return out
 
 
-def _slots(keys: np.ndarray, depth, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place and check byte of nodes."""
-    h = mix(keys.astype(np.uint64) + (np.atleast_1d(depth).astype(np.uint64) + np.uint64(1)) * GOLDEN)
-    return (h >> np.uint64(64 - bits)).astype(np.int64), (h & np.uint64(0xFF)).astype(np.uint8)
+def chances(levels: list[DataFrame]) -> list[DataFrame]:
+    """(key, p) for each depth from 0: the chance of a one where that node is the deepest known.
+
+    From the root down, each node mixes its own estimate, by the weight ``stop``, with what deeper ones give; so
+    a node needs of the shallower ones only what they add, and the weight that they leave. The deepest known node
+    takes all the weight left.
+    """
+    out, above = [], None
+    for d, level in enumerate(levels):
+        one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+        here = level.select("key", "stop", one.alias("one"))
+        if above is None:
+            here = here.withColumns({"added": F.lit(0.0), "left": F.lit(1.0)})
+        else:
+            here = here.withColumn("up", F.expr(f"key % {1 << (8 * d)}"))
+            here = here.join(above.select(F.col("key").alias("up"), "added", "left"), "up")
+        here = here.select(
+            "key",
+            (F.col("added") + F.col("left") * F.col("one")).alias("p"),
+            (F.col("added") + F.col("left") * F.col("stop") * F.col("one")).alias("added"),
+            (F.col("left") * (1 - F.col("stop"))).alias("left"),
+        )
+        above = stage(here, f"chances{d}")
+        out.append(above.select("key", "p"))
+    return out
+
+
+#: Logarithm of the chance of ``bit``.
+BIT_LOG = "log10(if(bit = 1, p, 1 - p))"
+
+
+def value_grams(grams: DataFrame, known: list[DataFrame]) -> DataFrame:
+    """(key, value): the exact logarithms of distinct grams, each bit from the deepest node of ``chances`` that it
+    has. One join a depth; only bits without a node so deep go on to the next."""
+    rest, out = _bits(grams.select("key")), None
+    for d in range(len(known) - 1, -1, -1):
+        met = stage(rest.join(known[d].select(F.col("key").alias("at"), "p"), "at", "left"), f"met{d}")
+        here = met.where("p is not null").select("key", F.expr(BIT_LOG).alias("value"))
+        out = here if out is None else out.unionByName(here)
+        rest = met.where("p is null").select("key", F.expr(f"at % {1 << (8 * d)}" if d else "at").alias("at"), "bit")
+    out = out.unionByName(rest.select("key", F.lit(math.log10(0.5)).alias("value")))
+    return out.groupBy("key").agg(F.sum("value").alias("value"))
 
 
 def _in_use(mark: np.ndarray, *tables: np.ndarray) -> tuple:
@@ -195,41 +234,6 @@ def _spread(bits: int, at: np.ndarray | None, tables) -> list[np.ndarray]:
     return out
 
 
-@dataclass(frozen=True)
-class ByteModel:
-    """Nodes in a table of fixed size: chance of a one, weight of stopping, and a check byte."""
-
-    depth: int
-    bits: int
-    one: np.ndarray
-    stop: np.ndarray
-    check: np.ndarray
-
-    @staticmethod
-    def of(depth: int, bits: int, at: np.ndarray | None, *held: np.ndarray) -> ByteModel:
-        """From what ``fit_bytes`` returns."""
-        return ByteModel(depth, bits, *_spread(bits, at, held))
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        """Of each gram's last byte after the others: from the deepest known context up, each node mixes its
-        own estimate with what deeper ones give."""
-        symbol, context = grams & np.uint64(0xFF), grams >> np.uint64(8)
-        out = np.zeros(len(grams))
-        for b in range(8):
-            run = (np.uint64(1) << np.uint64(b)) | (symbol >> np.uint64(8 - b))
-            bit = (symbol >> np.uint64(7 - b)) & np.uint64(1)
-            p, known = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
-            for d in range(self.depth, -1, -1):
-                key = ((context & np.uint64((1 << (8 * d)) - 1)) << np.uint64(8)) | run
-                at, check = _slots(key, d, self.bits)
-                here = (self.check[at] == check) & (self.one[at] > 0)
-                stop = np.where(known, self.stop[at] / 65535.0, 1.0)
-                p = np.where(here, p + stop * (self.one[at] / 65536.0 - p), p)
-                known |= here
-            out += np.log10(np.where(bit == 1, p, 1 - p))
-        return out
-
-
 def _columns(df: DataFrame, **kinds: str):
     """The columns of a bounded frame as arrays, batch by batch, without a Python object for each row."""
 
@@ -243,80 +247,70 @@ def _columns(df: DataFrame, **kinds: str):
         yield [np.frombuffer(r[c], k) for c, k in kinds.items()]
 
 
-def fit_bytes(counted: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) -> tuple:
-    """Weigh the trees of the counted grams and bring their nodes into a table of 2 ** bits places, of which
-    those in use are returned (see ``ByteModel.of``). Of nodes that share a place the most
-    frequent has it; the others count as unseen."""
-
-    def placed(batches):
-        import pyarrow as pa
-
-        for x in batches:
-            x = x.to_pandas()
-            at, check = _slots(x["key"].to_numpy(), x["depth"].to_numpy(), bits)
-            zeros, ones = x["zeros"].to_numpy(float), x["ones"].to_numpy(float)
-            one = np.clip((ones + 0.5) / (zeros + ones + 1) * 65536, 1, 65535).astype(np.int64)
-            value = (np.rint(x["stop"].to_numpy() * 65535).astype(np.int64) << 24) | (one << 8) | check
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array((zeros + ones).astype(np.int64)), pa.array(value)], ["at", "n", "value"])
-
-    nodes = tree_nodes(counted, depth).mapInArrow(placed, "at long, n long, value long")
-    best = nodes.groupBy("at").agg(F.max(F.struct("n", "value")).alias("best")).select("at", "best.value")
-    one, stop, check = np.zeros(1 << bits, np.uint16), np.zeros(1 << bits, np.uint16), np.zeros(1 << bits, np.uint8)
-    # at most a row for each place, whatever the corpus
-    for at, value in _columns(best, at="<u4", value="<u8"):
-        stop[at], one[at], check[at] = value >> np.uint64(24), (value >> np.uint64(8)) & np.uint64(0xFFFF), value & np.uint64(0xFF)
-    return depth, bits, *_in_use(one, one, stop, check)
-
-
-def fit_grams(counted: DataFrame, nodes, bits: int = READY_BITS) -> tuple:
-    """Frequent grams and their logarithms by the broadcast ``nodes``, as ``_in_use`` gives tables of 2 ** bits
-    places: of grams that share a place, the most frequent."""
-
-    def valued(batches):
-        import pyarrow as pa
-
-        trees = ByteModel.of(*nodes.value)
-        for x in batches:
-            key = x.column("key").to_numpy()
-            g = key.astype(np.uint64)
-            at = (mix(g) >> np.uint64(64 - bits)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at), x.column("n"), pa.array(key), pa.array(trees.log10(g))], ["at", "n", "key", "value"])
-
-    best = counted.mapInArrow(valued, "at long, n long, key long, value double")
-    best = best.groupBy("at").agg(F.max(F.struct("n", "key", "value")).alias("best")).select("best.key", "best.value")
-    grams, value = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.float32)
-    # at most a row for each place, whatever the corpus
-    for key, logarithm in _columns(best, key="<u8", value="<f4"):
-        at = (mix(key) >> np.uint64(64 - bits)).astype(np.int64)
-        grams[at], value[at] = key, logarithm
-    return bits, *_in_use(grams, grams, value)
-
-
-def _scorer(model, ready, top, total: int, distinct: int):
+def _frequent(counts: DataFrame, distinct: int, most: int) -> tuple[int, DataFrame]:
+    """The rows whose ``n`` is above the first result: all, or about ``most`` of the largest."""
+    if distinct <= most:
+        return 0, counts
+    # counts above this one are those of ``most`` rows at most, but for the quantile's error
+    least = counts.agg(F.percentile_approx("n", 1 - most / distinct, 100_000)).first()[0]
+    found = counts.where(F.col("n") > least)
+    while found.count() > 2 * most:
+        least *= 2
+        found = counts.where(F.col("n") > least)
+    return least, found
+
+
+def fit_grams(frequent: DataFrame, deepest: DataFrame, bits: int = READY_BITS) -> tuple:
+    """The exact logarithms of grams of the training texts, which have all their nodes in the ``deepest`` of
+    ``chances``: as ``_in_use`` gives tables of 2 ** bits places, and in order the grams whose place a more
+    frequent one has."""
+    met = _bits(frequent).join(deepest.select(F.col("key").alias("at"), "p"), "at")
+    valued = met.groupBy("key").agg(F.max("n").alias("n"), F.sum(F.expr(BIT_LOG)).alias("value"))
+    # about 2 ** READY_BITS rows at most, whatever the corpus
+    found = [*_columns(valued, key="<u8", n="<i8", value="<f4")] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+    key, n, value = (np.concatenate(c) for c in zip(*found))
+    del found
+    order = np.lexsort((key, n))  # the most frequent is written last
+    key, value = key[order], value[order]
+    at = (mix(key) >> np.uint64(64 - bits)).astype(np.int64)
+    grams, values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.float32)
+    grams[at], values[at] = key, value
+    other = grams[at] != key
+    key, value = key[other], value[other]
+    order = np.argsort(key)
+    return key[order], value[order], bits, *_in_use(grams, grams, values)
+
+
+def _scorer(ready, top, depth: int, total: int, distinct: int):
     """mapInPandas over (doc_id, text, ...): model and base score; words that ``top`` lacks are left over as
-    ``rest``, with how often they occur."""
+    ``rest``, grams that ``ready`` lacks as ``rest_grams``, with how often they occur."""
 
     def run(batches):
         from collections import Counter
 
         import pandas as pd
 
-        trees = ByteModel.of(*model.value)
         names, often = top.value
         unseen = math.log10(total + distinct + 1)
         known: dict[bytes, float | int] = {}  # a frequent word's logarithm, another's name
-        place, at, *held = ready.value
+        more_grams, more_values, place, at, *held = ready.value
         shift = np.uint64(64 - place)
         ready_gram, ready_value = _spread(place, at, held)
 
         def log10(g):
+            """Logarithms, and where they are missing."""
             at = (mix(g) >> shift).astype(np.int64)
             out = ready_value[at].astype(np.float64)
             other = np.flatnonzero(ready_gram[at] != g)
-            if len(other):
+            if len(other) and len(more_grams):
                 new, back = np.unique(g[other], return_inverse=True)
-                out[other] = trees.log10(new)[back]
-            return out
+                at = np.minimum(np.searchsorted(more_grams, new), len(more_grams) - 1)
+                hit = more_grams[at] == new
+                out[other] = np.where(hit, more_values[at], 0)[back]
+                other = other[~hit[back]]
+            else:
+                out[other] = 0
+            return out, other
 
         def learn(words):
             if len(known) > KEPT_WORDS:
@@ -349,17 +343,28 @@ def _scorer(model, ready, top, total: int, distinct: int):
                         base += k * v
                         seen += k
                 rows.append((n, seen, base, rest, times))
-            score = np.zeros(len(texts))
+            score, left, left_times = np.zeros(len(texts)), [], []
             for a, b in _chunks(texts):
-                g, first = grams(texts[a:b], trees.depth)
-                score[a:b] = np.add.reduceat(log10(g), first)
-            made = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "rest", "times"]).assign(score=score)
+                g, first = grams(texts[a:b], depth)
+                value, other = log10(g)
+                score[a:b] = np.add.reduceat(value, first)
+                # each text's missing grams, and how often it has them
+                text, g = np.searchsorted(first, other, "right") - 1, g[other]
+                order = np.lexsort((g, text))
+                text, g = text[order], g[order].astype(np.int64)
+                new = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(g, prepend=-1) != 0))
+                often_here = np.diff(new, append=len(g))
+                cuts = np.searchsorted(text[new], np.arange(1, b - a))
+                left += np.split(g[new], cuts)
+                left_times += np.split(often_here, cuts)
+            made = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "rest", "times"])
+            made = made.assign(score=score, rest_grams=left, gram_times=left_times)
             yield pd.concat([batch.drop(columns="text").reset_index(drop=True), made], axis=1)
 
     return run
 
 
-def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int = SLOT_BITS, top_words: int = TOP_WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int = READY_BITS, top_words: int = TOP_WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, training, n_tokens, n_known, train_tokens, base_score, score), a row for each document.
 
     The rows where ``training`` holds teach, all rows are scored. A text's letters A-Z are lower-cased, a null text
@@ -367,47 +372,44 @@ def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int
     ``base_score``: the same of words drawn one by one, with one added to every count; a text's tokens are its
     words and one end. ``n_known`` tokens occur in training texts.
 
-    Grams and words are counted over all training texts; only tables of fixed size and the
-    most frequent words go to the tasks, other words are joined. Words are told apart by 64-bit hashes.
+    Grams and words are counted over all training texts, and every node of the trees counts. Only the most frequent
+    grams (about 2 ** ``bits`` at most) and words go to the tasks; other words are joined, and other grams, each
+    once for the corpus, with the nodes. Words are told apart by 64-bit hashes.
     Without training rows, every byte has a chance of 1/256 and no word is known.
     """
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
     counted = rows.where("training").select("text").mapInArrow(_counter(depth), "kind byte, key long, n long")
     counted = stage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counted")
-    model = fit_bytes(counted.where(f"kind = {GRAM_KIND}").select("key", "n"), depth, bits)
+    gram = counted.where(f"kind = {GRAM_KIND}").select("key", "n")
+    known = chances(tree_nodes(gram, depth))
     often = counted.where(f"kind = {WORD_KIND}").select("key", "n")
-    sums = often.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total, distinct = sums[0] or 0, sums[1]
-    if distinct > top_words:
-        # counts above this one are those of top_words words at most, but for the quantile's error
-        least = often.agg(F.percentile_approx("n", 1 - top_words / distinct, 100_000)).first()[0]
-        frequent = often.where(F.col("n") > least)
-        while frequent.count() > 2 * top_words:
-            least *= 2
-            frequent = often.where(F.col("n") > least)
-    else:
-        least, frequent = 0, often
+    sums = {r["kind"]: r for r in counted.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()}
+    total, distinct = (sums[WORD_KIND]["n"], sums[WORD_KIND]["distinct"]) if sums else (0, 0)
+    least, frequent = _frequent(often, distinct, top_words)
     found = [*_columns(frequent, key="<i8", n="<i8")] or [(np.zeros(0, np.int64),) * 2]
     names, counts = (np.concatenate(c) for c in zip(*found))
     order = np.argsort(names)
     top = (names[order], counts[order])
-    made = "n_tokens long, n_known long, base_score double, rest array<long>, times array<long>, score double"
+    made = "n_tokens long, n_known long, base_score double, rest array<long>, times array<long>, score double, rest_grams array<long>, gram_times array<long>"
     kind = dict(rows.dtypes)["doc_id"]
     row = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "training", "text")
-    nodes = sc.broadcast(model)
-    ready = sc.broadcast(fit_grams(counted.where(f"kind = {GRAM_KIND}").select("key", "n"), nodes))
-    scored = row.mapInPandas(_scorer(nodes, ready, sc.broadcast(top), total, distinct), f"row long, doc_id {kind}, training boolean, {made}")
+    ready = sc.broadcast(fit_grams(_frequent(gram, sums[GRAM_KIND]["distinct"] if sums else 0, 1 << bits)[1], known[depth], bits))
+    scored = row.mapInPandas(_scorer(ready, sc.broadcast(top), depth, total, distinct), f"row long, doc_id {kind}, training boolean, {made}")
     scored = stage(scored, "scored")  # settles the rows' numbers
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("key"), F.col("x.times").alias("k"))
     rest = rest.join(often.where(F.col("n") <= least), "key", "left")
     value = F.log10(F.coalesce("n", F.lit(0)) + 1.0) - math.log10(total + distinct + 1)
-    rest = rest.groupBy("row").agg(F.sum(F.col("k") * value).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("seen"))
+    rest = rest.select("row", (F.col("k") * value).alias("more"), F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("seen"), F.lit(0.0).alias("deep"))
+    other = scored.select("row", F.explode(F.arrays_zip("rest_grams", "gram_times")).alias("x")).select("row", F.col("x.rest_grams").alias("key"), F.col("x.gram_times").alias("k"))
+    valued = stage(value_grams(other.select("key").distinct(), known), "valued")
+    other = other.join(valued, "key").select("row", F.lit(0.0).alias("more"), F.lit(0).alias("seen"), (F.col("k") * F.col("value")).alias("deep"))
+    rest = rest.unionByName(other).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("more", "seen", "deep")))
     out = scored.join(rest, "row", "left")
     return out.select(
         "doc_id", "training", "n_tokens",
         (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("deep", F.lit(0.0))).alias("score"),
     )

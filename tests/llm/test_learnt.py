@@ -138,6 +138,18 @@ def test_context_tree(spark, depth, top):
         assert r["score"] == pytest.approx(tree_score(train, text, depth), rel=1e-2, abs=1e-2)
 
 
+@pytest.mark.parametrize("bits", [4, 22])
+def test_context_tree_counts_every_node(spark, bits):
+    """However few grams the tasks get ready, all others have their exact values."""
+    rng = random.Random(9)
+    rows = [(i, "".join(rng.choice("abcdeé ") for _ in range(rng.randrange(60)))) for i in range(40)] + [(40, "zq abc" * 9), (41, None)]
+    learn = F.col("doc_id") % 5 != 0
+    got = {r["doc_id"]: r["score"] for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string"), learn, bits=bits).collect()}
+    train = [t for i, t in rows if i % 5]
+    for i, t in rows:
+        assert got[i] == pytest.approx(tree_score(train, t, 5), rel=1e-6)
+
+
 def test_context_tree_without_rows(spark):
     frame = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     row = score_texts(frame, F.lit(False)).first()
