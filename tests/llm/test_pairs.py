@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from ledgerlens.llm.darts import drop_near_duplicates, near_duplicates, throw
 from ledgerlens.llm.fingerprints import SAMPLES, Sampler, edited, fingerprints
 from ledgerlens.llm.hashing import Shingler
-from ledgerlens.llm.neighbours import link_near_vectors
+from ledgerlens.llm.neighbours import link_near_vectors, passes_for
 from ledgerlens.llm.packing import pack_best_fit, token_pieces, word_ids
 
 SMALL = "/root/testdata/sf0.01"
@@ -214,6 +214,24 @@ def test_vector_table(spark):
     assert all(got[i][0] <= want[i][0] for i in want)
 
 
+def test_vector_passes_grow(spark):
+    """Lone pairs just above the threshold are found in a label of many vectors."""
+    rng = np.random.default_rng(6)
+    n, planted = 30_000, 300
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=(planted, 64))
+    side -= (side * x[:planted]).sum(1, keepdims=True) * x[:planted]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.931 * x[:planted] + math.sqrt(1 - 0.931**2) * side])
+    frame = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in link_near_vectors(frame).collect()}
+    found = sum(got[n + i]["n_links"] > 0 and got[n + i]["component_id"] == got[i]["component_id"] for i in range(planted))
+    assert found >= 0.99 * planted, found
+    wanted = frame.limit(1).select(*(passes_for(F.lit(k), 0.93).alias(f"n{k}") for k in (1, 32, 10_000, 100_000, 1_000_000))).first()
+    assert list(wanted) == [8, 8, 17, 27, 43]
+
+
 def test_vector_edges(spark):
     kind = "vec_id long, embedding array<float>, label int"
     rows = [(None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1)]
