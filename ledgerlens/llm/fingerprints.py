@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 from ledgerlens.session import shuffle_partitions
 
 from .common import with_buckets
-from .hashing import GOLDEN, Shingler, mix, uniform
+from .hashing import GOLDEN, MIX_1, Shingler, mix, uniform
 
 SAMPLES, WORDS_IN_SHINGLE = 64, 5
-#: Entries of the table of random draws; a term's hash picks one for each sample.
-DRAWS = 1 << 16
-#: Terms of one text that are sampled together.
-TOGETHER = 1 << 14
+#: Terms of one text that are sampled together; their hashes for all samples fit a core's cache.
+TOGETHER = 1 << 9
 
 
 class Sampler:
@@ -24,44 +22,59 @@ class Sampler:
     Each (term, sample) has draws r, c ~ Gamma(2, 1) and b ~ U(0, 1). A term of weight w offers
     t = floor(ln w / r + b), y = exp(r (t - b)) and a = c / (y exp(r)); the sample is the (term, t) of the
     least a, and equal for two sets with a probability of their generalised Jaccard similarity.
-    Draws come from a table that is filled from hashes; ties go to the smallest term.
+    All draws are hashes of the term and the sample. They are made of three exponential draws e, f and g: c = e + f,
+    r = x + g with x = ln(c / e), and b = g / r, which have those laws and are independent. Then ln a = ln e - r t;
+    a term of weight one has t = 0 and needs only e, which falls as its hash grows. Ties go to the smallest
+    term of weight one, then to the smallest other.
     """
 
     def __init__(self, samples: int, seed: int):
-        base = mix(np.arange(5 * DRAWS, dtype=np.uint64) * GOLDEN + np.uint64(seed))
-        u = uniform(base).reshape(5, DRAWS)
-        self.r, self.c, self.b = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
-        # of a term of weight one, for which t is 0
-        self.plain = self.c + self.r * self.b - self.r
-        odd = mix(np.arange(1, samples + 1, dtype=np.uint64) * GOLDEN + np.uint64(seed + 1)) | np.uint64(1)
-        self.odd = odd[:, None]
+        names = mix(np.arange(1, samples + 1, dtype=np.uint64) * GOLDEN + np.uint64(seed))
+        self.names, self.odd = names[:, None], mix(names + np.uint64(1))[:, None] | np.uint64(1)
+
+    def _hashes(self, terms: np.ndarray) -> np.ndarray:
+        """Of each (sample, term)."""
+        h = terms ^ self.names
+        h *= self.odd
+        h ^= h >> np.uint64(32)
+        h *= MIX_1
+        return h
+
+    def _heavy(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ln a and t of each (sample, term)."""
+        h = self._hashes(terms)
+        e, f, g = (-np.log(uniform(x)) for x in (h, mix(h + GOLDEN), mix(h - GOLDEN)))
+        r = np.log1p(f / e) + g
+        t = np.floor((np.log(weights) + g) / r)
+        return np.log(e) - r * t, t
 
     def __call__(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One 32-bit sample for each coordinate; the terms must be distinct and sorted, and not none."""
-        least, out = None, None
+        one = weights == 1
+        plain, terms, weights = terms[one], terms[~one], weights[~one]
+        every = np.arange(len(self.names))
+        least, out = np.full(len(every), np.inf), np.zeros(len(every), np.uint64)
+        if len(plain):
+            most = None
+            for start in range(0, len(plain), TOGETHER):
+                e = plain[start : start + TOGETHER]
+                h = self._hashes(e)
+                best = h.argmax(axis=1)
+                value = h[every, best]
+                if most is None:
+                    most, out = value, e[best]
+                else:
+                    out = np.where(value > most, e[best], out)
+                    most = np.maximum(value, most)
+            least = np.log(-np.log(uniform(most)))
         for start in range(0, len(terms), TOGETHER):
-            e, w = terms[start : start + TOGETHER], weights[start : start + TOGETHER]
-            pick = ((e * self.odd) >> np.uint64(48)).astype(np.int64)
-            a = self.plain.take(pick)
-            heavy = np.flatnonzero(w != 1)
-            if len(heavy):
-                r, c, b = (x.take(pick[:, heavy]) for x in (self.r, self.c, self.b))
-                t = np.floor(np.log(w[heavy]) / r + b)
-                a[:, heavy] = c - r * (t - b) - r
+            e = terms[start : start + TOGETHER]
+            a, t = self._heavy(e, weights[start : start + TOGETHER])
             best = a.argmin(axis=1)
-            value = np.take_along_axis(a, best[:, None], 1)[:, 0]
-            name = e[best]
-            if len(heavy):
-                level = np.zeros(a.shape[1], np.int64) - 1
-                level[heavy] = np.arange(len(heavy))
-                own = level[best]
-                of = np.where(own >= 0, np.take_along_axis(t, np.maximum(own, 0)[:, None], 1)[:, 0], 0)
-                name = np.where(of != 0, mix(name + of.astype(np.int64).astype(np.uint64) * GOLDEN), name)
-            if least is None:
-                least, out = value, name
-            else:
-                out = np.where(value < least, name, out)
-                least = np.minimum(value, least)
+            value, of = a[every, best], t[every, best]
+            name = np.where(of != 0, mix(e[best] + of.astype(np.int64).astype(np.uint64) * GOLDEN), e[best])
+            out = np.where(value < least, name, out)
+            least = np.minimum(value, least)
         return out.astype(np.uint32)
 
 

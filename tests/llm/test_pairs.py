@@ -127,6 +127,21 @@ def test_samples_estimate_jaccard():
     assert len(set(sample(terms, a))) > 300
 
 
+def test_samples_estimate_jaccard_of_many_weighted_terms():
+    """Terms of weight two win twice as often as those of one, however many there are."""
+    rng = np.random.default_rng(12)
+    terms = np.sort(rng.integers(0, 2**63, 40_000).astype(np.uint64))
+    # three sets of 10,000 of weight two and 20,000, 5,000 and 5,000 of weight one
+    kind = rng.permutation(np.repeat([0, 1, 2, 3], [10_000, 20_000, 5_000, 5_000]))
+    weight = np.where(kind == 0, 2, 1)
+    sample = Sampler(1024, 0)
+    of = lambda *kinds: sample(terms[np.isin(kind, kinds)], weight[np.isin(kind, kinds)])
+    # they share all of weight one: 20,000 of 40,000; all of weight two: 20,000 of 30,000
+    assert abs((of(0, 1) == of(1)).mean() - 20_000 / 40_000) < 0.05
+    assert abs((of(0, 2) == of(0, 3)).mean() - 20_000 / 30_000) < 0.05
+    assert abs((of(0, 1) == of(0)).mean() - 20_000 / 40_000) < 0.05
+
+
 def test_fingerprints(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(400)]
