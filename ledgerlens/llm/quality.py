@@ -100,7 +100,7 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, pairs_per_row: int = 8, ridge: fl
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, text: str = "text", doc_id: str = "doc_id", label: str = "quality", seed: int = 0) -> PairModel:
     """Learn from labelled documents, of which about ``fit_rows`` chosen by a hash of the id are
     used when there are more; that bound keeps them in the driver's memory. Null ids and labels
-    teach nothing; an id labelled twice counts by its smallest label."""
+    teach nothing; an id labelled twice counts by its smallest label, one with several texts by the least."""
     known = labels.select(F.col(doc_id).alias("i"), F.col(label).alias("y")).where("i is not null and y is not null").groupBy("i").agg(F.min("y").alias("y"))
     n = known.count()
     if n > fit_rows:
@@ -108,6 +108,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, text
     make = F.udf(lambda t: features(t).astype("<f4").tobytes(), "binary")
     # at most about fit_rows ids: a bounded table
     rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).join(F.broadcast(known), "i")
+    # one row an id, so a repeated id is no more to the driver than another
+    rows = rows.groupBy("i").agg(F.min("t").alias("t"), F.min("y").alias("y"))
     rows = sorted((r["i"], bytes(r["x"]), r["y"]) for r in rows.select("i", "y", make("t").alias("x")).collect())
     good = np.array([y for _, _, y in rows])
     x = np.frombuffer(b"".join(x for _, x, _ in rows), "<f4").reshape(len(rows), 256 + len(SHAPES))

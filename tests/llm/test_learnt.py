@@ -60,6 +60,15 @@ def test_quality_edges(spark):
     assert np.isfinite(features(None)).all() and np.isfinite(features("\n\n \ud800")).all()
 
 
+def test_repeated_id_teaches_once(spark):
+    rows = [(i, f"word{i} " * (i + 1) if i % 2 else f"A{i}. {i}") for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    kind = "doc_id long, text string"
+    lone = fit_quality(spark.createDataFrame(rows, kind), labels)
+    many = fit_quality(spark.createDataFrame(rows + [(3, f"{rows[3][1]} {k}") for k in range(200)], kind), labels)
+    assert np.array_equal(lone.weights, many.weights) and lone.cut == many.cut
+
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
