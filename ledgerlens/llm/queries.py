@@ -13,6 +13,7 @@ from .neighbours import link_near_vectors
 from .packing import pack_best_fit, token_pieces
 from .quality import classify_quality, fit_quality
 from .sharding import shard_by_bytes
+from .substrings import drop_repeats
 from .urls import judge_urls
 from .warc import read_archive, write_archive
 
@@ -173,3 +174,29 @@ def op4(spark, d):
     out = held_out(F.col("doc_id"), 7, 2)
     rows = score_texts(table(spark, d, "documents"), ~out)
     return rows.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+REPEATS_SQL = r"""
+with split as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), runs as (
+  select r, doc_id, i, array_to_string(w[i : i + 12], ' ') as run from (select *, unnest(range(1, len(w) - 11)) as i from split where len(w) >= 13)
+), late as (
+  select r, i from (select r, i, doc_id, min(doc_id) over (partition by run) as least from runs) where least < doc_id
+), gone as (
+  select distinct r, unnest(range(i, i + 13)) as at from late
+), words as (
+  select r, doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as at from split
+), kept as (
+  select words.r, count(gone.at)::bigint as n_removed, coalesce(string_agg(word, ' ' order by words.at) filter (where gone.at is null), '') as left_over
+  from words left join gone on words.r = gone.r and words.at = gone.at group by 1
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(left_over, '')) as kept_sha256
+from split left join kept using (r)
+"""
+
+
+@query("op11_fixed_block_anchors", REPEATS_SQL)
+def op11(spark, d):
+    rows = drop_repeats(table(spark, d, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

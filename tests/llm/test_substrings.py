@@ -1,0 +1,126 @@
+"""Repeated passages against a plain dictionary of all runs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import substrings
+from ledgerlens.llm.queries import QUERIES
+from ledgerlens.llm.substrings import drop_repeats
+
+SCHEMA = "doc_id long, text string"
+LAST = (1 << 63) - 1
+
+
+def brute(rows, window=13):
+    """(doc_id, n_words, n_removed, kept text) of each row."""
+    least = {}
+    split = [(d, (t or "").encode().split()) for d, t in rows]
+    order = lambda d: LAST if d is None else d
+    for d, w in split:
+        for i in range(len(w) - window + 1):
+            run = tuple(w[i : i + window])
+            least[run] = min(least.get(run, LAST), order(d))
+    out = []
+    for d, w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if least[tuple(w[i : i + window])] < order(d):
+                gone[i : i + window] = [True] * window
+        out.append((d, len(w), sum(gone), b" ".join(x for x, g in zip(w, gone) if not g).decode()))
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, window=13):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return sorted((tuple(r) for r in drop_repeats(df, window).select("doc_id", "n_words", "n_removed", "kept_text").collect()), key=repr)
+
+
+def corpus(seed, n=150):
+    """Texts of few words with passages, lines and whole texts in common, shifted against each other."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefghij") + rng.choice("klmnopqrst") + str(rng.randrange(4))
+    passages = [[word() for _ in range(rng.choice([12, 13, 14, 20, 60]))] for _ in range(8)]
+    rows = []
+    for i in range(n):
+        words = [word() for _ in range(rng.randrange(0, 60))]
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = rng.choice(passages)
+        if rng.random() < 0.1 and rows:
+            words = (rows[rng.randrange(len(rows))][1] or "").split()
+        rows.append((rng.randrange(1, 5 * n), rng.choice([" ", "\n", "\t "]).join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_passages(spark, seed):
+    rows = corpus(seed)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_other_windows(spark):
+    rows = corpus(3, 60)
+    for window in (2, 5, 12):
+        assert found(spark, rows, window) == brute(rows, window)
+
+
+def test_chunks_and_parts_change_nothing(spark, monkeypatch):
+    """One text a chunk, so that nothing is found within one, and many parts."""
+    rows = corpus(4, 80)
+    want = brute(rows)
+    monkeypatch.setattr(substrings, "CHUNK", 1)
+    monkeypatch.setattr(substrings, "PART_BYTES", 200)
+    assert found(spark, rows) == want
+
+
+def test_a_line_in_all_documents(spark):
+    """A passage at one place in all texts, of which most runs begin no block."""
+    line = " ".join(f"w{i}" for i in range(20))
+    rows = [(i, f"{line} own{i} " + " ".join(f"x{i}y{k}" for k in range(15))) for i in range(100)]
+    got = found(spark, rows)
+    assert got == brute(rows)
+    assert sum(r[2] for r in got) == 20 * 99
+
+
+def test_edges(spark):
+    passage = " ".join(f"p{i}" for i in range(13))
+    rows = [
+        (1, passage), (2, passage), (2, passage), (2, "x " + passage + " y"), (None, passage + " tail"), (None, passage),
+        (3, None), (4, ""), (5, "few words"), (6, passage.replace(" ", " ")), (7, " ".join(["again"] * 40)), (8, " ".join(["again"] * 13)),
+        (9, " \n".join(["again"] * 12)), (10, "é " * 30), (-3, "é\t" * 14),
+    ]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(5)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(400_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(["new"] + long[1000:300_000] + ["end"])), (3, " ".join(long[7:40]))]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_empty_and_clashing_columns(spark):
+    assert drop_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+    passage = " ".join(f"p{i}" for i in range(30))
+    df = spark.createDataFrame([(1, passage), (2, passage + " more")], SCHEMA)
+    for name in ("row", "id", "found", "part", "r", "n_words", "spans"):
+        df = df.withColumn(name, F.lit("clash"))
+    assert [tuple(r) for r in drop_repeats(df).orderBy("doc_id").select("doc_id", "n_removed", "kept_text").collect()] == [(1, 0, passage), (2, 30, "more")]
+
+
+def test_spans_are_maximal(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    df = spark.createDataFrame([(1, "a b " + passage), (2, passage + " c " + passage)], SCHEMA)
+    spans = drop_repeats(df).where("doc_id = 2").first()["spans"]
+    assert [tuple(s) for s in spans] == [(0, 30), (31, 61)]
+
+
+def test_query(spark, sf_small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
+    import hashlib
+
+    want = sorted((d, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for d, n, gone, kept in brute(rows))
+    got = QUERIES["op11_fixed_block_anchors"](spark, sf_small)
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == want
