@@ -46,7 +46,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = f"{staged_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the tables of staged frames that nothing will read again; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_staged_path", None)
+        if path:
+            delete_path(df.sparkSession, path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
