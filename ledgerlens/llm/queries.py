@@ -9,12 +9,14 @@ from .contexts import score_texts
 from .darts import near_duplicates
 from .fingerprints import fingerprints
 from .mixing import mix_sources
+from .negatives import mine_negatives
 from .neighbours import link_near_vectors
 from .packing import pack_best_fit, token_pieces
 from .quality import classify_quality, fit_quality
 from .sharding import shard_by_bytes
 from .substrings import drop_repeats
 from .urls import judge_urls
+from .variants import spelling_variants, word_counts
 from .warc import read_archive, write_archive
 
 QUERIES, SQL = {}, {}
@@ -200,3 +202,78 @@ from split left join kept using (r)
 def op11(spark, d):
     rows = drop_repeats(table(spark, d, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+VARIANTS_SQL = r"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t
+), found as (
+  select coalesce(doc_id::varchar, '') as name, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents
+), counted as (
+  select run, hex(encode(name || ':' || run)) as bytes, count(*) as n from found where length(run) >= 7 group by name, run
+), hashed as (
+  select run, n, xor(list_reduce(list_transform(range(len(bytes) // 2), lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::bigint),
+                                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) as h
+  from counted, crc_table
+), edited as (
+  select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from hashed
+), words as materialized (
+  select word, sum(n)::bigint as n from edited where length(word) >= 7 group by 1 having sum(n) >= 2
+), gaps as materialized (
+  select word, substr(word, 1, i - 1) as l, substr(word, i + 1) as r from (select word, unnest(range(1, length(word) + 1)) as i from words)
+), near as materialized (
+  select distinct a.word, b.word as other from gaps a join gaps b on a.l = b.l and a.r = b.r and a.word <> b.word
+  union select a.word, w.word from gaps a join words w on a.l || a.r = w.word
+  union select w.word, a.word from gaps a join words w on a.l || a.r = w.word
+), best as (
+  select near.word, count(*) as n_near, max(w.n) as most, min(near.other) filter (where w.n = m.most) as form
+  from near join words w on w.word = near.other
+       join (select near.word, max(w.n) as most from near join words w on w.word = near.other group by 1) m on m.word = near.word
+  group by 1
+), formed as materialized (
+  select word, n, coalesce(n_near, 0)::bigint as n_near, case when most >= 10 * n then form end as form, case when most >= 10 * n then most end::bigint as form_n
+  from words left join best using (word)
+), steps(word, here, depth) as (
+  select word, word, 0 from words
+  union all
+  select s.word, f.form, s.depth + 1 from steps s join formed f on f.word = s.here where f.form is not null
+)
+select word, n, n_near, form, form_n, (select arg_max(here, depth) from steps s where s.word = formed.word) as root from formed
+"""
+
+
+@query("op12_permuterm_variants", VARIANTS_SQL)
+def op12(spark, d):
+    """The contract's words: runs of letters, one in 31 of which has lost a letter."""
+    words = word_counts(table(spark, d, "documents"), shortest=7, least=2, typo_every=31)
+    return spelling_variants(words, ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+NEGATIVES_SQL = r"""
+with rows as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+), scored as materialized (
+  select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), positives as (
+  select anchor_id, other as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, other)::integer as rank,
+       other as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
+
+@query("op13_angular_negatives", NEGATIVES_SQL)
+def op13(spark, d):
+    """Anchors are the rows whose id 100 divides; labels of ids that 7 divides are moved on by one, as the contract asks."""
+    rows = table(spark, d, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine_negatives(rows, F.col("vec_id") % 100 == 0)

@@ -1,0 +1,113 @@
+"""Hard negatives against all scores; bounds against exact angles."""
+
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.llm.negatives import Side, _prepared, bounds, mine_negatives, scores
+from ledgerlens.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, label int, embedding array<double>"
+
+
+def brute(rows, anchors, positives=5, negatives=5, low=80, high=100, scale=256):
+    use = {}
+    for i, label, v in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        if any(not math.isfinite(scale * x) for x in v):
+            continue
+        x = [math.floor(scale * float(x)) for x in v]
+        use[i] = min(use[i], (label, v, x)) if i in use else (label, v, x)
+    out = []
+    for a, (la, _, xa) in use.items():
+        if not anchors(a):
+            continue
+        clip = lambda n: max(-(1 << 63), min((1 << 63) - 1, n))
+        of = [(i, lb, clip(sum(p * q for p, q in zip(xa, xb)))) for i, (lb, _, xb) in use.items() if i != a and len(xb) == len(xa)]
+        best = sorted(((-n, i) for i, lb, n in of if lb == la))[:positives]
+        for np_, p in best:
+            window = [(-n, i) for i, lb, n in of if lb != la and low * -np_ <= 100 * n <= high * -np_]
+            out += [(a, p, k + 1, m, -np_, -n) for k, (n, m) in enumerate(sorted(window)[:negatives])]
+    return sorted(out)
+
+
+def found(spark, rows, anchors, schema=SCHEMA, **how):
+    df = spark.createDataFrame(rows, schema)
+    return sorted(tuple(r) for r in mine_negatives(df, anchors, **how).collect())
+
+
+def clustered(seed, n, dim, labels):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(labels, dim))
+    of = rng.integers(0, labels, n)
+    x = centres[of] * 0.8 + rng.normal(size=(n, dim)) * 0.6
+    x[rng.integers(0, n, n // 5)] = x[0]  # equal vectors, so ties, over all labels
+    return [(i, int(of[i]), [float(v) for v in x[i]]) for i in range(n)]
+
+
+@pytest.mark.parametrize("dim", [1, 2, 5, 24])
+def test_all_scores(spark, dim):
+    rows = clustered(dim, 500, dim, 4)
+    assert found(spark, rows, F.col("vec_id") % 20 == 0) == brute(rows, lambda i: i % 20 == 0)
+
+
+def test_blocks_change_nothing(spark):
+    """A label with a third of the rows, many blocks on either side."""
+    rows = [(i, 0 if i % 3 == 0 else label, v) for i, label, v in clustered(9, 400, 6, 5)]
+    want = brute(rows, lambda i: i % 10 == 0)
+    assert found(spark, rows, F.col("vec_id") % 10 == 0, block=100) == want
+    assert found(spark, rows, F.col("vec_id") % 10 == 0, directions=1) == want
+
+
+def test_other_windows(spark):
+    rows = clustered(11, 200, 8, 3)
+    assert found(spark, rows, F.col("vec_id") < 9, positives=3, negatives=2, low_share=50, high_share=95) == brute(rows, lambda i: i < 9, 3, 2, 50, 95)
+
+
+def test_bounds_hold():
+    """Every score lies inside its bounds, also of nearly equal, opposite, tiny and huge vectors."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 7)) * 10.0 ** rng.integers(-2, 5, size=(200, 1))
+    x[50:100] = x[:50] * (1 + 1e-9)
+    x[100:150] = -x[:50]
+    x[150] = 0
+    frame = pd.DataFrame({"id": range(200), "label": 0, "anchor": True, "dim": 7, "vec": list(x)})
+    side = Side(pd.concat(_prepared(256.0, 8, 0)(iter([frame]))))
+    low, high = bounds(side, side)
+    exact = scores(side, side, np.ones((200, 200), bool))
+    assert (low <= exact).all() and (exact <= high).all()
+
+
+def test_edges(spark):
+    v = [1.0, 2.0]
+    rows = [
+        (0, 1, v), (1, 1, v), (2, 1, [1.0, -2.0]), (3, 2, v), (4, 2, v), (5, 2, [0.9, 1.9]), (6, None, v), (None, 1, v), (7, 1, None), (8, 2, [1.0, None]),
+        (9, 2, [1.0, float("nan")]), (10, 2, [1.0, float("inf")]), (11, 2, [0.0, 0.0]), (12, 1, [0.0, 0.0]), (13, 2, [1.0]), (14, 1, [2.0]), (15, 2, []), (16, 1, []),
+        (17, 3, [-1.0, -2.0]), (18, 3, [-1.0, -2.1]), (0, 1, [3.0, 3.0]), (3, 2, v), (19, 1, [1e300, 1.0]), (20, 2, [1e15, 1e15]), (21, 1, [1e14, 1e14]), (22, 1, [1e307, 1e307]),
+    ]
+    assert found(spark, rows, F.lit(True)) == brute(rows, lambda i: True)
+    assert found(spark, rows, F.lit(False)) == []
+    assert found(spark, [], F.lit(True)) == []
+    # no positive, and so nothing; no other label, and so nothing
+    assert found(spark, [(1, 1, v), (2, 2, v)], F.lit(True)) == []
+    assert found(spark, [(1, 1, v), (2, 1, v)], F.lit(True)) == []
+
+
+def test_clashing_columns_and_text_labels(spark):
+    rows = clustered(5, 100, 4, 3)
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(tuple(r) for r in mine_negatives(df, F.col("vec_id") % 10 == 0).collect())
+    for name in ("id", "vec", "anchor", "dim", "i", "j", "rank", "norm"):
+        df = df.withColumn(name, F.lit("clash"))
+    df = df.withColumn("label", F.concat(F.lit("l"), "label"))
+    assert sorted(tuple(r) for r in mine_negatives(df, F.col("vec_id") % 10 == 0).collect()) == want
+
+
+def test_query(spark, sf_small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/embeddings.parquet").select("vec_id", "label", "embedding").collect()]
+    rows = [(i, label if label is None or i % 7 else (label + 1) % 10, v) for i, label, v in rows]
+    assert sorted(tuple(r) for r in QUERIES["op13_angular_negatives"](spark, sf_small).collect()) == brute(rows, lambda i: i % 100 == 0)
