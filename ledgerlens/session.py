@@ -9,7 +9,11 @@ that size is under ``spark.sql.autoBroadcastJoinThreshold``.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +46,52 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@dataclass
+class Staging:
+    """The tables that were staged inside a ``staging`` block."""
+
+    spark: SparkSession | None = None
+    paths: list[str] = field(default_factory=list)
+    kept: list[str] = field(default_factory=list)
+
+    def keep(self, *frames: DataFrame | None) -> None:
+        """Leave the tables that these frames still read."""
+        for df in frames:
+            if df is not None and self.paths:
+                files = df.inputFiles()
+                self.kept += [p for p in self.paths if any(p.rpartition("/")[2] in f for f in files)]
+
+
+_open = threading.local()
+
+
+@contextmanager
+def staging() -> Iterator[Staging]:
+    """Delete at the block's end what was staged inside it by this thread, but for what was kept; that passes to
+    the block around it, if there is one."""
+    blocks = _open.__dict__.setdefault("blocks", [])
+    blocks.append(own := Staging())
+    try:
+        yield own
+    except BaseException:
+        own.kept.clear()
+        raise
+    finally:
+        blocks.pop()
+        for path in own.paths:
+            if path not in own.kept:
+                delete_path(own.spark, path)
+            elif blocks:
+                blocks[-1].spark = own.spark
+                blocks[-1].paths.append(path)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = f"{staged_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    for block in _open.__dict__.get("blocks", [])[-1:]:
+        block.spark = df.sparkSession
+        block.paths.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
@@ -67,3 +114,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or nothing where there is none."""
+    if not path_exists(spark, path):
+        return None
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place of what was there: readers see the old text or the new one, never a part."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = target.getFileSystem(conf)
+    stream = fs.create(fresh, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    over = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(over, 1)
+    how[0] = over.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), conf).rename(
+        fs.makeQualified(fresh), fs.makeQualified(target), how
+    )
