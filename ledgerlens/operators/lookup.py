@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import strip_upper
 from ..session import stage
+from ..sources.versions import read_table, replace_table
 
 UNMAPPED = "UNKNOWN"
 
@@ -181,3 +182,14 @@ def last_value_per_key(
         .groupBy(key)
         .agg(F.max(F.struct(*order, F.col(value).alias("_v")))["_v"].alias(out))
     )
+
+
+def update_mapping(
+    spark: SparkSession, path: str, rows: DataFrame, key: str, value: str, fmt: str = "parquet", **options
+) -> DataFrame:
+    """``upsert_mapping`` into the mapping table stored at ``path``, and the new table read back.
+
+    The table is read while its successor is written beside it; readers through ``read_table`` see the old
+    one until the new one is whole.
+    """
+    return replace_table(upsert_mapping(read_table(spark, path, fmt, **options), rows, key, value), path, fmt, **options)
