@@ -18,7 +18,7 @@ from ..functions.columns import (
     within_tolerance,
 )
 from ..operators.lookup import attach_range, override_first, override_where
-from ..operators.quality import drop_nulls, drop_report
+from ..operators.quality import drop_nulls, drop_report, observe_drops
 from ..session import stage
 from .settings import Lookups
 
@@ -343,8 +343,8 @@ def _statistics(df: DataFrame, lookups: Lookups) -> dict[str, Column]:
     return literal
 
 
-def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
-    """(cleaned rows, report of dropped rows), in the fixed order of the rules."""
+def _cleaned(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, list[str]]:
+    """All rows with their derived columns, in the fixed order of the rules, and the columns that must not be null."""
     df, done, _ = _derive(df, lookups, _statistics(df, lookups))
     upper = upper_columns()
     df = clean_area(df, lookups.area_range, keep=lambda frame: drop_nulls(frame, done))
@@ -353,7 +353,17 @@ def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
         "derived_phase_property_type": upper["derived_phase_property_type"],
         "derived_financier_name": financier_rule(F.col("derived_is_cash_buyer"), F.col("financier1_name")),
     }
-    df = df.withColumns(late)
-    done = [*done, "derived_built_up_area_sqft", *late]
-    report = drop_report(df, done, "clean")
-    return drop_nulls(df, done).withColumns(filled_prices()), report
+    return df.withColumns(late), [*done, "derived_built_up_area_sqft", *late]
+
+
+def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
+    """(cleaned rows, report of dropped rows); the report is a pass of its own."""
+    df, done = _cleaned(df, lookups)
+    return drop_nulls(df, done).withColumns(filled_prices()), drop_report(df, done, "clean")
+
+
+def clean_observed(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """(cleaned rows, their report); it can be read once the rows have been written, and costs no pass."""
+    df, done = _cleaned(df, lookups)
+    kept, report = observe_drops(df, done, "clean")
+    return kept.withColumns(filled_prices()), report

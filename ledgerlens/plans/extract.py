@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import coerce_timestamp, plain_number
 from ..operators.periods import Period, split_by_period
-from ..operators.quality import removed_report, require_columns
+from ..operators.quality import observe_count, removed_rows, require_columns
 from ..operators.sequence import HOT_ROWS, next_event, thin_recent
 from ..session import stage
 from .settings import DATE_COLUMNS, FILTER_COLUMNS, PRICE_COLUMNS, Preparation
@@ -71,22 +71,20 @@ def extract(df: DataFrame, settings: Preparation, hot_rows: int = HOT_ROWS) -> E
     df = df.withColumn(settings.key, F.col(settings.key).cast("string"))
     df = df.withColumns({c: plain_number(F.col(c)) for c in PRICE_COLUMNS})
     sold = {"project_country": settings.country, "last_sales_status": settings.sale_status}
-    # thinning and the report read it: the raw table is read once for each view
-    joined = stage(join_views(
+    # thinning reads it more than once: the raw table is read once for each view
+    joined, known = observe_count(join_views(
         df,
         "sales_id",
         {**sold, "date_type": settings.attribute_view},
         columns,
         {**sold, "date_type": settings.price_view},
         PRICE_COLUMNS,
-    ), "joined")
-    # read by the report, the statistics and the search for date bounds
-    sales = stage(
-        thin_recent(joined, settings.key, "spa_date", "sales_id", settings.thin_days, hot_rows),
-        "thinned",
-    )
-    known = joined.where(F.col(settings.key).isNotNull())
-    report = removed_report(known, sales, "extraction", "recent purchases removed")
+    ), F.col(settings.key).isNotNull())
+    joined = stage(joined, "joined")
+    # read by the statistics and the search for date bounds; both writes count what the report says
+    thinned, left = observe_count(thin_recent(joined, settings.key, "spa_date", "sales_id", settings.thin_days, hot_rows))
+    sales = stage(thinned, "thinned")
+    report = removed_rows(df.sparkSession, known() - left(), "extraction", "recent purchases removed")
     if settings.evaluation is None:
         return Extraction(sales, report)
     train, evaluation, period = split_by_period(

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import differs
 from ..operators.quality import REPORT_SCHEMA
 from ..operators.sequence import HOT_ROWS
-from ..session import path_exists, stage
+from ..session import delete_path, path_exists, stage, staging
 from ..sources.sinks import write_stage
-from .clean import clean
+from . import manifest
+from .clean import clean_observed
 from .extract import extract, label_next_purchase
 from .features import add_features, bin_values, group_values
 from .settings import Lookups, Preparation
@@ -30,56 +32,78 @@ def prepare(
     """Extract, label, clean, add features, group and bin.
 
     Tables are staged where a later step reads its input more than once: after
-    thinning (statistics), cleaning (group minima) and grouping (bin edges).
-    With ``save_dir`` every phase's table is kept under its name, and ``resume``
-    returns the finished ones.
+    thinning (statistics), cleaning (group minima) and grouping (bin edges). Those that
+    nothing reads any more are deleted at the end.
+    With ``save_dir`` every phase's table is kept under its name, with a manifest of what it was made
+    from. ``resume`` goes on behind the last finished phase, and refuses if what that was made from has
+    changed; the report then has the rows of the phases that were run.
     """
-    if settings.resume:
-        if not settings.save_dir:
-            raise ValueError("save_dir is needed to resume")
-        done = finished(raw.sparkSession, settings.save_dir)
-        if done is not None:
-            return done
-
-    def keep(df: DataFrame, name: str, barrier: bool) -> DataFrame:
-        if settings.save_dir:
-            return write_stage(df, settings.save_dir, name)
-        return stage(df, name) if barrier else df
-
-    # staged, the lookups have a known size and small ones are broadcast
-    lookups = replace(
-        lookups,
-        **{n: stage(getattr(lookups, n), n) for n in ("id_type", "nationality", "city", "area_range")},
-    )
-    extracted = extract(raw, settings, hot_rows)
-    evaluation = extracted.evaluation
-    if evaluation is not None:
-        evaluation = keep(evaluation, "eval_slice", barrier=False)
-    sales = keep(extracted.sales, "extraction", barrier=False)
-    if settings.with_label:
-        sales = label_next_purchase(sales, settings.key, hot_rows=hot_rows)
-        sales = keep(sales, "label", barrier=True)
-    cleaned, dropped = clean(sales, lookups)
-    cleaned = keep(cleaned, "clean", barrier=True)
-    featured = keep(add_features(cleaned), "features", barrier=False)
-    grouped, unmapped = group_values(featured, lookups.mappings)
-    grouped = keep(grouped, "group", barrier=True)
-    binned = keep(bin_values(grouped, settings.dropped_sales), "bin", barrier=False)
-    report = extracted.report.unionByName(dropped).unionByName(unmapped)
-    return Prepared(binned, evaluation, report)
-
-
-def finished(spark: SparkSession, save_dir: str) -> Prepared | None:
-    """The tables of an earlier preparation in ``save_dir``, if it was finished."""
+    spark = raw.sparkSession
+    facts, last = {}, None
+    if settings.resume and not settings.save_dir:
+        raise ValueError("save_dir is needed to resume")
+    if settings.save_dir:
+        facts = manifest.gather(raw, lookups, settings)
+        if settings.resume:
+            last = manifest.last_finished(spark, settings.save_dir, facts)
+        else:
+            manifest.forget(spark, settings.save_dir)
+    with staging() as staged:
+        done = _phases(raw, lookups, settings, hot_rows, facts, last)
+        staged.keep(done.rows, done.evaluation, done.report)
+    return done
+
+
+def _phases(
+    raw: DataFrame, lookups: Lookups, settings: Preparation, hot_rows: int, facts: dict, last: str | None
+) -> Prepared:
+    """The phases behind ``last``."""
+    spark, save_dir = raw.sparkSession, settings.save_dir
+    reports = [spark.createDataFrame([], REPORT_SCHEMA)]
+
+    def missing(phase: str) -> bool:
+        return last is None or manifest.PHASES.index(phase) > manifest.PHASES.index(last)
+
+    def keep(df: DataFrame, phase: str, barrier: bool = False) -> DataFrame:
+        if save_dir:
+            out = write_stage(df, save_dir, phase)
+            manifest.write(spark, save_dir, phase, facts)
+            return out
+        return stage(df, phase) if barrier else df
 
     def table(name: str) -> DataFrame | None:
         path = f"{save_dir.rstrip('/')}/{name}"
         return spark.read.parquet(path) if path_exists(spark, f"{path}/_SUCCESS") else None
 
-    rows = table("bin")
-    if rows is None:
-        return None
-    return Prepared(rows, table("eval_slice"), spark.createDataFrame([], REPORT_SCHEMA))
+    if last is not None:
+        df, evaluation = table(last), table("eval_slice")
+    else:
+        extracted = extract(raw, settings, hot_rows)
+        evaluation = extracted.evaluation
+        if evaluation is not None and save_dir:
+            evaluation = write_stage(evaluation, save_dir, "eval_slice")
+        elif save_dir:
+            delete_path(spark, f"{save_dir.rstrip('/')}/eval_slice")
+        reports.append(extracted.report)
+        df = keep(extracted.sales, "extraction")
+    if settings.with_label and missing("label"):
+        df = keep(label_next_purchase(df, settings.key, hot_rows=hot_rows), "label", barrier=True)
+    if missing("clean"):
+        # staged, the lookups have a known size and small ones are broadcast
+        fixed = {n: stage(getattr(lookups, n), n) for n in ("id_type", "nationality", "city", "area_range")}
+        cleaned, dropped = clean_observed(df, replace(lookups, **fixed))
+        df = keep(cleaned, "clean", barrier=True)
+        reports.append(dropped())
+    if missing("features"):
+        df = keep(add_features(df), "features")
+    if missing("group"):
+        grouped, unmapped = group_values(df, lookups.mappings)
+        df = keep(grouped, "group", barrier=True)
+        # its tables are small; what it is made from need not stay for it
+        reports.append(stage(unmapped, "unmapped"))
+    if missing("bin"):
+        df = keep(bin_values(df, settings.dropped_sales), "bin")
+    return Prepared(df, evaluation, reduce(DataFrame.unionByName, reports))
 
 
 def with_label(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:

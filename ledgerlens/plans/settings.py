@@ -79,6 +79,7 @@ class PurchaseModel:
     validation: float = 0.2
     threshold: float = 0.6
     params: Mapping = field(default_factory=dict)
+    hash_width: int | None = None  # slots of a column of very many categories; None refuses it
 
     def __post_init__(self):
         check_model(self.model, self.validation)
@@ -100,6 +101,7 @@ class TypeModel:
     threshold: float = 0.5
     types: Sequence[str] = tuple(PROPERTY_TYPES)
     params: Mapping = field(default_factory=dict)
+    hash_width: int | None = None
 
     def __post_init__(self):
         check_model(self.model, self.validation)
