@@ -162,3 +162,34 @@ def temporal_splits(
     first = bounds(df, date)[0] if splits > 1 else None
     min_year = first.year if first is not None else None
     return df.withColumn(out, temporal_split_id(F.year(date), min_year, splits, pivot_year))
+
+
+#: Parts of the hash that a threshold can tell apart.
+HASH_RANGE = 1 << 52
+
+
+def sample_near(
+    df: DataFrame, sizes: Mapping, ids: Sequence[str], seed: int, group: str | None = None
+) -> DataFrame:
+    """About ``sizes[g]`` rows of every group ``g``, by a threshold on the hash of their ids; a size of None takes all.
+
+    One aggregate counts the groups, then a filter takes the rows: nothing is exchanged, ordered or numbered. Of
+    n rows wanted, fewer or more than 4 sqrt(n) off come once in ten thousand times; the same rows always come
+    for the same ids and seed, and a larger size only adds rows. For exact sizes see ``hash_order_flag``.
+    Groups that ``sizes`` lacks give no row; groups smaller than their size give all.
+    """
+    g = F.col(group) if group else F.lit(0)
+    sizes = dict(sizes) if group else {0: sizes[None]}
+    counted = df.select(g.alias("g")).where(F.col("g").isin(list(sizes))).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    share = {}
+    for r in counted.collect():
+        wanted = r["n"] if sizes[r["g"]] is None else min(sizes[r["g"]], r["n"])
+        share[r["g"]] = HASH_RANGE * wanted // r["n"]
+    place = F.conv(F.substring(row_hash(ids, seed), 1, 13), 16, 10).cast("long")
+    return df.where(F.coalesce(place < _case(g, share), F.lit(False)))
+
+
+def downsample_near(df: DataFrame, label: str, ids: Sequence[str], ratio: float = 1, seed: int = 123) -> DataFrame:
+    """All rows of class 1 with about ``ratio`` times as many of class 0, or all of these if there are fewer."""
+    ones = df.where(F.col(label) == 1).count()
+    return sample_near(df, {1: None, 0: round(ones * ratio)}, ids, seed, label)

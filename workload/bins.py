@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.quantiles import Cut, bin_columns, order_statistics
+from ledgerlens.operators.sketches import RANK_ERROR, sketched_points, slice_sketches
 
 from .registry import query, table
 
@@ -116,3 +117,38 @@ def distinct(spark, d):
     return points.agg(
         F.count_distinct("edge").alias("n"), F.min("edge").alias("low"), F.max("edge").alias("high")
     )
+
+
+SKETCHED = {"l_extendedprice": Cut(20), "l_quantity": Cut(5)}
+
+
+@query(
+    "quantile_edges_sketched",
+    " union all ".join(
+        f"""select '{c}' as "column", cast(unnest(range({cut.bins + 1})) as int) as point, true as within"""
+        for c, cut in SKETCHED.items()
+    ),
+)
+def sketched(spark, d):
+    """Edges from sketches of each month, merged: is each point's true rank within the stated error?"""
+    rows = table(spark, d, "lineitem")
+    points = sketched_points(slice_sketches(rows, list(SKETCHED), F.date_format("l_shipdate", "yyyy-MM")), SKETCHED)
+    out = None
+    for c, cut in SKETCHED.items():
+        # how many rows are below and up to each point: a handful of sums, one pass
+        edges = {r["point"]: r["edge"] for r in points.where(F.col("column") == c).collect()}
+        sums = [F.count(c).alias("n")]
+        for p, e in edges.items():
+            sums += [F.count_if(F.col(c) < e).alias(f"below{p}"), F.count_if(F.col(c) <= e).alias(f"upto{p}")]
+        n = rows.agg(*sums)
+        slack = F.col("n") * RANK_ERROR + 1
+        cells = [
+            F.struct(
+                F.lit(c).alias("column"), F.lit(p).cast("int").alias("point"),
+                ((F.col(f"below{p}") <= F.col("n") * p / cut.bins + slack) & (F.col(f"upto{p}") >= F.col("n") * p / cut.bins - slack)).alias("within"),
+            )
+            for p in edges
+        ]
+        part = n.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+        out = part if out is None else out.unionByName(part)
+    return out

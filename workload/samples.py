@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.sampling import (
-    downsample, sample_exact, split_by_hash, split_exact, temporal_splits,
+    downsample, downsample_near, sample_exact, split_by_hash, split_exact, temporal_splits,
 )
 
 from .registry import query, table
@@ -42,6 +42,22 @@ def balanced(spark, d):
     return downsample(rows, "label", ["o_orderkey"], ratio=2)
 
 
+@query(
+    "downsample_near",
+    f"""
+with o as (select o_orderkey, cast(o_orderpriority = '1-URGENT' as int) as label, ('0x' || substr({_hash(123, 'o_orderkey')}, 1, 13))::bigint as place from orders),
+n as (select count(*) filter (label = 1) as ones, count(*) filter (label = 0) as zeros from o)
+select o_orderkey, label from o, n where label = 1 or place < 4503599627370496::hugeint * least(2 * ones, zeros) // zeros
+""",
+)
+def nearly_balanced(spark, d):
+    """A sampling operator: about the size asked for, by a threshold, in one pass after the counts."""
+    rows = table(spark, d, "orders").select(
+        "o_orderkey", (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("label")
+    )
+    return downsample_near(rows, "label", ["o_orderkey"], ratio=2)
+
+
 def _marked(train, held):
     return train.withColumn("part", F.lit("train")).unionByName(held.withColumn("part", F.lit("held")))
 
