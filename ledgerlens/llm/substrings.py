@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import shuffle_partitions
 
-from .hashing import KEPT_WORDS, mix
+from .hashing import GOLDEN, mix
 
 #: Words of a repeat at least; each holds one whole reference block of BLOCK words, wherever blocks begin.
 WINDOW = 13
 #: Odd bases of the polynomials that hash runs of words (fixed values), modulo 2 ** 64.
 BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0x9FB21C651E98DF25)
-#: Bytes of text that a task takes together, and that a part of the index stands for.
-CHUNK, PART_BYTES = 8 << 20, 12 << 20
+#: Bytes and number of texts that a task takes together, and bytes of text that a part of the index stands for.
+CHUNK, CHUNK_TEXTS, PART_BYTES = 3 << 20, 1 << 15, 12 << 20
 #: Bits of a block's hash within its part.
 BITS = 30
 #: Documents of one chunk in which a run that starts no block there is told one by one; of more it is taken as found.
@@ -26,39 +26,56 @@ MANY = 16
 LAST = (1 << 63) - 1
 
 
-class Words:
-    """64-bit hashes of the words of texts, one text after the other, and the numbers of words."""
+class Powers:
+    """Powers of an odd base and of its inverse modulo 2 ** 64, as far as asked for."""
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, 1 << 64)
+        self.up = self.down = np.ones(1, np.uint64)
 
-    def __call__(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        import xxhash
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            n += n >> 3
+            self.up, self.down = (np.full(n, b, np.uint64) for b in self.bases)
+            for x in (self.up, self.down):
+                x[0] = 1
+                np.cumprod(x, out=x)
+        return self.up, self.down
 
-        known, flat = self.known, [w for words in split for w in words]
-        if len(known) > KEPT_WORDS:
-            known.clear()
-        for w in set(flat).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        n = np.array([len(words) for words in split], np.int64)
-        return np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat)), n
 
+POWERS = [Powers(b) for b in BASES]
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+BYTES = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 
-def words_of(text: str | None) -> list[bytes]:
-    """What stands between blanks (space, tab to carriage return), in UTF-8."""
-    return (text or "").encode("utf-8", "replace").split()  # bytes.split() parts at exactly these
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts, one text after the other, and how many each has: of all bytes at
+    once, by prefix sums of a polynomial in them."""
+    data = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+    blank = BLANK[data]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    begin = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    n = np.diff(np.searchsorted(start, begin))
+    up, down = POWERS[0](len(data))
+    total = BYTES[data]
+    total *= up[: len(data)]
+    np.cumsum(total, out=total)
+    return mix((total[end - 1] - total[start - 1]) * down[start]), n
+
+
+def utf8(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace")
 
 
 def windows(h: np.ndarray, size: int, seed: int) -> np.ndarray:
     """A hash of each run of ``size`` words, from prefix sums of a polynomial in their hashes."""
     if len(h) < size:
         return np.zeros(0, np.uint64)
-    base = BASES[seed]
-    up, down = np.full(len(h), base, np.uint64), np.full(len(h) - size + 1, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
+    up, down = POWERS[seed](len(h))
     total = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * np.cumprod(up), out=total[1:])
-    return mix((total[size:] - total[:-size]) * np.cumprod(down))
+    np.cumsum(h * up[: len(h)], out=total[1:])
+    return mix((total[size:] - total[:-size]) * down[: len(h) - size + 1])
 
 
 def _chunks(batch):
@@ -66,7 +83,7 @@ def _chunks(batch):
     held, start = 0, 0
     for i, t in enumerate(batch["text"]):
         held += len(t)
-        if held >= CHUNK:
+        if held >= CHUNK or i - start + 1 >= CHUNK_TEXTS:
             yield batch.iloc[start : i + 1]
             held, start = 0, i + 1
     if start < len(batch):
@@ -94,17 +111,52 @@ def _firsts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _runs(part: np.ndarray, doc: np.ndarray):
-    """For each part the slice of its entries, its documents and how many entries each has; both are sorted."""
-    at = _firsts(part, doc)
-    count = np.diff(at, append=len(doc))
-    cut = _firsts(part[at])
-    for a, b in zip(cut, [*cut[1:], len(at)]):
-        if b > a:
-            yield int(part[at[a]]), slice(at[a], at[b - 1] + count[b - 1]), doc[at[a:b]], count[a:b].astype("<u4")
+def _sorted(code: np.ndarray, owner: np.ndarray, parts: int) -> np.ndarray:
+    """The order by code, then owner; both fit one number but for very many parts."""
+    bits = int(owner[-1]).bit_length()
+    if (parts << BITS).bit_length() + bits > 64:
+        return np.lexsort((owner, code))
+    return np.argsort((code << np.uint64(bits)) | owner.astype(np.uint64))
+
+
+def _cuts(part: np.ndarray):
+    """(part, slice of its entries) of entries sorted by part."""
+    at = _firsts(part) if len(part) else np.zeros(0, np.int64)
+    for a, b in zip(at, [*at[1:], len(part)]):
+        yield int(part[a]), slice(a, b)
+
+
+def _grown(values: np.ndarray) -> bytes:
+    """Ascending numbers as steps, which compress well."""
+    return np.diff(values, prepend=0).astype("<i8").tobytes()
+
 
+def _chunk_name(row: np.ndarray) -> int:
+    """By what it holds, so a task that runs again gives its chunks the same names."""
+    import xxhash
 
-PROBES = "part int, rows binary, counts binary, keys binary, known binary"
+    return xxhash.xxh3_64_intdigest(row.tobytes()) - (1 << 63)
+
+
+#: The names of a chunk's rows, and places already found there, go by the chunk; they have these parts below zero.
+ROWS, PLACES = 0, 1
+MESSAGE = "part int, chunk long, docs binary, ids binary, keys binary, known binary"
+
+
+def _own(kind: int, chunk: int, parts: int) -> int:
+    return -1 - kind - 2 * (chunk % parts)
+
+
+def _found(owner: np.ndarray, place: np.ndarray, row: np.ndarray, chunk: int, parts: int) -> list[tuple]:
+    """What every chunk says of itself: its rows, and the places found there, sorted by row and place."""
+    docs, counts = np.unique(owner, return_counts=True)
+    steps = np.diff(place, prepend=0)
+    begin = np.cumsum(counts) - counts
+    steps[begin] = place[begin]
+    return [
+        (_own(ROWS, chunk, parts), chunk, b"", b"", row.astype("<i8").tobytes(), b""),
+        (_own(PLACES, chunk, parts), chunk, docs.astype("<u2").tobytes(), counts.astype("<u4").tobytes(), steps.astype("<u4").tobytes(), b""),
+    ]
 
 
 def _probes(block: int, window: int, parts: int):
@@ -113,27 +165,24 @@ def _probes(block: int, window: int, parts: int):
     ``block``).
 
     A run that several documents of a chunk have, and one of them as a block, is found there: it is told
-    once, and the places go on with a negative part.
+    once, and the places stay with the chunk.
     """
 
     def run(batches):
         import pandas as pd
 
-        words = Words()
         for batch in batches:
-            for chunk in _chunks(batch):
-                chunk = chunk.drop_duplicates("row")
-                split = [words_of(t) for t in chunk["text"]]
-                long = [i for i, found in enumerate(split) if len(found) >= window]
-                h, n = words([split[i] for i in long])
-                row = chunk["row"].to_numpy()[long]
-                if not len(h):
-                    continue
+            for texts in _chunks(batch):
+                texts = texts.drop_duplicates("row")
+                row = texts["row"].to_numpy()
+                h, n = hashed_words([utf8(t) for t in texts["text"]])
                 code = _code(windows(h, block, 0), parts)
-                owner = np.repeat(np.arange(len(n)), n)[: len(code)]
+                owner = np.repeat(np.arange(len(n), dtype=np.int32), n)[: len(code)]
                 place = np.arange(len(code)) - (np.cumsum(n) - n)[owner]
-                own = np.flatnonzero(place + block <= n[owner])
-                order = own[np.argsort(code[own], kind="stable")]  # of one run, documents in order
+                own = np.flatnonzero((place + block <= n[owner]) & (n[owner] >= window))
+                if not len(own):
+                    continue
+                order = own[_sorted(code[own], owner[own], parts)]
                 key, doc = code[order], owner[order]
                 entry = _firsts(key, doc)
                 is_block = np.logical_or.reduceat(place[order] % block == 0, entry)
@@ -145,21 +194,20 @@ def _probes(block: int, window: int, parts: int):
                 place_live = np.zeros(len(code), bool)
                 place_live[order] = np.repeat(entry_live, np.diff(entry, append=len(key)))
                 at = np.flatnonzero(place_live)
-                out = [(-1 - int(p), row[d].astype("<i8").tobytes(), b"", _steps(place[at[s]]), b"") for p, s, d, _ in _runs(owner[at], owner[at])]
+                chunk = _chunk_name(row)
+                out = _found(owner[at], place[at], row, chunk, parts)
                 # what is not yet found
                 keep = np.flatnonzero(~entry_live)
-                part = entry_key[keep] >> np.uint64(BITS)
-                keep = keep[np.lexsort((entry_doc[keep], part))]
+                part = (entry_key[keep] >> np.uint64(BITS)).astype(np.int64)
+                order = np.lexsort((entry_doc[keep], part))
+                keep, part = keep[order], part[order]
                 low = (entry_key[keep] & np.uint64((1 << BITS) - 1)).astype("<u4") | (is_block[keep].astype("<u4") << np.uint32(31))
                 told = np.sort(entry_key[first[live]])
-                told_part = told >> np.uint64(BITS)
-                told = (told & np.uint64((1 << BITS) - 1)).astype("<u4")
-                known = {p: told[s].tobytes() for p, s, _, _ in _runs(told_part, told_part)}
-                for p, s, d, count in _runs(entry_key[keep] >> np.uint64(BITS), entry_doc[keep]):
-                    out.append((p, row[d].astype("<i8").tobytes(), count.tobytes(), low[s].tobytes(), known.pop(p, b"")))
-                out += [(p, b"", b"", b"", k) for p, k in known.items()]
-                # places go on as they are, spread by their document
-                yield pd.DataFrame([(p if p >= 0 else -1 - int(np.frombuffer(r, "<i8")[0]) % parts, r, c, k, kn) for p, r, c, k, kn in out], columns=["part", "rows", "counts", "keys", "known"])
+                known = {p: (told[s] & np.uint64((1 << BITS) - 1)).astype("<u4").tobytes() for p, s in _cuts(told >> np.uint64(BITS))}
+                for p, s in _cuts(part):
+                    out.append((p, chunk, entry_doc[keep[s]].astype("<u2").tobytes(), b"", low[s].tobytes(), known.pop(p, b"")))
+                out += [(p, chunk, b"", b"", b"", k) for p, k in known.items()]
+                yield pd.DataFrame(out, columns=["part", "chunk", "docs", "ids", "keys", "known"])
 
     return run
 
@@ -168,57 +216,96 @@ def _joined(column, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind)
 
 
-def _hits(group):
-    """Of one part of the index: for each document, its runs that are a block of another or may be."""
+def _answers(group, part: int, message: np.ndarray, doc: np.ndarray, data: np.ndarray):
+    """Entries of messages, sorted by message, as answers to the messages' chunks."""
     import pandas as pd
 
-    part = int(group["part"].iloc[0])
-    if part < 0:
-        return pd.DataFrame({"row": _joined(group["rows"], "<i8"), "part": -1, "data": group["keys"]})
-    key = _joined(group["keys"], "<u4")
-    row = np.repeat(_joined(group["rows"], "<i8"), _joined(group["counts"], "<u4"))
+    chunks = group["chunk"].to_numpy()
+    out = [(chunks[m], part, doc[s].astype("<u2").tobytes(), b"", data[s].tobytes()) for m, s in _cuts(message)]
+    return pd.DataFrame(out, columns=["chunk", "part", "docs", "counts", "data"])
+
+
+def _passed(group):
+    """Messages that go by the chunk anyhow."""
+    out = group[["chunk", "part", "docs"]].assign(counts=group["ids"], data=group["keys"])
+    # all that matters from here is the kind
+    return out.assign(part=-1 - (-1 - out["part"]) % 2)
+
+
+def _hits(group):
+    """Of one part of the index: for each chunk its documents' runs that are a block of another or may be."""
+    if int(group["part"].iloc[0]) < 0:
+        return _passed(group)
+    key, doc = _joined(group["keys"], "<u4"), _joined(group["docs"], "<u2")
+    message = np.repeat(np.arange(len(group)), [len(k) // 4 for k in group["keys"]])
     low, is_block = key & np.uint32((1 << BITS) - 1), key >> np.uint32(31) != 0
-    order = np.lexsort((row, low))
-    low, row, is_block = low[order], row[order], is_block[order]
+    order = np.argsort(low, kind="stable")
     live = np.zeros(len(low), bool)
     if len(low):
-        first = _firsts(low)
+        sorted_low, who = low[order], (message[order] << 16) | doc[order]
+        first = _firsts(sorted_low)
         count = np.diff(first, append=len(low))
-        # rows are sorted within a run: the first and last differ if any do
-        several = row[first] != row[first + count - 1]
-        live = np.repeat(several & np.logical_or.reduceat(is_block, first), count)
+        # entries stand by message and document within a run: the first and last differ if any do
+        several = who[first] != who[first + count - 1]
+        live[order] = np.repeat(several & np.logical_or.reduceat(is_block[order], first), count)
     live |= np.isin(low, np.unique(_joined(group["known"], "<u4")))
-    low, row = low[live], row[live]
-    order = np.argsort(row, kind="stable")
-    low, row = low[order].astype("<u4"), row[order]
-    at = _firsts(row) if len(row) else np.zeros(0, np.int64)
-    return pd.DataFrame({"row": row[at], "part": part, "data": [low[a:b].tobytes() for a, b in zip(at, [*at[1:], len(row)])]})
+    return _answers(group, int(group["part"].iloc[0]), message[live], doc[live], low[live].astype("<u4"))
+
+
+def _by_row(size: str):
+    """applyInPandas over the answers to one chunk: (row, places, keys) of its documents. ``size`` is the type of
+    answered keys; those of four bytes become whole numbers with their part."""
+
+    def run(group):
+        import pandas as pd
+
+        row = [_joined([d], "<i8") for p, d in zip(group["part"], group["data"]) if p == -1 - ROWS][0]
+        places, keys = {}, {}
+        docs, data = [np.zeros(0, "<u2")], [np.zeros(0, np.uint64)]
+        for part, d, counts, x in zip(group["part"], group["docs"], group["counts"], group["data"]):
+            if part == -1 - PLACES:
+                ends = 4 * np.cumsum(np.frombuffer(counts, "<u4"))
+                for i, a, b in zip(np.frombuffer(d, "<u2").tolist(), [0, *ends], ends):
+                    places[i] = x[a:b]
+            elif part >= 0:
+                docs.append(np.frombuffer(d, "<u2"))
+                key = np.frombuffer(x, size).astype(np.uint64)
+                data.append(key | np.uint64(part << BITS) if size == "<u4" else key)
+        doc, key = np.concatenate(docs), np.concatenate(data)
+        order = np.argsort(doc, kind="stable")
+        key = key[order]
+        for i, s in _cuts(doc[order]):
+            keys[i] = key[s].tobytes()
+        both = sorted({*places, *keys})
+        return pd.DataFrame({"row": row[both], "places": [places.get(i, b"") for i in both], "keys": [keys.get(i, b"") for i in both]})
+
+    return run
 
 
 def _extensions(block: int, window: int, parts: int):
     """mapInPandas over (row, id, text, found): the hashes of the runs of ``window`` words around hits.
 
     Of documents of one chunk that have a run, only those of the least id go on to be compared; for the
-    others it is a repeat, and its places go on with a negative part.
+    others it is a repeat, and its places stay with the chunk.
     """
 
     def run(batches):
         import pandas as pd
 
-        words = Words()
         for batch in batches:
-            for chunk in _chunks(batch):
-                chunk = chunk.drop_duplicates("row")
-                h, n = words([words_of(t) for t in chunk["text"]])
-                row, number = chunk["row"].to_numpy(), chunk["id"].to_numpy()
+            for texts in _chunks(batch):
+                # by id, so that ids are told by small steps
+                texts = texts.drop_duplicates("row").sort_values(["id", "row"])
+                h, n = hashed_words([utf8(t) for t in texts["text"]])
+                row, number = texts["row"].to_numpy(), texts["id"].to_numpy()
                 first = np.cumsum(n) - n
                 code = _code(windows(h, block, 0), parts)
                 change = np.zeros(len(h) + 1, np.int32)
-                for i, found in enumerate(chunk["found"]):
-                    lows = [np.frombuffer(x["data"], "<u4").astype(np.uint64) | np.uint64(x["part"] << BITS) for x in found if x["part"] >= 0]
-                    hits = [_places(x["data"]) for x in found if x["part"] < 0]
-                    if lows:
-                        hits.append(np.flatnonzero(np.isin(code[first[i] : first[i] + n[i] - block + 1], np.concatenate(lows))))
+                for i, found in enumerate(texts["found"]):
+                    hits = [_places(x["places"]) for x in found]
+                    keys = np.concatenate([np.frombuffer(x["keys"], "<u8") for x in found])
+                    if len(keys):
+                        hits.append(np.flatnonzero(np.isin(code[first[i] : first[i] + n[i] - block + 1], keys)))
                     hits = np.concatenate(hits)
                     low, high = np.maximum(hits - (window - block), 0), np.minimum(hits, n[i] - window)
                     np.add.at(change, first[i] + low, 1)
@@ -228,47 +315,39 @@ def _extensions(block: int, window: int, parts: int):
                     continue
                 key, part = windows(h, window, 1)[start], (windows(h, window, 2)[start] % np.uint64(parts)).astype(np.int64)
                 owner = np.searchsorted(first, start, "right") - 1
-                order = np.lexsort((owner, number[owner], key))
+                order = np.lexsort((owner, key))  # owners stand by their ids
                 key, part, owner, start = key[order], part[order], owner[order], start[order]
                 same = _firsts(key)
                 least = np.repeat(number[owner[same]], np.diff(same, append=len(key)))
                 late = number[owner] > least
                 at = np.flatnonzero(late)
-                at = at[np.lexsort((start[at], owner[at]))]
-                out = []
-                for o, s, _, _ in _runs(owner[at], owner[at]):
-                    r = row[o : o + 1].astype("<i8")
-                    out.append((-1 - int(r[0]) % parts, r.tobytes(), number[o : o + 1].astype("<i8").tobytes(), b"", _steps(start[at[s]] - first[o])))
+                at = at[np.argsort(start[at])]
+                chunk = _chunk_name(row)
+                out = _found(owner[at], start[at] - first[owner[at]], row, chunk, parts)
                 once = np.zeros(len(key), bool)
                 once[_firsts(key, owner)] = True
                 at = np.flatnonzero(once & ~late)
                 at = at[np.lexsort((owner[at], part[at]))]
-                for p, s, d, count in _runs(part[at], owner[at]):
-                    out.append((p, row[d].astype("<i8").tobytes(), number[d].astype("<i8").tobytes(), count.tobytes(), key[at[s]].astype("<u8").tobytes()))
-                yield pd.DataFrame(out, columns=["part", "rows", "ids", "counts", "keys"])
+                for p, s in _cuts(part[at]):
+                    o = owner[at[s]]
+                    out.append((p, chunk, o.astype("<u2").tobytes(), _grown(number[o]), key[at[s]].astype("<u8").tobytes(), b""))
+                yield pd.DataFrame(out, columns=["part", "chunk", "docs", "ids", "keys", "known"])
 
     return run
 
 
 def _repeats(group):
-    """Of one part of the runs: for each document, those that a document of smaller id has too."""
-    import pandas as pd
-
-    part = int(group["part"].iloc[0])
-    if part < 0:
-        return pd.DataFrame({"row": _joined(group["rows"], "<i8"), "part": -1, "data": group["keys"]})
-    count = _joined(group["counts"], "<u4")
-    key = _joined(group["keys"], "<u8")
-    row, number = (np.repeat(_joined(group[c], "<i8"), count) for c in ("rows", "ids"))
+    """Of one part of the runs: for each chunk those that a document of smaller id than its own has too."""
+    if int(group["part"].iloc[0]) < 0:
+        return _passed(group)
+    key, doc = _joined(group["keys"], "<u8"), _joined(group["docs"], "<u2")
+    number = np.concatenate([np.cumsum(np.frombuffer(x, "<i8")) for x in group["ids"]])
+    message = np.repeat(np.arange(len(group)), [len(k) // 8 for k in group["keys"]])
     order = np.lexsort((number, key))
-    key, row, number = key[order], row[order], number[order]
-    first = _firsts(key)
-    late = number > np.repeat(number[first], np.diff(first, append=len(key)))
-    key, row = key[late], row[late]
-    order = np.argsort(row, kind="stable")
-    key, row = key[order], row[order]
-    at = _firsts(row) if len(row) else np.zeros(0, np.int64)
-    return pd.DataFrame({"row": row[at], "part": part, "data": [key[a:b].tobytes() for a, b in zip(at, [*at[1:], len(row)])]})
+    first = _firsts(key[order])
+    late = np.zeros(len(key), bool)
+    late[order] = number[order] > np.repeat(number[order][first], np.diff(first, append=len(key)))
+    return _answers(group, int(group["part"].iloc[0]), message[late], doc[late], key[late])
 
 
 def _kept(window: int):
@@ -277,17 +356,17 @@ def _kept(window: int):
     def run(batches):
         import pandas as pd
 
-        words = Words()
         for batch in batches:
             out = []
             for text, found in zip(batch["text"], batch["found"]):
-                split = words_of(text)
+                data = utf8(text)
+                split = data.split()  # bytes.split() parts at exactly these blanks
                 covered = np.zeros(len(split) + 1, np.int32)
                 if found is not None and len(found):
-                    starts = [_places(x["data"]) for x in found if x["part"] < 0]
-                    keys = [np.frombuffer(x["data"], "<u8") for x in found if x["part"] >= 0]
-                    if keys:
-                        starts.append(np.flatnonzero(np.isin(windows(words([split])[0], window, 1), np.concatenate(keys))))
+                    starts = [_places(x["places"]) for x in found]
+                    keys = np.concatenate([np.frombuffer(x["keys"], "<u8") for x in found])
+                    if len(keys):
+                        starts.append(np.flatnonzero(np.isin(windows(hashed_words([data])[0], window, 1), keys)))
                     starts = np.unique(np.concatenate(starts))
                     covered[starts] += 1
                     np.add.at(covered, starts + window, -1)
@@ -315,8 +394,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_
     rolling runs of that many words probe the index, by hash within a part. Around each hit the run is
     extended to all of ``window`` words that have it, and the extended runs of both sides are compared by
     64-bit hashes within parts dealt by another hash; those found, chained, are the maximal repeats. A task
-    tells what its own documents share only once, so a passage of a third of all documents is a few rows for
-    each task. Texts are exchanged once, by document; both later reads share that exchange.
+    works on chunks of texts and tells what a chunk's documents share only once, so a passage of a third of all documents
+    is a few entries for each chunk. Entries name a document by its place in the chunk; answers go by the chunk. Texts are exchanged once, by document; both later reads share that exchange.
 
     A null text has no words; a text of fewer than ``window`` words stays whole. A null id comes after all
     others; rows of one id, or without, leave each other alone, and repeated rows get equal results. Very
@@ -336,13 +415,18 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_
     parts = max(shuffle_partitions(spark), math.ceil(size / PART_BYTES))
     kind = dict(whole.dtypes)["doc_id"]
 
-    def of_row(replies: DataFrame) -> DataFrame:
-        return replies.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("part", "data")).alias("found"))
+    answer = "chunk long, part int, docs binary, counts binary, data binary"
+
+    def of_row(messages: DataFrame, reduce, size: str) -> DataFrame:
+        """Messages by part, answers by chunk, and what a row learns."""
+        answers = messages.groupBy("part").applyInPandas(reduce, answer)
+        found = answers.groupBy("chunk").applyInPandas(_by_row(size), "row long, places binary, keys binary")
+        return found.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("places", "keys")).alias("found"))
 
-    probes = whole.select("row", "text").mapInPandas(_probes(block, window, parts), PROBES)
-    hits = of_row(probes.groupBy("part").applyInPandas(_hits, "row long, part int, data binary"))
-    near = whole.join(hits, F.col("row") == F.col("r")).select("row", "id", "text", "found")
-    longer = near.mapInPandas(_extensions(block, window, parts), "part int, rows binary, ids binary, counts binary, keys binary")
-    repeats = of_row(longer.groupBy("part").applyInPandas(_repeats, "row long, part int, data binary"))
-    rows = whole.join(repeats, F.col("row") == F.col("r"), "left").select("doc_id", "text", "found")
+    hits = of_row(whole.select("row", "text").mapInPandas(_probes(block, window, parts), MESSAGE), _hits, "<u4")
+    # both joins read the same columns of the texts, so that one exchange of them serves both
+    texts = ["row", "id", "doc_id", "text"]
+    near = whole.join(hits, F.col("row") == F.col("r")).select(*texts, "found")
+    repeats = of_row(near.mapInPandas(_extensions(block, window, parts), MESSAGE), _repeats, "<u8")
+    rows = whole.join(repeats, F.col("row") == F.col("r"), "left").select(*texts, "found")
     return rows.mapInPandas(_kept(window), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_text string")
