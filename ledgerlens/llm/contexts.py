@@ -8,8 +8,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import stage
+from ledgerlens.session import shuffle_partitions, stage, tidied
 
+from . import subtrees
 from .hashing import mix
 
 #: Bytes of context; a gram of DEPTH + 1 bytes fits a long.
@@ -18,8 +19,12 @@ DEPTH = 5
 TOP_WORDS = 1 << 19
 #: Stands before and after a text; no byte of UTF-8.
 EDGE = 0xFF
-#: Scoring tasks get the ready logarithms of about 2 ** READY_BITS of the most frequent grams at most, of twelve
-#: bytes each; other grams are joined with the nodes.
+#: Newest bytes of a context whose grams one task has together; deeper nodes are written nowhere.
+ROOT = 3
+#: Grams that a part of them has, about, and bytes of text that a counting task reads at least.
+PART_GRAMS, TASK_BYTES = 250_000, 32 << 20
+#: Scoring tasks get the ready logarithms of about 2 ** READY_BITS of the most frequent grams at most, of sixteen
+#: bytes each; other grams are valued where their nodes are.
 READY_BITS = 22
 #: Bytes of text taken together, and words whose values a scoring task keeps.
 CHUNK, KEPT_WORDS = 2 << 20, 400_000
@@ -119,60 +124,33 @@ def _counter(depth: int):
     return run
 
 
-def _ln_gamma(x: Column) -> Column:
-    """Stirling's series at x + 7, brought back by the recurrence."""
-    y = x + 7
-    product = x
-    for i in range(1, 7):
-        product = product * (x + i)
-    return (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) - F.ln(product)
-
-
-def _estimate(zeros: Column, ones: Column) -> Column:
-    """Logarithm of the Krichevsky-Trofimov estimate of a node's bits."""
-    ln_pi = math.log(math.pi)
-    return _ln_gamma(zeros + 0.5) + _ln_gamma(ones + 0.5) - _ln_gamma(zeros + ones + 1.0) - ln_pi
-
-
-def _bits(grams: DataFrame) -> DataFrame:
-    """Eight rows for each row of ``grams``: ``at`` is the key of the deepest node that a bit of its last byte can
-    have, and ``bit`` that bit."""
-    node = "struct((key div 256) * 256 + {0} + (key % 256) div {1} as at, (key div {2}) % 2 as bit)"
-    steps = F.array(*(F.expr(node.format(1 << b, 1 << (8 - b), 1 << (7 - b))) for b in range(8)))
-    return grams.select("*", F.explode(steps).alias("x")).select("*", "x.at", "x.bit").drop("x")
-
-
-def tree_nodes(counted: DataFrame, depth: int) -> list[DataFrame]:
-    """(key, zeros, ones, stop) for each depth from 0: every node of the context trees.
+def tree_nodes(level: DataFrame, root: int) -> list[DataFrame]:
+    """(key, zeros, ones, stop) for each depth from 0 to ``root``: every node of the context trees there.
 
     A byte is eight bits; for each run of bits before one of them there is a tree over the contexts of 0
     to ``depth`` bytes. A node's key is its context's bytes and that run after a leading one. From the
     deepest nodes up, a node's weighted probability is half its own estimate and half the product of
-    its children's; ``stop`` is the weight that its own estimate has in that sum. Every depth is written
-    once and is the sum of the one below.
+    its children's; ``stop`` is the weight that its own estimate has in that sum. ``level`` has the nodes of the depth
+    ``root``; what is above is the sum of the depth below.
     """
-    level = _bits(counted).groupBy(F.col("at").alias("key")).agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones"),
-    ).withColumn("below", F.lit(None).cast("double"))
-    out = []
-    for d in range(depth, -1, -1):
-        own = _estimate(F.col("zeros"), F.col("ones"))
-        level = level.withColumn("own", own)
-        more = F.least(F.greatest(F.col("below") - F.col("own"), F.lit(-700.0)), F.lit(700.0))
-        stop = F.when(F.col("below").isNull(), 1.0).otherwise(1 / (1 + F.exp(more)))
-        # ln((exp(own) + exp(below)) / 2)
-        weighted = F.when(F.col("below").isNull(), F.col("own")).otherwise(F.greatest("own", "below") + F.log1p(F.exp(-F.abs(more))) - math.log(2))
-        level = stage(level.select("key", "zeros", "ones", stop.alias("stop"), weighted.alias("weighted")), f"depth{d}")
+    out = [level.select("key", "zeros", "ones", "stop")]
+    for d in range(root - 1, -1, -1):
+        shorter = F.expr(f"key % {1 << (8 * (d + 1))}")  # without the oldest byte of the context
+        level = level.groupBy(shorter.alias("key")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
+        level = stage(level.mapInPandas(_mixed, "key long, zeros long, ones long, stop double, weighted double"), f"depth{d}")
         out.insert(0, level.select("key", "zeros", "ones", "stop"))
-        if d:
-            up = F.expr(f"key % {1 << (8 * d)}")  # without the oldest byte of the context
-            level = level.groupBy(up.alias("key")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
     return out
 
 
+def _mixed(batches):
+    for x in batches:
+        zeros, ones, below = (x[c].to_numpy(np.float64) for c in ("zeros", "ones", "below"))
+        stop, weighted = subtrees.mixture(subtrees.estimate(zeros, ones), below)
+        yield x.assign(stop=stop, weighted=weighted)[["key", "zeros", "ones", "stop", "weighted"]]
+
+
 def chances(levels: list[DataFrame]) -> list[DataFrame]:
-    """(key, p) for each depth from 0: the chance of a one where that node is the deepest known.
+    """(key, p, added, left) for each depth from 0: ``p`` is the chance of a one where that node is the deepest known.
 
     From the root down, each node mixes its own estimate, by the weight ``stop``, with what deeper ones give; so
     a node needs of the shallower ones only what they add, and the weight that they leave. The deepest known node
@@ -194,7 +172,7 @@ def chances(levels: list[DataFrame]) -> list[DataFrame]:
             (F.col("left") * (1 - F.col("stop"))).alias("left"),
         )
         above = stage(here, f"chances{d}")
-        out.append(above.select("key", "p"))
+        out.append(above)
     return out
 
 
@@ -202,17 +180,46 @@ def chances(levels: list[DataFrame]) -> list[DataFrame]:
 BIT_LOG = "log10(if(bit = 1, p, 1 - p))"
 
 
-def value_grams(grams: DataFrame, known: list[DataFrame]) -> DataFrame:
-    """(key, value): the exact logarithms of distinct grams, each bit from the deepest node of ``chances`` that it
-    has. One join a depth; only bits without a node so deep go on to the next."""
-    rest, out = _bits(grams.select("key")), None
-    for d in range(len(known) - 1, -1, -1):
+def gram_nodes(gram: DataFrame, depth: int, parts: int) -> DataFrame:
+    """(key, zeros, ones, stop, weighted) of the nodes of depth ROOT, from the grams (key, n): what is
+    deeper is summed up in the task that has all grams of a root, and written nowhere."""
+    root = min(ROOT, depth)
+    dealt = gram.withColumn("part", _part("key", root, parts))
+    return dealt.groupBy("part").applyInPandas(subtrees.up(depth, root), "key long, zeros long, ones long, stop double, weighted double")
+
+
+def _part(key: str, root: int, parts: int) -> Column:
+    """Where the grams of a root, and its nodes, are dealt."""
+    return F.pmod(F.xxhash64(F.expr(f"shiftrightunsigned({key}, 8) & {(1 << 8 * root) - 1}")), F.lit(parts)).cast("int")
+
+
+def value_grams(gram: DataFrame, asked: DataFrame | None, known: list[DataFrame], depth: int, parts: int, least: int = 0) -> DataFrame:
+    """(key, n, value): the exact logarithms of the distinct grams ``asked``, each bit from the deepest node that it has;
+    or, if that is None, of the training grams that occur more than ``least`` times.
+
+    A task has all training grams of a root and all asked for there. Only bits without a root go on: one join a
+    depth with the nodes above.
+    """
+    root = min(ROOT, depth)
+    rows = gram.select("key", "n")
+    if asked is not None:
+        rows = rows.unionByName(asked.select("key", F.lit(0).cast("long").alias("n")))
+    rows = rows.withColumn("part", _part("key", root, parts))
+    tops = known[root].withColumn("part", _part("key", root, parts))
+    found = rows.groupBy("part").cogroup(tops.groupBy("part")).applyInPandas(subtrees.down(depth, root, least), "key long, n long, value double, open long")
+    if asked is None:
+        return found.select("key", "n", "value")
+    found = stage(found, "found")
+    out = found.select("key", "value")
+    place = f"(shiftrightunsigned(key, 8) & {(1 << 8 * (root - 1)) - 1 if root else 0}) * 256 + shiftleft(1L, b) + shiftright(key & 255, 8 - b)"
+    bits = F.expr(f"transform(filter(sequence(0, 7), b -> shiftright(open, b) % 2 = 1), b -> struct({place} as at, shiftright(key, 7 - b) & 1 as bit))")
+    rest = found.where("open > 0").select("key", F.explode(bits).alias("x")).select("key", "x.at", "x.bit")
+    for d in range(root - 1, -1, -1):
         met = stage(rest.join(known[d].select(F.col("key").alias("at"), "p"), "at", "left"), f"met{d}")
-        here = met.where("p is not null").select("key", F.expr(BIT_LOG).alias("value"))
-        out = here if out is None else out.unionByName(here)
+        out = out.unionByName(met.where("p is not null").select("key", F.expr(BIT_LOG).alias("value")))
         rest = met.where("p is null").select("key", F.expr(f"at % {1 << (8 * d)}" if d else "at").alias("at"), "bit")
     out = out.unionByName(rest.select("key", F.lit(math.log10(0.5)).alias("value")))
-    return out.groupBy("key").agg(F.sum("value").alias("value"))
+    return out.groupBy("key").agg(F.lit(0).cast("long").alias("n"), F.sum("value").alias("value"))
 
 
 def _in_use(mark: np.ndarray, *tables: np.ndarray) -> tuple:
@@ -260,20 +267,17 @@ def _frequent(counts: DataFrame, distinct: int, most: int) -> tuple[int, DataFra
     return least, found
 
 
-def fit_grams(frequent: DataFrame, deepest: DataFrame, bits: int = READY_BITS) -> tuple:
-    """The exact logarithms of grams of the training texts, which have all their nodes in the ``deepest`` of
-    ``chances``: as ``_in_use`` gives tables of 2 ** bits places, and in order the grams whose place a more
-    frequent one has."""
-    met = _bits(frequent).join(deepest.select(F.col("key").alias("at"), "p"), "at")
-    valued = met.groupBy("key").agg(F.max("n").alias("n"), F.sum(F.expr(BIT_LOG)).alias("value"))
+def fit_grams(valued: DataFrame, bits: int = READY_BITS) -> tuple:
+    """The exact logarithms (key, n, value) of about 2 ** bits training grams at most: as ``_in_use`` gives tables of
+    2 ** bits places, and in order the grams whose place a more frequent one has."""
     # about 2 ** READY_BITS rows at most, whatever the corpus
-    found = [*_columns(valued, key="<u8", n="<i8", value="<f4")] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+    found = [*_columns(valued, key="<u8", n="<i8", value="<f8")] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))]
     key, n, value = (np.concatenate(c) for c in zip(*found))
     del found
     order = np.lexsort((key, n))  # the most frequent is written last
     key, value = key[order], value[order]
     at = (mix(key) >> np.uint64(64 - bits)).astype(np.int64)
-    grams, values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.float32)
+    grams, values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits)
     grams[at], values[at] = key, value
     other = grams[at] != key
     key, value = key[other], value[other]
@@ -300,7 +304,7 @@ def _scorer(ready, top, depth: int, total: int, distinct: int):
         def log10(g):
             """Logarithms, and where they are missing."""
             at = (mix(g) >> shift).astype(np.int64)
-            out = ready_value[at].astype(np.float64)
+            out = ready_value[at]
             other = np.flatnonzero(ready_gram[at] != g)
             if len(other) and len(more_grams):
                 new, back = np.unique(g[other], return_inverse=True)
@@ -364,6 +368,7 @@ def _scorer(ready, top, depth: int, total: int, distinct: int):
     return run
 
 
+@tidied
 def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int = READY_BITS, top_words: int = TOP_WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, training, n_tokens, n_known, train_tokens, base_score, score), a row for each document.
 
@@ -372,20 +377,31 @@ def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int
     ``base_score``: the same of words drawn one by one, with one added to every count; a text's tokens are its
     words and one end. ``n_known`` tokens occur in training texts.
 
-    Grams and words are counted over all training texts, and every node of the trees counts. Only the most frequent
-    grams (about 2 ** ``bits`` at most) and words go to the tasks; other words are joined, and other grams, each
-    once for the corpus, with the nodes. Words are told apart by 64-bit hashes.
-    Without training rows, every byte has a chance of 1/256 and no word is known.
+    Grams and words are counted over all training texts, and every node of the trees counts. Nodes of more than ROOT
+    bytes live only in the task that has all grams of their newest ROOT bytes. Only the most frequent
+    grams (about 2 ** ``bits`` at most) and words go to the scoring tasks; other words are joined, and other grams, each
+    once for the corpus, valued where their nodes are; either way a gram's logarithm is the same double. Words are told
+    apart by 64-bit hashes.
+
+    A row with a null id is scored like others, and repeated rows teach and are scored each time. Whole texts are read,
+    however long. A null in ``training`` counts as false. Other columns are left out, whatever their names. Without training
+    rows, every byte has a chance of 1/256 and no word is known. No rows: no rows.
     """
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
-    counted = rows.where("training").select("text").mapInArrow(_counter(depth), "kind byte, key long, n long")
+    # small files are read together: a task counts a frequent gram once
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    counted = rows.where("training").select("text").coalesce(max(sc.defaultParallelism, math.ceil(size / TASK_BYTES)))
+    counted = counted.mapInArrow(_counter(depth), "kind byte, key long, n long")
     counted = stage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counted")
     gram = counted.where(f"kind = {GRAM_KIND}").select("key", "n")
-    known = chances(tree_nodes(gram, depth))
     often = counted.where(f"kind = {WORD_KIND}").select("key", "n")
     sums = {r["kind"]: r for r in counted.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()}
     total, distinct = (sums[WORD_KIND]["n"], sums[WORD_KIND]["distinct"]) if sums else (0, 0)
+    distinct_grams = sums[GRAM_KIND]["distinct"] if sums else 0
+    parts = max(shuffle_partitions(docs.sparkSession), math.ceil(distinct_grams / PART_GRAMS))
+    levels = tree_nodes(stage(gram_nodes(gram, depth, parts), "roots"), min(ROOT, depth))
+    known = chances(levels)
     least, frequent = _frequent(often, distinct, top_words)
     found = [*_columns(frequent, key="<i8", n="<i8")] or [(np.zeros(0, np.int64),) * 2]
     names, counts = (np.concatenate(c) for c in zip(*found))
@@ -394,7 +410,8 @@ def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int
     made = "n_tokens long, n_known long, base_score double, rest array<long>, times array<long>, score double, rest_grams array<long>, gram_times array<long>"
     kind = dict(rows.dtypes)["doc_id"]
     row = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "training", "text")
-    ready = sc.broadcast(fit_grams(_frequent(gram, sums[GRAM_KIND]["distinct"] if sums else 0, 1 << bits)[1], known[depth], bits))
+    often_grams = _frequent(gram, distinct_grams, 1 << bits)[0]
+    ready = sc.broadcast(fit_grams(value_grams(gram, None, known, depth, parts, often_grams), bits))
     scored = row.mapInPandas(_scorer(ready, sc.broadcast(top), depth, total, distinct), f"row long, doc_id {kind}, training boolean, {made}")
     scored = stage(scored, "scored")  # settles the rows' numbers
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("key"), F.col("x.times").alias("k"))
@@ -402,8 +419,8 @@ def score_texts(docs: DataFrame, training: Column, depth: int = DEPTH, bits: int
     value = F.log10(F.coalesce("n", F.lit(0)) + 1.0) - math.log10(total + distinct + 1)
     rest = rest.select("row", (F.col("k") * value).alias("more"), F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("seen"), F.lit(0.0).alias("deep"))
     other = scored.select("row", F.explode(F.arrays_zip("rest_grams", "gram_times")).alias("x")).select("row", F.col("x.rest_grams").alias("key"), F.col("x.gram_times").alias("k"))
-    valued = stage(value_grams(other.select("key").distinct(), known), "valued")
-    other = other.join(valued, "key").select("row", F.lit(0.0).alias("more"), F.lit(0).alias("seen"), (F.col("k") * F.col("value")).alias("deep"))
+    valued = stage(value_grams(gram, other.select("key").distinct(), known, depth, parts), "valued")
+    other = other.join(valued.select("key", "value"), "key").select("row", F.lit(0.0).alias("more"), F.lit(0).alias("seen"), (F.col("k") * F.col("value")).alias("deep"))
     rest = rest.unionByName(other).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("more", "seen", "deep")))
     out = scored.join(rest, "row", "left")
     return out.select(

@@ -49,6 +49,55 @@ def test_pairs_and_quantile():
     assert not (fit_pairs(x, np.zeros(400)).strength(x) >= fit_pairs(x, np.zeros(400)).cut).any()
 
 
+def plain_features(text):
+    """The features by loops over characters, words and lines."""
+    text = text or ""
+    data, words = text.encode("utf-8", "replace"), text.split()
+    n, m = max(len(data), 1), max(len(words), 1)
+    lines = [x for x in text.split("\n") if x]
+    pairs = list(zip(words, words[1:]))
+    shares = [math.sqrt(sum(b == v for b in data) / n) for v in range(256)]
+    return shares + [
+        math.log1p(len(data)), math.log1p(len(words)), math.log1p(len(text) / m), len(set(words)) / m,
+        sum(a == b for a, b in pairs) / m, len(set(lines)) / max(len(lines), 1), math.log1p(len(text) / max(len(lines), 1)),
+        sum(w.isupper() for w in words) / m, sum(not w[-1].isalnum() for w in words) / m,
+        max(Counter(words).values(), default=0) / m, len(set(pairs)) / max(len(pairs), 1), sum(len(w) > 20 for w in words) / m,
+    ]
+
+
+def test_scores_by_plain_loops(spark):
+    """Every score is the logistic of the model's weights on features counted by loops."""
+    rng = random.Random(2)
+    vocabulary = ["the", "Cat,", "SAT", "mat.", "mat.", "x" * 25, "é\u00a0ñ", "\n", "12", "日本"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(40))) for _ in range(30)] + [None, "", "\n\n", "a a a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, quality int")
+    model = fit_quality(docs, labels)
+    for r in classify_quality(docs, model).collect():
+        x = plain_features(texts[r["doc_id"]])
+        strength = sum((v - a) / b * w for v, a, b, w in zip(x, model.mean, model.scale, model.weights))
+        want = 1 / (1 + math.exp(-(strength - model.cut + math.log(0.7 / 0.3))))
+        assert r["score"] == pytest.approx(want, rel=1e-4, abs=1e-6)
+
+
+def test_pair_loss_is_least():
+    """No step along any feature makes the loss over all pairs smaller."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 3))
+    good = (x[:, 0] + rng.normal(size=60) > 0).astype(int)
+    model = fit_pairs(x, good, pairs_per_row=200, ridge=1e-3)
+    z = (x - model.mean) / model.scale
+    win, lose = np.flatnonzero(good == 1), np.flatnonzero(good == 0)
+
+    def loss(w):
+        pairs = [math.log1p(math.exp(-float((z[i] - z[j]) @ w))) for i in win for j in lose]
+        return sum(pairs) / len(pairs) + 0.5e-3 * float(w @ w)
+
+    for k in range(3):
+        for step in (-0.2, 0.2):
+            assert loss(model.weights + step * np.eye(3)[k]) > loss(model.weights)
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, "good words here", "x"), (2, None, "y"), (3, "", "z"), (None, "w " * 50_000, "q"), (1, "good words here", "x")], "doc_id long, text string, Score string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 0), (3, None, 1), (9, 1, 1)], "doc_id long, quality int, toxic int")
@@ -159,6 +208,31 @@ def test_context_tree_counts_every_node(spark, bits):
         assert got[i] == pytest.approx(tree_score(train, t, 5), rel=1e-6)
 
 
+def test_same_scores_whatever_goes_to_the_tasks(spark, monkeypatch):
+    """A gram's logarithm is one double, ready in the tasks or not, and however the grams are dealt."""
+    from ledgerlens.llm import contexts, subtrees
+
+    rng = random.Random(12)
+    rows = [(i, "".join(rng.choice("abcdeé 日") for _ in range(rng.randrange(90)))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for bits, parts, together in ((22, 10**9, 400_000), (3, 50, 400_000), (8, 200, 1)):
+        monkeypatch.setattr(contexts, "PART_GRAMS", parts)
+        monkeypatch.setattr(subtrees, "TOGETHER", together)
+        got.append({r["doc_id"]: r["score"] for r in score_texts(frame, F.col("doc_id") % 3 != 0, bits=bits).collect()})
+    for other in got[1:]:
+        assert other == pytest.approx(got[0], rel=1e-12)
+
+
+def test_context_tree_columns(spark):
+    rows = [(i, f"text {i % 3}") for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, score_texts(frame, F.col("doc_id") > 2).collect()))
+    for name in ("training", "row", "key", "n", "score", "kind", "part", "rest"):
+        frame = frame.withColumn(name, F.lit("clash"))
+    assert sorted(map(str, score_texts(frame, F.col("doc_id") > 2).collect())) == want
+
+
 def test_context_tree_without_rows(spark):
     frame = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     row = score_texts(frame, F.lit(False)).first()
