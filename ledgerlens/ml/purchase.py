@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,11 +18,15 @@ from ..operators.quality import require_columns
 from ..operators.sampling import downsample_slices, hold_out, split_exact, temporal_splits
 from ..operators.stats import binary_metrics, class_report
 from ..plans.settings import EXCLUDED_TYPES, PROPERTY_TYPES, PurchaseModel, TypeModel
-from ..session import delete_path, path_exists, stage
+from ..session import path_exists, stage, with_callers_staging
+from ..sources.versions import commit, current
 from .encode import FEATURES, encode, feature_names, fit_encoder
 from .models import Member, fit_member, importances
 
 TRUTH, PREDICTED, PROBABILITY = "truth label", "predicted label", "probability"
+REPORT = "validation_report"
+# members that are fitted at a time: their jobs share the cluster, and what one leaves idle another takes
+AT_ONCE = 4
 
 
 @dataclass
@@ -30,7 +36,7 @@ class Ensemble:
     encoder: PipelineModel
     members: list[Member]
     importances: list[DataFrame] = field(default_factory=list)
-    reports: list[DataFrame] = field(default_factory=list)
+    reports: list[DataFrame | None] = field(default_factory=list)
 
     def score(self, df: DataFrame, threshold: float) -> DataFrame:
         """Add probability and predicted label; all members in one pass, no joins
@@ -42,22 +48,34 @@ class Ensemble:
         return soft_vote(out, parts, threshold).drop(FEATURES, *parts)
 
     def save(self, path: str) -> None:
-        """Write the ensemble in place of whatever the folder held."""
-        delete_path(SparkSession.active(), path)
-        self.encoder.write().overwrite().save(f"{path}/encoder")
+        """Put the ensemble in place of the one at ``path``, in one step: a failure leaves the old one."""
+        commit(SparkSession.active(), path, self._write)
+
+    def _write(self, folder: str) -> None:
+        self.encoder.write().overwrite().save(f"{folder}/encoder")
         for i, m in enumerate(self.members, start=1):
-            m.save(f"{path}/{m.name}_{i}")
+            m.save(f"{folder}/{m.name}_{i}")
         for i, table in enumerate(self.importances, start=1):
             ordered = table.orderBy(F.desc("importance"))
-            ordered.write.mode("overwrite").parquet(f"{path}/feature_importance_{i}")
+            ordered.write.mode("overwrite").parquet(f"{folder}/feature_importance_{i}")
+        for i, table in enumerate(self.reports, start=1):
+            if table is not None:
+                table.write.mode("overwrite").parquet(f"{folder}/{REPORT}_{i}")
 
     @staticmethod
     def load(spark, path: str, name: str, members: int) -> "Ensemble":
-        if not path_exists(spark, f"{path}/encoder"):
+        """The current ensemble at ``path``, with the importances and validation reports stored with it."""
+        folder = current(spark, path)
+        if folder is None or not path_exists(spark, f"{folder}/encoder"):
             raise FileNotFoundError(f"{path}/encoder")
-        encoder = PipelineModel.load(f"{path}/encoder")
-        loaded = [Member.load(spark, name, f"{path}/{name}_{i}") for i in range(1, members + 1)]
-        return Ensemble(encoder, loaded)
+        encoder = PipelineModel.load(f"{folder}/encoder")
+        loaded = [Member.load(spark, name, f"{folder}/{name}_{i}") for i in range(1, members + 1)]
+
+        def tables(stem: str) -> list[DataFrame | None]:
+            paths = [f"{folder}/{stem}_{i}" for i in range(1, members + 1)]
+            return [spark.read.parquet(p) if path_exists(spark, p) else None for p in paths]
+
+        return Ensemble(encoder, loaded, [t for t in tables("feature_importance") if t is not None], tables(REPORT))
 
 
 def soft_vote(df: DataFrame, parts: Sequence[str], threshold: float) -> DataFrame:
@@ -77,6 +95,23 @@ def _fit(name, train, held, names, label, row_id, settings):
     return member, report, importances(member, train, names, row_id)
 
 
+def _side_by_side(spark: SparkSession, fit: Callable, items: Iterable) -> list:
+    """``fit`` of every item, some at a time, in the order of the items. Each has a thread and a job group of its own, so
+    one that fails takes only its own jobs along; its error is raised once the others have ended."""
+    items = list(items)
+
+    @inheritable_thread_target(spark)
+    @with_callers_staging
+    def run(item):
+        spark.sparkContext.setJobGroup(f"fit {item}", f"fit of member {item}")
+        return fit(item)
+
+    if AT_ONCE <= 1 or len(items) <= 1:
+        return [fit(item) for item in items]
+    with ThreadPoolExecutor(min(AT_ONCE, len(items))) as pool:
+        return list(pool.map(run, items))
+
+
 def train_ensemble(
     df: DataFrame,
     settings: PurchaseModel,
@@ -89,7 +124,7 @@ def train_ensemble(
     features = [c for c in settings.columns if c not in (label, date, key, row_id)]
     require_columns(df, [*features, label, date, row_id], "for the purchase model")
     df = df.select(row_id, label, date, *features)
-    encoder = fit_encoder(df, exclude=[row_id, label, date])
+    encoder = fit_encoder(df, exclude=[row_id, label, date], hash_width=settings.hash_width)
     names = feature_names(encoder)
     encoded = temporal_splits(encode(encoder, df), date, settings.splits, settings.pivot_year)
     encoded = stage(encoded.select(row_id, label, "split_id", FEATURES), "encoded")
@@ -101,15 +136,14 @@ def train_ensemble(
         )
     rows = stage(rows, "slices")
     rows = stage(hold_out(rows, "split_id", slices, settings.validation, [row_id], "_held"), "held")
-    out = Ensemble(encoder, [])
-    for i in slices:
+
+    def fit(i):
         part = rows.where(F.col("split_id") == i)
         train, held = part.where(~F.col("_held")), part.where("_held")
-        member, report, weights = _fit(settings.model, train, held, names, label, row_id, settings)
-        out.members.append(member)
-        out.reports.append(report)
-        out.importances.append(weights)
-    return out
+        return _fit(settings.model, train, held, names, label, row_id, settings)
+
+    members, reports, weights = zip(*_side_by_side(df.sparkSession, fit, slices))
+    return Ensemble(encoder, list(members), list(weights), list(reports))
 
 
 def one_hot_labels(df: DataFrame, column: str, classes: Mapping[str, str]) -> DataFrame:
@@ -150,17 +184,16 @@ def train_types(
     rows = stage(one_hot_labels(rows, next_kind, {f"_is_{t}": v for t, v in classes.items()}), "types")
     train, held = split_exact(rows, settings.validation, [row_id])
     train, held = stage(train, "types-train"), stage(held, "types-held")
-    encoder = fit_encoder(train.select(features))
+    encoder = fit_encoder(train.select(features), hash_width=settings.hash_width)
     names = feature_names(encoder)
     train = stage(encode(encoder, train), "types-encoded")
     held = encode(encoder, held)
-    out = {}
-    for t in classes:
-        member, report, table = _fit(
-            settings.model, train, held, names, f"_is_{t}", row_id, settings
-        )
-        out[t] = Ensemble(encoder, [member], [table], [report])
-    return out
+
+    def fit(t):
+        return _fit(settings.model, train, held, names, f"_is_{t}", row_id, settings)
+
+    fitted = _side_by_side(df.sparkSession, fit, classes)
+    return {t: Ensemble(encoder, [m], [table], [report]) for t, (m, report, table) in zip(classes, fitted)}
 
 
 def save_types(models: Mapping[str, Ensemble], path: str) -> None:

@@ -12,7 +12,7 @@ from ..ml.purchase import (
     score_types, train_ensemble, train_types,
 )
 from ..operators.periods import holdout_labels
-from ..session import stage
+from ..session import stage, staging
 from ..sources.sinks import append_report, latest_result, new_run_id, write_result, write_stage
 from .prepare import Prepared, prepare, scoring_rows, with_label
 from .settings import EXCLUDED_TYPES, Lookups, Preparation, PurchaseModel, TypeModel
@@ -55,8 +55,23 @@ def run(
     """Run the modes; models, results and reports go under ``out_dir``.
 
     Inference with type models alone takes the buyers that the last inference of
-    a purchase model stored.
+    a purchase model stored. Staged tables that the outcome does not read are deleted.
     """
+    with staging() as staged:
+        outcome = _run(raw, lookups, preparation, modes, out_dir, purchase, types)
+        staged.keep(outcome.rows, outcome.report, *outcome.tables.values())
+    return outcome
+
+
+def _run(
+    raw: DataFrame,
+    lookups: Lookups,
+    preparation: Preparation,
+    modes: Modes,
+    out_dir: str,
+    purchase: PurchaseModel | None,
+    types: TypeModel | None,
+) -> Outcome:
     if purchase is None and types is None:
         raise ValueError("give a purchase model, a type model or both")
     need_period = modes.test_labels or modes.labelled and modes.evaluation

@@ -11,9 +11,10 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +87,31 @@ def staging() -> Iterator[Staging]:
                 blocks[-1].paths.append(path)
 
 
+def with_callers_staging(task: Callable) -> Callable:
+    """A function that, in whichever thread it runs, stages into the blocks that are open here."""
+    blocks = list(_open.__dict__.get("blocks", []))
+
+    @wraps(task)
+    def run(*args, **how):
+        _open.blocks = list(blocks)
+        return task(*args, **how)
+
+    return run
+
+
+def tidied(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function whose staged tables are deleted when it returns, but for those that its result reads."""
+
+    @wraps(make)
+    def run(*args, **how) -> DataFrame:
+        with staging() as staged:
+            out = make(*args, **how)
+            staged.keep(out)
+        return out
+
+    return run
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = f"{staged_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"

@@ -4,7 +4,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ledgerlens.ml.encode import FEATURES, encode, feature_names, fit_encoder
+from ledgerlens.ml import models, purchase
+from ledgerlens.ml.encode import FEATURES, encode, feature_names, fit_encoder, importance_by_column
 from ledgerlens.ml.models import Member, fit_member, importances
 from ledgerlens.ml.purchase import (
     PREDICTED, PROBABILITY, Ensemble, evaluate, evaluate_types, load_types, one_hot_labels, save_types,
@@ -148,3 +149,92 @@ def test_too_many_categories_are_an_error(spark):
     with pytest.raises(ValueError, match="name"):
         fit_encoder(rows, max_categories=1000)
     fit_encoder(rows, max_categories=4000)
+
+
+def test_hashed_categories(spark):
+    """A column of 100,000 values: nothing of them is kept, and its slots count as one column."""
+    rows = spark.range(100_000).selectExpr("id", "concat('name', id) as name", "id % 3 as x", "cast(id % 2 as int) as label")
+    encoder = fit_encoder(rows, exclude=["id", "label"], max_categories=1000, hash_width=256)
+    names = feature_names(encoder)
+    assert len(names) == 257 and names[0] == "x" and names[1:] == [f"name#{i}" for i in range(256)]
+    new = spark.createDataFrame([(1, "never seen", 2, 1), (2, None, None, 0)], "id long, name string, x long, label int")
+    for r in encode(encoder, new).collect():
+        assert len(r.features) == 257 and sum(r.features.toArray()[1:]) == 1
+    train = encode(encoder, rows.limit(2000))
+    member = fit_member("decision_tree", train, "label", "id", {"maxDepth": 3})
+    table = importance_by_column(importances(member, train, names, "id"))
+    assert {r.feature for r in table.collect()} == {"x", "name"}
+
+
+def rings(spark):
+    import math
+
+    rows = []
+    for i in range(600):
+        angle, radius = i * 2.399, (1.0 if i % 2 else 3.0) + 0.3 * math.sin(i)
+        rows.append((i, radius * math.cos(angle), radius * math.sin(angle), i % 2))
+    return spark.createDataFrame(rows, "sales_id long, a double, b double, label int")
+
+
+def test_curved_margins(spark, tmp_path):
+    """Rings that no line parts; the same scores after a save."""
+    rows = rings(spark)
+    train = encode(fit_encoder(rows, exclude=["sales_id", "label"]), rows).persist()
+
+    def right(member):
+        return member.score(train, "p").where("(p >= 0.5) = (label = 1)").count() / 600
+
+    assert right(fit_member("svm", train, "label", "sales_id")) < 0.7
+    curved = fit_member("svm", train, "label", "sales_id", {"curves": 200})
+    assert right(curved) > 0.95
+    curved.save(str(tmp_path / "svm"))
+    loaded = Member.load(spark, "svm", str(tmp_path / "svm"))
+    assert loaded.kernel == curved.kernel
+    a, b = ([r.p for r in m.score(train, "p").orderBy("sales_id").collect()] for m in (curved, loaded))
+    assert a == b
+    found = {r.feature: r.importance for r in importances(curved, train, ["a", "b"], "sales_id").collect()}
+    assert set(found) == {"a", "b"} and min(found.values()) > 0.1
+    with pytest.raises(ValueError, match="curves"):
+        fit_member("decision_tree", train, "label", "sales_id", {"curves": 10})
+
+
+@pytest.mark.parametrize("name", ["mlp", "knn"])
+def test_importance_on_arrays(spark, monkeypatch, name):
+    """The slots tried on batches agree with rows scored one by one by Spark."""
+    rows = rings(spark).withColumn("c", F.lit(1.5))
+    train = encode(fit_encoder(rows, exclude=["sales_id", "label"]), rows).persist()
+    member = fit_member(name, train, "label", "sales_id", {"maxIter": 30} if name == "mlp" else None)
+    fast = {r.slot: r.importance for r in models.permutation_importance(member, train, 3, "sales_id", 2).collect()}
+    monkeypatch.setattr(models, "array_scorer", lambda *_: None)
+    slow = {r.slot: r.importance for r in models.permutation_importance(member, train, 3, "sales_id", 2).collect()}
+    assert fast == pytest.approx(slow) and fast[2] == 0 and fast[0] > 0
+
+
+def test_members_side_by_side(spark, rows, monkeypatch):
+    settings = PurchaseModel(model="decision_tree", columns=COLUMNS, splits=2, clamp=True, params=PARAMS["decision_tree"])
+    scored = []
+    for at_once in (1, 4):
+        monkeypatch.setattr(purchase, "AT_ONCE", at_once)
+        model = train_ensemble(rows, settings, "customer")
+        scored.append(sorted((r.customer, r[PROBABILITY]) for r in model.score(rows, 0.6).collect()))
+    assert scored[0] == scored[1]
+    with pytest.raises(ZeroDivisionError):
+        purchase._side_by_side(spark, lambda i: spark.range(i).count() // (i - 2), [1, 2, 3])
+
+
+def test_stored_reports_and_a_failing_save(spark, rows, tmp_path, monkeypatch):
+    settings = PurchaseModel(columns=COLUMNS, splits=2, clamp=True, params=PARAMS["random_forest"])
+    model = train_ensemble(rows, settings, "customer")
+    path = str(tmp_path / "rp")
+    model.save(path)
+    loaded = Ensemble.load(spark, path, "random_forest", 2)
+    for a, b in ((model.reports, loaded.reports), (model.importances, loaded.importances)):
+        assert [sorted(map(tuple, t.collect())) for t in a] == [sorted(map(tuple, t.collect())) for t in b]
+
+    def lost(self, folder):
+        raise OSError("disk")
+
+    monkeypatch.setattr(Member, "save", lost)
+    with pytest.raises(OSError):
+        model.save(path)
+    assert Ensemble.load(spark, path, "random_forest", 2).score(rows, 0.6).count() == rows.count()

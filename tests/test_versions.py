@@ -1,7 +1,9 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from ledgerlens.operators.lookup import update_mapping
-from ledgerlens.session import path_exists, read_text, release, stage, staged_dir, staging, write_text
+from ledgerlens.session import path_exists, read_text, release, stage, staged_dir, staging, tidied, with_callers_staging, write_text
 from ledgerlens.sources.sinks import new_run_id
 from ledgerlens.sources.versions import commit, current, read_table, replace_table
 
@@ -93,3 +95,18 @@ def test_run_ids_keep_apart():
         while new_run_id() == ids[-1]:
             pass
     assert sorted(set(ids)) == ids and all(len(i) == 15 for i in ids)
+
+
+def test_threads_stage_into_the_callers_block(spark):
+    def both(other):
+        return stage(spark.range(2)), other
+
+    @tidied
+    def made():
+        with ThreadPoolExecutor(2) as pool:
+            found = list(pool.map(with_callers_staging(both), range(3)))
+        made.tables = [t for t, _ in found]
+        return found[0][0].where("id > 0")
+
+    assert made().count() == 1
+    assert [path_exists(spark, t._staged_path) for t in made.tables] == [True, False, False]
