@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import stage
+from ledgerlens.session import stage, tidied
 
 from .components import connected_components
 
@@ -18,7 +18,7 @@ PASSES, BITS, WINDOW = 8, 64, 32
 #: of ``link_near_vectors``.
 CHANCE = 0.999
 #: Vectors of a component that one task compares with as many others.
-BLOCK = 1024
+BLOCK = 256
 
 
 def _units(vectors) -> np.ndarray:
@@ -59,30 +59,99 @@ def _keys(bits: int, seed: int):
     return run
 
 
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, least place of its component) of the places below ``n`` that links (a, b) join to a smaller one."""
+    root = np.arange(n)
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        live = low < high
+        a, b, low, high = a[live], b[live], low[live], high[live]
+        np.minimum.at(root, high, low)
+        while (further := root[root] != root).any():
+            root[further] = root[root[further]]
+    joined = np.flatnonzero(root != np.arange(n))
+    return joined, root[joined]
+
+
+def _near(x: np.ndarray, window: int, similar: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of similar unit rows that are at most ``window`` apart."""
+    found = [(np.zeros(0, np.int64),) * 2]
+    for w in range(1, min(window, len(x) - 1) + 1):
+        at = np.flatnonzero(np.einsum("ij,ij->i", x[:-w], x[w:]) >= similar)
+        found.append((at, at + w))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+#: What a pass gives: links, and of every partition the rows at its ends.
+FOUND = "a long, b long, part int, at long, size long, pass int, label {label}, dim int, id long, vec {vec}"
+
+
 def _windows(window: int, similar: float):
-    """Pairs of a sorted run whose places differ by at most ``window``, if they are similar."""
+    """Links between rows of a sorted run whose places differ by at most ``window``: a spanning forest of each batch, so at
+    most one a row. Of each partition the first and last ``window`` rows go along, with their places, so
+    that windows can go on across its border."""
+    names = ["pass", "label", "dim", "id", "vec"]
 
     def run(batches):
         import pandas as pd
 
-        tail = None
+        tail, size, part_id, first = None, 0, 0, None
         for batch in batches:
+            if not len(batch):
+                continue
+            part_id = int(batch["part"].iloc[0])
+            batch = batch.assign(at=np.arange(size, size + len(batch)))
+            size += len(batch)
+            first = batch.head(window) if first is None else pd.concat([first, batch]).head(window)
             batch = batch if tail is None else pd.concat([tail, batch], ignore_index=True)
-            old = 0 if tail is None else len(tail)
-            found = []
-            for _, part in batch.groupby(["pass", "label", "dim"], sort=False):
-                x, ids, place = _units(part["vec"]), part["id"].to_numpy(), part.index.to_numpy()
-                for w in range(1, min(window, len(part) - 1) + 1):
-                    near = (np.einsum("ij,ij->i", x[:-w], x[w:]) >= similar) & (place[w:] >= old)
-                    found.append((ids[:-w][near], ids[w:][near]))
-            if found:
-                a, b = (np.concatenate(side) for side in zip(*found))
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+            for _, rows in batch.groupby(["pass", "label", "dim"], sort=False):
+                ids = rows["id"].to_numpy()
+                a, b = _near(_units(rows["vec"]), window, similar)
+                a, b = _forest(a, b, len(ids))
+                yield pd.DataFrame({"a": ids[a], "b": ids[b], **dict.fromkeys(["part", "at", "size", *names])})
             tail = batch.iloc[-window:].reset_index(drop=True)
+        if size:
+            ends = pd.concat([first, tail]).drop_duplicates("at")
+            yield ends[names].assign(a=None, b=None, part=part_id, at=ends["at"], size=size)[["a", "b", "part", "at", "size", *names]]
+
+    return run
+
+
+def _across(window: int, similar: float):
+    """Links across one border, from the rows before and behind it."""
+
+    def run(group):
+        import pandas as pd
+
+        group = group.sort_values("place")
+        out = [pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})]
+        for _, rows in group.groupby(["pass", "label", "dim"]):
+            ids, place, x = rows["id"].to_numpy(), rows["place"].to_numpy(), _units(rows["vec"])
+            before, behind = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+            near = (x[before] @ x[behind].T >= similar) & (place[behind][None, :] - place[before][:, None] <= window)
+            i, j = np.nonzero(near)
+            a, b = _forest(before[i], behind[j], len(ids))
+            out.append(pd.DataFrame({"a": ids[a], "b": ids[b]}))
+        return pd.concat(out)
 
     return run
 
 
+def _borders(sizes: dict[int, int], window: int) -> list[tuple[int, int, int, int]]:
+    """(border, part, offset): the rows of ``part`` whose place plus ``offset`` is between -window and window - 1 stand at
+    that place at the border, which is named by the part behind it. A part smaller than a window has part in
+    several borders."""
+    out, parts = [], sorted(sizes)
+    for n, border in enumerate(parts[1:], start=1):
+        out.append((border, border, 0))
+        back, k = 0, n - 1
+        while k >= 0 and back < window:
+            back += sizes[parts[k]]
+            out.append((border, parts[k], -back))
+            k -= 1
+    return out
+
+
 def _counted(similar: float):
     """Links within one block, or between two blocks, of a component: (id, links) with copies counted."""
 
@@ -104,6 +173,7 @@ def _counted(similar: float):
     return run
 
 
+@tidied
 def link_near_vectors(
     vectors: DataFrame,
     similar: float = 0.93,
@@ -120,7 +190,8 @@ def link_near_vectors(
 
     Vectors are compared only with those of the same label and length, by cosine in double precision. In
     each pass they are range-sorted by the signs of ``bits`` random projections, and each is compared
-    with the next ``window``; equal vectors count as one there. Pairs found in any pass give components. Then the
+    with the next ``window``, across partitions too; equal vectors count as one there. Of the pairs found a forest is kept,
+    a link a vector at most, which gives the components of all passes. Then the
     vectors of each component are compared with each other in blocks, which finds the links that windows are too
     narrow for; this is quadratic in the size of a component, but only counts leave a block. ``n_links``
     are a vector's links within its component, equal vectors included.
@@ -152,7 +223,15 @@ def link_near_vectors(
     keyed = keyed.mapInPandas(_keys(bits, seed), f"{columns}, passes int, keys array<binary>")
     keyed = keyed.select("label", "dim", "id", "vec", F.posexplode("keys").alias("pass", "key"))
     keyed = keyed.repartitionByRange("pass", "label", "dim", "key", "id").sortWithinPartitions("pass", "label", "dim", "key", "id")
-    pairs = stage(keyed.select("pass", "label", "dim", "id", "vec").mapInPandas(_windows(window, similar), "a long, b long").distinct(), "pairs")
+    keyed = keyed.select("pass", "label", "dim", "id", "vec", F.spark_partition_id().alias("part"))
+    made = stage(keyed.mapInPandas(_windows(window, similar), FOUND.format(**kind)), "windows")
+    ends = made.where("at is not null")
+    # a row for each partition
+    sizes = {r["part"]: r["size"] for r in ends.groupBy("part").agg(F.max("size").alias("size")).collect()}
+    borders = rows.sparkSession.createDataFrame(_borders(sizes, window), "border int, part int, offset long")
+    at_border = ends.join(borders, "part").withColumn("place", F.col("at") + F.col("offset")).where(F.col("place").between(-window, window - 1))
+    over = at_border.select("border", "place", "pass", "label", "dim", "id", "vec").groupBy("border").applyInPandas(_across(window, similar), "a long, b long")
+    pairs = stage(made.where("a is not null").select("a", "b").unionByName(over).distinct(), "pairs")
     classes = stage(connected_components(pairs, "a", "b"), "classes")
 
     sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("size"))

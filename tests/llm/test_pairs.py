@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from ledgerlens.llm.darts import drop_near_duplicates, near_duplicates, throw
 from ledgerlens.llm.fingerprints import SAMPLES, Sampler, edited, fingerprints
 from ledgerlens.llm.hashing import Shingler
-from ledgerlens.llm.neighbours import link_near_vectors, passes_for
+from ledgerlens.llm.neighbours import _borders, _forest, link_near_vectors, passes_for
 from ledgerlens.llm.packing import pack_best_fit, token_pieces, word_ids
 
 SMALL = "/root/testdata/sf0.01"
@@ -247,6 +247,47 @@ def test_vector_passes_grow(spark):
     assert list(wanted) == [8, 8, 17, 27, 43]
 
 
+def test_windows_cross_partitions(spark):
+    """With a window of one and about as many partitions as rows, neighbours in order are always in two partitions."""
+    rows = [(i, [math.cos(i / 10), math.sin(i / 10)], 1) for i in range(15)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    found = {}
+    try:
+        for n in (1, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found[n] = sorted(tuple(r) for r in link_near_vectors(frame, similar=0.99, window=2).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert found[1] == found[40] and {r[2] for r in found[1]} == {0}
+
+
+def test_borders():
+    sizes = {0: 5, 3: 1, 4: 2, 9: 7}
+    order = [(p, at) for p in sorted(sizes) for at in range(sizes[p])]
+    for border, start in ((3, 5), (4, 6), (9, 8)):
+        got = {}
+        for b, part, offset in _borders(sizes, 3):
+            if b == border:
+                got |= {at + offset: (part, at) for at in range(sizes[part]) if -3 <= at + offset < 3}
+        want = {i - start: order[i] for i in range(max(0, start - 3), start)}
+        want |= {i - start: order[i] for i in range(start, len(order)) if order[i][0] == border and i - start < 3}
+        assert got == want
+
+
+def test_forest():
+    rng = random.Random(8)
+    for _ in range(30):
+        n = rng.randrange(1, 60)
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randrange(80))]
+        a, b = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+        want = components(n, pairs)
+        places, roots = _forest(a, b, n)
+        assert dict(zip(places.tolist(), roots.tolist())) == {i: w for i, w in enumerate(want) if w != i}
+
+
 def test_vector_edges(spark):
     kind = "vec_id long, embedding array<float>, label int"
     rows = [(None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1)]
