@@ -188,7 +188,7 @@ def near_duplicates(
     with those of other classes; that is quadratic in such a bucket, but only likely pairs leave a block.
 
     A null text is empty; texts without words are a class only with equal ones. A null id is after all others.
-    No rows: no rows.
+    Whole texts are read, however long. Other columns are left out, whatever their names. No rows: no rows.
     """
     spark = docs.sparkSession
     k = bands * rows
@@ -264,7 +264,8 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
-    """The documents less all but one of every class; of rows with the kept id and text, one stays."""
+    """The documents less all but one of every class; of rows with the kept id and text, one stays. All columns stay,
+    whatever their names; for nulls and the rest see ``near_duplicates``."""
     kept = stage(near_duplicates(docs, text=text, doc_id=doc_id, **how).where("kept").select("doc_id", "address", "copies"), "kept")
     mark, own, n = fresh(docs, "_address", "_id", "_copies")
     kept = kept.select(F.col("address").alias(mark), F.col("doc_id").alias(own), F.col("copies").alias(n))

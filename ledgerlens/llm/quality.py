@@ -100,7 +100,9 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, pairs_per_row: int = 8, ridge: fl
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, text: str = "text", doc_id: str = "doc_id", label: str = "quality", seed: int = 0) -> PairModel:
     """Learn from labelled documents, of which about ``fit_rows`` chosen by a hash of the id are
     used when there are more; that bound keeps them in the driver's memory. Null ids and labels
-    teach nothing; an id labelled twice counts by its smallest label, one with several texts by the least."""
+    teach nothing; an id labelled twice counts by its smallest label, one with several texts by the least, so repeated
+    rows count once. A null text is empty; whole texts are read, however long. Other columns, whatever their
+    names, play no part. Without labelled rows every strength is 0 and every document is good."""
     known = labels.select(F.col(doc_id).alias("i"), F.col(label).alias("y")).where("i is not null and y is not null").groupBy("i").agg(F.min("y").alias("y"))
     n = known.count()
     if n > fit_rows:
@@ -137,6 +139,7 @@ def quality_of(model: PairModel, text: Column) -> Column:
 
 def classify_quality(docs: DataFrame, model: PairModel, text: str = "text") -> DataFrame:
     """Adds ``score`` and ``predicted`` (1 from a score of 0.7) to every row; columns so named are
-    replaced. A null text scores as an empty one."""
+    replaced, others stay. A null text scores as an empty one, whole texts are read however long, and equal
+    texts, in repeated rows too, have equal scores. No rows: no rows."""
     rows = docs.select(*others(docs, "score", "predicted")).withColumn("score", quality_of(model, F.col(text)))
     return rows.withColumn("predicted", (F.col("score") >= CUT).cast("int"))

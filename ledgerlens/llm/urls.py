@@ -92,8 +92,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None =
     component over redirect and canonical links (of ``html``, and of ``redirects`` with columns src
     and dst) or its own url without the fragment, and allowed otherwise. So an explicit allow
     always precedes a block that comes from an alias. A null url, or one without ``://``, has an empty
-    host and path, no rule and no alias, and is allowed. Repeated urls are judged alike. Input columns of
-    the same names are replaced.
+    host and path, no rule and no alias, and is allowed. Repeated urls are judged alike; a null html has no links, and
+    whole pages are read, however long. Input columns of the same names are replaced, others stay. No pages: no rows; no
+    rules: everything is allowed.
     """
     pages = pages.select(*others(pages, "host", "path", "rule", "verdict"))
     node, comp, blocked = fresh(pages, "_node", "_comp", "_blocked")
