@@ -7,12 +7,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import shuffle_partitions, stage
+from ledgerlens.session import release, shuffle_partitions, stage, tidied
 
 from .common import exclusive_sums, fresh, others
 
 #: Pieces for each gap from which gaps are cut into slots, so that tiny pieces need few rounds.
 CROWDED = 3
+#: Sequences that are opened together.
+OPENED = 1 << 16
 #: Words whose ids a worker process keeps, first come first kept; about 150 MB.
 KEPT_WORDS = 600_000
 
@@ -99,30 +101,31 @@ def _piece_maker(tokenizer: str, capacity: int, end: int, keep_ids: bool):
     return make
 
 
-def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = 4096, end: int = 1, keep_ids: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Pieces of at most ``capacity`` tokens of every document: (doc_id, piece, start, length, ids_crc32, ids).
+def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = 4096, end: int = 1, keep_ids: bool = False, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pieces of at most ``capacity`` tokens of every document: (doc_id, *keep, piece, start, length, ids_crc32, ids).
 
     A document's ids are the tokenizer's, then ``end``; a null text is empty and so has one token. Only
     longer ones are cut. ``ids`` are little-endian unsigned 32-bit numbers, null unless ``keep_ids``.
     ``tokenizer`` is the name of a file of the public tokenizers that parts words as
-    ``word_bpe_49k.json`` does.
+    ``word_bpe_49k.json`` does. Whole texts are encoded, however long. Rows with a null id, and repeated rows, are cut
+    each on its own. Columns but those of ``keep`` are left out, whatever their names. No rows: no rows.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInPandas(_piece_maker(tokenizer, capacity, end, keep_ids), f"doc_id {kind}, {PIECES}")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).alias("text"))
+    kinds = ", ".join(f"{c} {kind}" for c, kind in rows.dtypes[:-1])
+    return rows.mapInPandas(_piece_maker(tokenizer, capacity, end, keep_ids), f"{kinds}, {PIECES}")
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
     """Adds ``level``: how many documents, less gaps, stand at or before a document, or before
-    a gap, in the order of size (documents first in a size)."""
-    kinds = Window.partitionBy("all").orderBy("size", "is_gap").rowsBetween(Window.unboundedPreceding, -1)
+    a gap, in the order of size (documents first in a size); each run on its own."""
+    kinds = Window.partitionBy("run").orderBy("size", "is_gap").rowsBetween(Window.unboundedPreceding, -1)
     step = F.sum(F.when(F.col("is_gap"), -1).otherwise(1))
-    classes = rows.groupBy("size", "is_gap").agg(step.alias("step"))  # two for each size at most
-    classes = classes.withColumn("all", F.lit(0)).select("size", "is_gap", F.coalesce(F.sum("step").over(kinds), F.lit(0)).alias("from"))
+    classes = rows.groupBy("run", "size", "is_gap").agg(step.alias("step"))  # two for each size of a run at most
+    classes = classes.select("run", "size", "is_gap", F.coalesce(F.sum("step").over(kinds), F.lit(0)).alias("from"))
     # rows of one size may be a third of all
     parts = shuffle_partitions(rows.sparkSession)
     rows = rows.withColumns({"part": F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"), "one": F.lit(1).cast("long")})
-    rows = exclusive_sums(rows, ["size", "is_gap"], ["part"], ["id"], {"rank": "one"}).join(classes, ["size", "is_gap"])
+    rows = exclusive_sums(rows, ["run", "size", "is_gap"], ["part"], ["id"], {"rank": "one"}).join(classes, ["run", "size", "is_gap"])
     return rows.withColumn("level", F.when(F.col("is_gap"), F.col("from") - F.col("rank")).otherwise(F.col("from") + F.col("rank") + 1))
 
 
@@ -133,48 +136,56 @@ def _matched(docs: DataFrame, gaps: DataFrame) -> DataFrame:
     the document before it on its level: the one successor of both. Ties go by rank.
     """
     none = F.lit(None).cast("long")
-    both = docs.select("size", F.lit(False).alias("is_gap"), "id", none.alias("sequence_id")).unionByName(
-        gaps.select("size", F.lit(True).alias("is_gap"), "id", "sequence_id")
+    both = docs.select("run", "size", F.lit(False).alias("is_gap"), "id", none.alias("sequence_id")).unionByName(
+        gaps.select("run", "size", F.lit(True).alias("is_gap"), "id", "sequence_id")
     )
     # on a level documents and gaps take turns, with one row of a size and kind at most
-    turns = Window.partitionBy("level").orderBy("size", "is_gap")
+    turns = Window.partitionBy("run", "level").orderBy("size", "is_gap")
     ranked = _ranked(both).withColumn("to", F.lead("sequence_id").over(turns))
     return ranked.where("not is_gap and to is not null").select("id", F.col("to").alias("sequence_id"))
 
 
-def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length") -> DataFrame:
+@tidied
+def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length", run: str | None = None) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of 1 to ``capacity`` tokens.
 
     Rounds on the whole table: pieces and gaps are sorted by size, each gap gets the largest piece that
     fits it best, gaps shrink, and the rest goes on. Pieces of more than half a sequence open one each,
     and as many more are opened as the tokens need at least; a round that places few opens more. When
     pieces crowd, gaps are cut into equal slots for the round, so that rounds grow with the
-    logarithm of the pieces in a sequence. Every round is written to the shared folder.
+    logarithm of the pieces in a sequence. Every round is written to the shared folder. With ``run``, a column
+    of whole numbers from 0, a sequence has pieces of one run only: all runs are packed at once, each on its own, which
+    costs a sequence or two for each run.
 
-    Input columns of these names are replaced. A null length, or one outside the range, is an error.
+    Input columns of these names are replaced. A null length, or one outside the range, is an error; a null run is 0.
     No rows: no rows. Equal rows may swap places.
     """
     bad = F.raise_error(F.lit("a piece must have 1 to capacity tokens")).cast("long")
     fits = F.col(length).isNotNull() & F.col(length).between(1, capacity)
     names = others(pieces, "sequence_id", "offset")
-    piece, own = fresh(pieces, "_piece", "_size")
-    pieces = pieces.select(*names, F.when(fits, F.col(length).cast("long")).otherwise(bad).alias(own), F.monotonically_increasing_id().alias(piece))
+    piece, own, of = fresh(pieces, "_piece", "_size", "_run")
+    part = F.coalesce(F.col(run).cast("long"), F.lit(0).cast("long")) if run else F.lit(0).cast("long")
+    pieces = pieces.select(*names, F.when(fits, F.col(length).cast("long")).otherwise(bad).alias(own), F.monotonically_increasing_id().alias(piece), part.alias(of))
     pieces = stage(pieces, "pieces")
-    rest = pieces.select(F.col(piece).alias("id"), F.col(own).alias("size"))
+    rest = pieces.select(F.col(piece).alias("id"), F.col(own).alias("size"), F.col(of).alias("run"))
     # a piece over half a sequence opens its own; its number is its id's complement
-    big = rest.where(f"size * 2 > {capacity}").select("id", (-F.col("id") - 1).alias("sequence_id"), "size")
+    big = rest.where(f"size * 2 > {capacity}").select("id", (-F.col("id") - 1).alias("sequence_id"), "size", "run")
     placed = [big.select("id", "sequence_id")]
-    gaps = stage(big.select("sequence_id", (F.lit(capacity) - F.col("size")).alias("size")).where("size > 0"), "gaps")
+    gaps = stage(big.select("sequence_id", (F.lit(capacity) - F.col("size")).alias("size"), "run").where("size > 0"), "gaps")
+    # as many sequences as the tokens of each run need at least, less those that are open
+    need = F.ceil(F.sum("size") / capacity) - F.count_if(F.col("size") * 2 > capacity)
+    wanted = stage(rest.groupBy("run").agg(need.alias("n")).where("n > 0"), "wanted")
     rest = stage(rest.where(f"size * 2 <= {capacity}"), "rest")
-    full = big.count()
-    opened = 0
-    total = pieces.agg(F.sum(own)).first()[0] or 0
-    wanted = max(0, math.ceil(total / capacity) - full)
+    held, opened = [gaps], 0
     before = None
     while True:
-        if wanted:
-            new = pieces.sparkSession.range(opened, opened + wanted).select(F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("size"))
-            gaps, opened, wanted = gaps.unionByName(new), opened + wanted, 0
+        if wanted is not None:
+            # numbers of one run follow each other, made in parts by many tasks; the run stands in the upper bits
+            part = F.explode(F.expr(f"sequence(0L, (n - 1) div {OPENED})"))
+            new = wanted.select("run", "n", part.alias("p")).repartition("run", "p")
+            new = new.select("run", F.explode(F.expr(f"sequence(p * {OPENED}, least((p + 1) * {OPENED}, n) - 1)")).alias("k"))
+            new = new.select(F.expr(f"run * {1 << 40} + {opened} + k").alias("sequence_id"), F.lit(capacity).cast("long").alias("size"), "run")
+            gaps, opened, wanted = gaps.unionByName(new), opened + (wanted.agg(F.max("n")).first()[0] or 0), None
         size, none = F.col("size"), F.lit(None).cast("long")
         both = rest.select(size.alias("piece"), none.alias("gap")).unionByName(gaps.select(none.alias("piece"), size.alias("gap")))
         left = both.agg(F.count("piece").alias("pieces"), F.sum("piece").alias("tokens"), F.min("piece").alias("least"), F.max("piece").alias("most"), F.count("gap").alias("gaps")).first()
@@ -182,7 +193,7 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
             break
         if before is not None and left["pieces"] > 0.9 * before:
             # few were placed: what is left is larger than most gaps
-            wanted, before = math.ceil(left["tokens"] / capacity), None
+            wanted, before = stage(rest.groupBy("run").agg(F.ceil(F.sum("size") / capacity).alias("n")), "wanted"), None
             continue
         before = left["pieces"]
         # a crowded gap is cut: one slot for the largest piece left, equal ones of the mean or more
@@ -192,15 +203,16 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
         parts = F.least(F.lit(crowd), F.call_function("div", size - first, F.lit(mean))).cast("int")
         equal = F.array_repeat(F.call_function("div", size - first, F.greatest(parts, F.lit(1))), parts)
         cuts = F.concat(F.array(first), equal) if crowd >= CROWDED else F.array(size)
-        slot = gaps.where(size >= left["least"]).select("sequence_id", F.posexplode(cuts).alias("k", "size"))
-        slot = slot.select("sequence_id", "size", F.xxhash64("sequence_id", "k").alias("id"))
-        found = stage(_matched(rest, slot).join(rest, "id"), "placed")
+        slot = gaps.where(size >= left["least"]).select("run", "sequence_id", F.posexplode(cuts).alias("k", "size"))
+        slot = slot.select("run", "sequence_id", "size", F.xxhash64("sequence_id", "k").alias("id"))
+        found = stage(_matched(rest, slot).join(rest.select("id", "size"), "id"), "placed")
         placed.append(found.select("id", "sequence_id"))
         taken = found.groupBy("sequence_id").agg(F.sum("size").alias("taken"))
-        gaps = gaps.join(taken, "sequence_id", "left").select("sequence_id", (size - F.coalesce("taken", F.lit(0))).alias("size"))
+        shrunk = gaps.join(taken, "sequence_id", "left").select("sequence_id", (size - F.coalesce("taken", F.lit(0))).alias("size"), "run")
         # the least piece never gets smaller
-        gaps = stage(gaps.where(size >= left["least"]), "gaps")
-        rest = stage(rest.join(found.select("id"), "id", "left_anti"), "rest")
+        old, gaps = [*held, rest], stage(shrunk.where(size >= left["least"]), "gaps")
+        rest, held = stage(rest.join(found.select("id"), "id", "left_anti"), "rest"), [gaps]
+        release(*old)
     where = placed[0]
     for x in placed[1:]:
         where = where.unionByName(x)
