@@ -88,7 +88,25 @@ def op1(spark, d):
     return mixed.select("doc_id", "source", "n_tokens", "quota", "exponent", "copy", "block", "position")
 
 
-@query("op5_warc_archive")
+ARCHIVE_SQL = r"""
+with facts as (
+  select page_id, replace(replace(url, chr(13), '%0D'), chr(10), '%0A') as url, coalesce(html, '') as payload from pages
+), hashed as (
+  select page_id, url, payload, strlen(payload)::bigint as payload_bytes, sha1(payload) as h,
+         min(page_id) over (partition by payload) as least
+  from facts
+), digested as (
+  select *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+              ((('0x' || substr(h, 5 * (i // 4)::int + 1, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1, 1)), '') as payload_digest
+  from hashed
+)
+select page_id, payload_bytes, payload_digest, case when page_id = least then 'response' else 'revisit' end as record_type,
+       case when page_id <> least then least end as refers_to, nullif(url, '') as url, payload_digest as stated_digest
+from digested
+"""
+
+
+@query("op5_warc_archive", ARCHIVE_SQL)
 def op5(spark, d):
     records = read_archive(spark, write_archive(table(spark, d, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "stated_digest")
@@ -165,7 +183,25 @@ def op7(spark, d):
     return fingerprints(table(spark, d, "documents"))
 
 
-@query("op9_projection_passes")
+VECTORS_SQL = r"""
+with recursive usable as materialized (
+  select vec_id, label, embedding::double[] as v, len(embedding) as dim from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as materialized (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b
+    on a.label = b.label and a.dim = b.dim and a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(a, b) as (
+  select vec_id, vec_id from usable
+  union
+  select r.a, l.b from reached r join links l on l.a = r.b
+), counted as (select a, count(*)::bigint as n from links group by 1), least as (select a, min(b) as c from reached group by 1)
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(c, vec_id) as component_id, coalesce(c, vec_id) = vec_id as kept
+from embeddings left join counted on counted.a = vec_id left join least on least.a = vec_id
+"""
+
+
+@query("op9_projection_passes", VECTORS_SQL)
 def op9(spark, d):
     return link_near_vectors(table(spark, d, "embeddings"))
 

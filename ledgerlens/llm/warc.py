@@ -30,7 +30,8 @@ def write_archive(pages: DataFrame, path: str | None = None, page_id: str = "pag
     ``headers``: the exact header block of every record, with the payload's address. Of records with
     equal payloads of at least ``min_bytes`` bytes, the one with the smallest page id is a response
     and others are revisits that refer to it; null ids come last, repeated rows count one by one.
-    Line breaks in an url are percent-encoded; a null url is left out of the header.
+    Line breaks in an url are percent-encoded; a null url is left out of the header. Payloads are kept whole, however
+    long; other columns are left out, whatever their names. No rows: an archive without records.
     """
     spark = pages.sparkSession
     path = path or f"{staged_dir(spark)}/archive-{uuid.uuid4().hex}"
@@ -83,7 +84,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     ``header`` and ``payload`` are the exact bytes (a revisit has the payload it refers to);
     ``record`` is the record as it stands in a WARC file. Every stored payload is digested anew,
     and one that does not match its address ends the job. ``payload_bytes`` and
-    ``payload_digest`` are taken from the bytes; ``stated_digest`` is the header's.
+    ``payload_digest`` are taken from the bytes; ``stated_digest`` is the header's, and a header that states
+    another digest than its payload's, or none, ends the job too. An archive without records gives no rows.
     """
     stored = spark.read.parquet(f"{path}/payloads")
     damaged = F.raise_error(F.concat(F.lit("damaged payload "), F.col("address"))).cast("long")
@@ -106,4 +108,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     end = F.lit((LINE * 2).encode())
-    return heads.join(stored, "address").withColumn("record", F.concat("header", body, end)).drop("address")
+    records = heads.join(stored, "address").withColumn("record", F.concat("header", body, end))
+    wrong = F.raise_error(F.concat(F.lit("a header of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(" states another digest")))
+    agrees = F.col("stated_digest").eqNullSafe(F.col("payload_digest"))
+    return records.withColumn("stated_digest", F.when(agrees, F.col("stated_digest")).otherwise(wrong)).drop("address")
