@@ -169,6 +169,27 @@ def test_damaged_archive(spark):
         read_archive(spark, f"{path}-2").collect()
 
 
+def test_header_that_states_another_digest(spark):
+    path = write_archive(spark.createDataFrame([(1, "u", "<p>one</p>"), (2, "u", "<p>two</p>")], PAGES))
+    heads = spark.read.parquet(f"{path}/headers")
+    other = F.encode(F.regexp_replace(F.decode("header", "UTF-8"), "sha1:.{4}", "sha1:AAAA"), "UTF-8")
+    for n, header in enumerate((other, F.encode(F.regexp_replace(F.decode("header", "UTF-8"), "WARC-Payload-Digest: [^\r]*\r\n", ""), "UTF-8"))):
+        bad = f"{path}-bad{n}"
+        spark.read.parquet(f"{path}/payloads").write.parquet(f"{bad}/payloads")
+        heads.withColumn("header", header).write.parquet(f"{bad}/headers")
+        with pytest.raises(Exception, match="another digest"):
+            read_archive(spark, bad).collect()
+
+
+def test_archive_columns(spark):
+    """Other columns with the operator's own names play no part."""
+    df = spark.createDataFrame([(1, "u", "a"), (2, None, "a")], PAGES)
+    for name in ("payload", "address", "sha1", "bytes", "row", "first", "header"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"], bytes(r["payload"])) for r in read_archive(spark, write_archive(df)).collect())
+    assert got == [(1, "response", None, b"a"), (2, "revisit", 1, b"a")]
+
+
 def test_url_links(spark):
     html = [
         (1, "http://A.com/x/y?q#f", '<link rel="canonical" href="/z?a=1&amp;b=2">'),
