@@ -4,19 +4,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import exclusive_sums, held_out
+from ledgerlens.llm.common import held_out
 from ledgerlens.llm.darts import drop_near_duplicates
 from ledgerlens.llm.mixing import mix_sources
 from ledgerlens.llm.packing import pack_best_fit, token_pieces
 from ledgerlens.llm.quality import classify_quality, fit_quality
-from ledgerlens.session import stage, staged_dir
+from ledgerlens.session import staged_dir
 
-#: Tokens of neighbouring documents of the mixture that are packed together: some thousand sequences.
-RUN_TOKENS = 1 << 24
 #: Sources are flattened until the least used would be outdone by the most used more than this.
 MAX_REPEAT = 2.0
 
@@ -42,35 +39,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, those of small sources up to MAX_REPEAT times.
 
     A null source is a source of its own; null and empty texts cost no tokens and come once; repeated rows are documents of
-    their own. The columns are those of the documents; the mixture's order, block by block, is the order of the rows in
-    the written files. No documents: none."""
-    mixed = mix_sources(docs, max_repeat=MAX_REPEAT, keep_all=True)
-    return mixed.repartitionByRange("block", "position").sortWithinPartitions("block", "position").select(*docs.columns)
+    their own. The columns are those of the documents. No documents: none."""
+    return mix_sources(docs, max_repeat=MAX_REPEAT, keep_all=True).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents in sequences of at most 4096 tokens, which hold documents of one ``run`` of about
-    RUN_TOKENS neighbouring tokens in the order of the files.
+    """Token pieces of all documents in sequences of at most 4096 tokens.
 
     A null or empty text is its end token, very long ones are cut, and rows with a null id or repeated ones are packed each on
     its own; ``row`` tells the copies of a document that the mixture passes more than once apart. Other columns are left
     out. No documents: no pieces."""
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"), *_order(docs))
-    pieces = stage(token_pieces(rows, keep=("row", "file", "place")).drop("ids"), "pieces")
-    # the tokens before each piece: files in their order, and pieces of a file in theirs
-    pieces = exclusive_sums(pieces.withColumn("all", F.lit(0)), ["all"], ["file"], ["place", "piece"], {"before": "length"})
-    run = F.call_function("div", "before", F.lit(RUN_TOKENS)).cast("long")
-    return pack_best_fit(pieces.withColumn("run", run).drop("all", "file", "place", "before"), run="run")
-
-
-def _order(docs: DataFrame) -> list[Column]:
-    """Where a row stands: its file and its number there, or, where it is not read from Parquet files, its number alone."""
-    stored = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place")]
-    try:
-        docs.select(*stored)
-    except AnalysisException:
-        return [F.lit("").alias("file"), F.monotonically_increasing_id().alias("place")]
-    return stored
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    return pack_best_fit(token_pieces(rows, keep=("row",)).drop("ids"))
 
 
 STAGES = [
