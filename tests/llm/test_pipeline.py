@@ -8,7 +8,6 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ledgerlens.llm.mixing import mix_sources
 from ledgerlens.llm.quality import classify_quality
 from test_pairs import brute_classes
 
@@ -92,32 +91,6 @@ def test_no_documents(spark):
         assert stage(spark, docs, SMALL).count() == 0
 
 
-def test_sequences_hold_neighbours(spark, kept, monkeypatch):
-    """With short runs, a sequence has only documents that stand together in the mixture."""
-    monkeypatch.setattr(corpus_pipeline, "RUN_TOKENS", 40_000)
-    place = {}
-    rows = kept[3].select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
-    for n, r in enumerate(sorted(rows, key=lambda r: (r["file_name"], r["row_index"]))):
-        place.setdefault(r["doc_id"], []).append(n)
-    packed = corpus_pipeline.pack(spark, kept[3], SMALL).collect()
-    whole, sequences, spans = sum(r["length"] for r in packed), {r["sequence_id"] for r in packed}, defaultdict(list)
-    runs = {r["run"] for r in packed}
-    assert runs == set(range(len(runs))) and len(runs) == -(-whole // 40_000) > 3
-    for r in packed:
-        if len(place[r["doc_id"]]) == 1:
-            spans[r["run"]] += place[r["doc_id"]]
-    ends = [(min(spans[k]), max(spans[k])) for k in sorted(runs)]
-    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
-    assert len({(r["sequence_id"], r["run"]) for r in packed}) == len(sequences) <= -(-whole // 4096) + 2 * len(runs)
-
-
-def test_rows_in_the_order_of_the_mixture(spark, kept):
-    mixed = mix_sources(kept[2], max_repeat=corpus_pipeline.MAX_REPEAT, keep_all=True)
-    want = [r["doc_id"] for r in mixed.orderBy("block", "position").select("doc_id").collect()]
-    rows = kept[3].select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
-    assert [r["doc_id"] for r in sorted(rows, key=lambda r: (r["file_name"], r["row_index"]))] == want
-
-
 def test_copies_are_told_apart(kept):
     """A document that the mixture passes twice gives pieces of two rows."""
     rows = kept[4].select("doc_id", "row", "piece", "start", "length").collect()
