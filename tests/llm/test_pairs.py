@@ -365,3 +365,20 @@ def test_packing_edges(spark):
     for n in (0, 11, None):
         with pytest.raises(Exception, match="1 to capacity"):
             pack_best_fit(spark.createDataFrame([(1, n)], "id long, length long"), 10).collect()
+
+
+def test_packing_by_runs(spark):
+    """A sequence has pieces of one run; a null run is the first."""
+    rng = random.Random(11)
+    rows = [(i, i % 4 if i % 9 else None, rng.choice([1, 5, 300, 2000, 2100, 4096])) for i in range(400)]
+    pieces = spark.createDataFrame(rows, "id long, run long, length long")
+    got = pack_best_fit(pieces, run="run").collect()
+    assert sorted((r["id"], r["run"], r["length"]) for r in got) == sorted(rows)
+    of, ends = defaultdict(set), defaultdict(list)
+    for r in got:
+        of[r["sequence_id"]].add(r["run"] or 0)
+        ends[r["sequence_id"]].append((r["offset"], r["offset"] + r["length"]))
+    assert all(len(x) == 1 for x in of.values())
+    for spans in ends.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and spans[-1][1] <= 4096
