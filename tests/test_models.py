@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerlens.ml import models, purchase
@@ -238,3 +238,25 @@ def test_stored_reports_and_a_failing_save(spark, rows, tmp_path, monkeypatch):
     with pytest.raises(OSError):
         model.save(path)
     assert Ensemble.load(spark, path, "random_forest", 2).score(rows, 0.6).count() == rows.count()
+
+
+def test_fit_uses_all_cores_whatever_the_files(spark, monkeypatch):
+    """Rows that come in one part are dealt to all cores, and a deep forest does not walk its trees anew each pass."""
+    seen = {}
+
+    class Fake:
+        def __init__(self, **settings):
+            seen.update(settings)
+
+        def setWeightCol(self, name):
+            return self
+
+        def fit(self, frame):
+            seen["parts"] = frame.rdd.getNumPartitions()
+            seen["rows"] = sorted(r.id for r in frame.select("id").collect())
+
+    monkeypatch.setitem(models.ESTIMATORS, "random_forest", (Fake, None))
+    rows = spark.range(400).coalesce(1).select("id", (F.col("id") % 2).alias("label"), array_to_vector(F.array(F.col("id").cast("double"))).alias(FEATURES))
+    fit_member("random_forest", rows, "label", "id")
+    assert seen["parts"] >= min(4, spark.sparkContext.defaultParallelism) and seen["cacheNodeIds"]
+    assert seen["rows"] == list(range(400))
