@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,6 +98,17 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, pairs_per_row: int = 8, ridge: fl
     return PairModel(mean, scale, w, float(s[at - 1] + s[at]) / 2)
 
 
+def _packed(batches):
+    """mapInArrow over (i, t, y): ids with labels, and the features of the texts, of a batch in one value each."""
+    import pyarrow as pa
+
+    for b in batches:
+        if len(b):
+            keys = [*zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
+            x = np.array([features(t) for t in b.column(1).to_pylist()], "<f4")
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(keys)], pa.binary()), pa.array([x.tobytes()], pa.binary())], ["keys", "x"])
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, text: str = "text", doc_id: str = "doc_id", label: str = "quality", seed: int = 0) -> PairModel:
     """Learn from labelled documents, of which about ``fit_rows`` chosen by a hash of the id are
     used when there are more; that bound keeps them in the driver's memory. Null ids and labels
@@ -107,17 +119,20 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, text
     n = known.count()
     if n > fit_rows:
         known = known.where(F.pmod(F.xxhash64("i", F.lit(seed)), F.lit(1 << 30)) < int(fit_rows / n * (1 << 30)))
-    make = F.udf(lambda t: features(t).astype("<f4").tobytes(), "binary")
     # at most about fit_rows ids: a bounded table
     rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).join(F.broadcast(known), "i")
     # one row an id, so a repeated id is no more to the driver than another
     rows = rows.groupBy("i").agg(F.min("t").alias("t"), F.min("y").alias("y"))
-    rows = sorted((r["i"], bytes(r["x"]), r["y"]) for r in rows.select("i", "y", make("t").alias("x")).collect())
-    good = np.array([y for _, _, y in rows])
-    x = np.frombuffer(b"".join(x for _, x, _ in rows), "<f4").reshape(len(rows), 256 + len(SHAPES))
-    if not len(rows):
-        x = np.zeros((1, 256 + len(SHAPES)), np.float32)
-    del rows
+    # a few whole arrays come to the driver, not objects for each row
+    keys, x = [], []
+    for part in rows.mapInArrow(_packed, "keys binary, x binary").toLocalIterator():
+        keys += pickle.loads(part["keys"])
+        x.append(np.frombuffer(part["x"], "<f4").reshape(-1, 256 + len(SHAPES)))
+    if not keys:
+        return fit_pairs(np.zeros((1, 256 + len(SHAPES)), np.float32), np.array([]), seed=seed)
+    order = sorted(range(len(keys)), key=lambda at: keys[at][0])
+    x = np.concatenate(x)[order]
+    good = np.array([keys[at][1] for at in order])
     return fit_pairs(x, good, seed=seed)
 
 

@@ -244,3 +244,16 @@ def test_grams():
     g, first = grams([b"ab", b"", b"c"], 2)
     assert [hex(x) for x in g] == ["0xffff61", "0xff6162", "0x6162ff", "0xffffff", "0xffff63", "0xff63ff"]
     assert first.tolist() == [0, 3, 4]
+
+
+def test_training_rows_come_as_arrays(spark, monkeypatch):
+    """The classifier's rows come to the driver as a few values, not as an object each; the model is that of plain loops."""
+    texts = [f"{'good words ' * (i % 5 + 1)}{i}" if i % 2 else f"x{i} " * 9 for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in reversed(range(60))], "doc_id long, quality int")
+    want = fit_pairs(np.array([features(t) for t in texts], np.float32), np.arange(60) % 2)
+    monkeypatch.setattr(type(docs), "collect", lambda self: pytest.fail("a row object for each document"))
+    got = fit_quality(docs, labels)
+    assert np.allclose(got.weights, want.weights) and math.isclose(got.cut, want.cut)
+    empty = fit_quality(docs.limit(0), labels)
+    assert not empty.weights.any() and empty.cut == -1.0
