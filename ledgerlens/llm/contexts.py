@@ -26,8 +26,9 @@ PART_GRAMS, TASK_BYTES = 250_000, 32 << 20
 #: Scoring tasks get the ready logarithms of about 2 ** READY_BITS of the most frequent grams at most, of sixteen
 #: bytes each; other grams are valued where their nodes are.
 READY_BITS = 22
-#: Bytes of text taken together, and words whose values a scoring task keeps.
-CHUNK, KEPT_WORDS = 2 << 20, 400_000
+#: Bytes of text taken together (a task holds about a hundred bytes for each), documents that are scored together, and
+#: words whose values a scoring task keeps.
+CHUNK, TEXTS, KEPT_WORDS = 1 << 19, 1_000, 400_000
 END = "\n"  # the end token: no word holds white space
 WORD_KIND, GRAM_KIND = 0, 1
 LOWER = bytes(range(256)).lower()
@@ -330,7 +331,7 @@ def _scorer(ready, top, depth: int, total: int, distinct: int):
             value = np.log10(often[at] + 1.0) - unseen if len(names) else np.zeros(len(new))
             known.update((w, v if x else name) for w, v, x, name in zip(new, value.tolist(), hit.tolist(), h.tolist()))
 
-        for batch in batches:
+        for batch in (b.iloc[i : i + TEXTS] for b in batches for i in range(0, len(b), TEXTS)):
             texts = [_lowered(t) for t in batch["text"]]
             rows = []
             for data in texts:

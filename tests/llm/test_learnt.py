@@ -257,3 +257,28 @@ def test_training_rows_come_as_arrays(spark, monkeypatch):
     assert np.allclose(got.weights, want.weights) and math.isclose(got.cut, want.cut)
     empty = fit_quality(docs.limit(0), labels)
     assert not empty.weights.any() and empty.cut == -1.0
+
+
+def test_scoring_holds_a_part_of_the_texts(monkeypatch):
+    """A task that scores one large batch keeps little of it in memory at a time, and scores as in small ones."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from ledgerlens.llm import contexts
+
+    rng = random.Random(2)
+    batch = pd.DataFrame({"row": range(3000), "text": ["".join(rng.choices(["ab ", "cd ", "efg "], k=1200)) for _ in range(3000)]})
+    known = np.unique(grams([t.encode() for t in batch["text"][:50]], 5)[0])
+    ready = (known, np.full(len(known), -0.5), 4, None, np.zeros(16, np.uint64), np.zeros(16))
+    top = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    score = contexts._scorer(SimpleNamespace(value=ready), SimpleNamespace(value=top), 5, 10, 3)
+    tracemalloc.start()
+    found = pd.concat(score([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(found["row"]) == list(range(3000))
+    small = pd.concat(score([batch[:7], batch[7:20]]))
+    assert list(small["score"]) == list(found["score"][:20]) and list(small["n_tokens"]) == list(found["n_tokens"][:20])
+    assert peak < 100 << 20
