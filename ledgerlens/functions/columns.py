@@ -10,6 +10,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, functions as F
 
 INFINITY = float("inf")
+# Unicode's white space, and the four separators U+001C to U+001F
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def strip(c: Column) -> Column:
@@ -17,7 +19,7 @@ def strip(c: Column) -> Column:
 
     That is Unicode's white space and the four separators U+001C to U+001F.
     """
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def strip_upper(c: Column) -> Column:

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..session import shuffle_partitions, stage
+from ..session import packed, shuffle_partitions, stage
 
 HOT_ROWS = 100_000
 SAMPLE_HITS = 1_000
@@ -94,17 +94,19 @@ def _spread(df: DataFrame, columns: Sequence[str], take: Mapping[str, str]) -> D
 
 
 def _neighbours_by_window(df, key, when, row_id, take):
-    by_key = W.partitionBy(key)
-    ordered = by_key.orderBy(F.col(when).asc_nulls_last(), F.col(row_id))
+    by_key = W.partitionBy("_key")
+    ordered = by_key.orderBy(F.col("_when").asc_nulls_last(), F.col("_id"))
+    # the windows pass on a row as one value
+    rows = packed(df, {"_key": F.col(key), "_when": F.col(when), "_id": F.col(row_id), "_taken": _follower(take)})
     return _spread(
-        df.withColumns(
+        rows.withColumns(
             {
                 "purchase_no": F.row_number().over(ordered),
                 "purchase_count": F.count(F.lit(1)).over(by_key),
-                "_next": F.lead(_follower(take)).over(ordered),
+                "_next": F.lead("_taken").over(ordered),
             }
         ),
-        df.columns,
+        [F.col("_row")[c].alias(c) for c in df.columns],
         take,
     )
 
@@ -216,23 +218,28 @@ def _thin_by_island(df, key, when, ids, days):
     first run go to the fold, which reuses the exchange on the key.
     """
     ties = _ties(df, key, when, ids)
-    ordered = W.partitionBy(key).orderBy(F.col(when).asc_nulls_last(), *ties)
-    at, reach = F.col(when), _reach(days)
-    before = F.lag(when).over(ordered)
-    marked = df.withColumns(
+    other = [c for c in df.columns if c not in ties]
+    # the windows pass on a row as two values, of which the first orders the rows of one instant
+    rows = df.select(
+        F.col(key).alias("_key"), F.col(when).alias("_at"), F.struct(ties).alias("_ties"), F.struct(other).alias("_other")
+    )
+    ordered = W.partitionBy("_key").orderBy(F.col("_at").asc_nulls_last(), "_ties")
+    at, reach = F.col("_at"), _reach(days)
+    before = F.lag("_at").over(ordered)
+    marked = rows.withColumns(
         {
             "_start": F.when(before.isNull() | (at >= before + reach), at),
-            "_next": F.lead(when).over(ordered),
+            "_next": F.lead("_at").over(ordered),
         }
     ).withColumn("_from", F.max("_start").over(ordered))
     first_run = at < F.col("_from") + reach
     run_ends = F.col("_next").isNull() | (F.col("_next") >= F.col("_from") + reach)
-    easy = marked.where(at.isNull() | (first_run & run_ends)).select(df.columns)
+    easy = marked.where(at.isNull() | (first_run & run_ends)).select("_ties", "_other")
 
     # rows of one instant make one entry, the last of them
-    last = F.max_by(F.struct(df.columns), F.struct(ties)).alias("_row")
-    instants = marked.where(~first_run).groupBy(key, "_from", at.alias("_at")).agg(last)
-    rest = instants.groupBy(key, "_from").agg(
+    last = F.max_by(F.struct("_ties", "_other"), F.col("_ties")).alias("_row")
+    instants = marked.where(~first_run).groupBy("_key", "_from", "_at").agg(last)
+    rest = instants.groupBy("_key", "_from").agg(
         F.array_sort(F.collect_list(F.struct("_at", "_row")), lambda a, b: F.when(a["_at"] < b["_at"], -1).otherwise(1)).alias("_rows")
     )
     folded = F.aggregate(
@@ -256,7 +263,8 @@ def _thin_by_island(df, key, when, ids, days):
         lambda run: run["kept"],
     )
     hard = rest.select(F.explode(folded).alias("_kept")).select("_kept._row.*")
-    return easy.unionByName(hard)
+    kept = easy.unionByName(hard)
+    return kept.select([F.col("_ties" if c in ties else "_other")[c].alias(c) for c in df.columns])
 
 
 def _thin_by_doubling(df, key, when, ids, days):

@@ -9,7 +9,7 @@ enter the rules as literals. The input should be a staged table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,9 +17,9 @@ from ..functions.columns import (
     differs, first_valid, is_in, is_sentinel, parity_value, plain_number, strip_upper,
     within_tolerance,
 )
-from ..operators.lookup import attach_range, override_first, override_where
+from ..operators.lookup import attach_override, attach_range
 from ..operators.quality import drop_nulls, drop_report, observe_drops
-from ..session import stage
+from ..session import packed, stage
 from .settings import Lookups
 
 # Ids, sentinels and area constants of the cleaning rules.
@@ -41,12 +41,20 @@ MAX_SQM = 1000
 MIN_LAND_SQFT = 1000
 MIN_LAND_SQM = 1500
 SMALLEST_SQFT = 200
+#: How a rule gets a column of the input: by its name, or out of the struct that holds the row.
+Read = Callable[[str], Column]
 ID_TYPE = "derived_contact_identification_type"
 FILLED_PRICES = [
     "non_land_posted_list_price", "non_land_posted_selling_price", "non_land_posted_total_loan_amount",
     "non_land_posted_spa_amount", "non_land_posted_sales_amount", "non_land_posted_total_rebate",
 ]
 AGE = "customer_age"
+AREAS = ["built_up_area_sqft", "built_up_area_sqm", "land_area_sqft", "land_area_sqm"]
+LIMITS = {
+    "_low": "min_area_transformed_to_sqft", "_high": "max_area_transformed_to_sqft",
+    "_mean": "mean_sqft",
+    "_low_sqm": "min_area_transformed_to_sqm", "_high_sqm": "max_area_transformed_to_sqm",
+}
 # in the order in which the rules take them
 STATISTICS = ["customer_gender", "customer_marital_status", AGE, "contact_annual_income"]
 
@@ -186,22 +194,8 @@ def clean_area(
 
     The group means are over rows with a known range only, per build type.
     """
-    limits = {
-        "_low": "min_area_transformed_to_sqft", "_high": "max_area_transformed_to_sqft",
-        "_mean": "mean_sqft",
-        "_low_sqm": "min_area_transformed_to_sqm", "_high_sqm": "max_area_transformed_to_sqm",
-    }
-    on = ["project_name", "phase", "_build"]
-    table = ranges.select(
-        "project_name", "phase", strip_upper(F.col("build_type")).alias("_build"),
-        *[plain_number(F.col(c)).alias(n) for n, c in limits.items()],
-    )
-    area = {c: plain_number(F.col(c)) for c in
-            ("built_up_area_sqft", "built_up_area_sqm", "land_area_sqft", "land_area_sqm")}
-    sqft, sqm, land_sqft, land_sqm = area.values()
-    joined = attach_range(
-        df.withColumn("_build", strip_upper(F.col("build_type"))), table, on, list(limits)
-    ).withColumn("_area", F.when(F.col("_matched"), ranged_area(sqft, sqm, *map(F.col, limits))))
+    joined = _in_range(df.withColumn("_build", _build()), ranges)
+    joined = joined.withColumn("_area", _ranged())
     means = (
         keep(joined)
         .where(F.col("_matched") & F.col("_build").isNotNull())
@@ -209,45 +203,83 @@ def clean_area(
         .agg(F.avg("_area").alias("_group"))
     )
     joined = joined.join(stage(means, "area-means"), "_build", "left")
-    group = F.col("_group")
-    first = F.when(F.col("_matched"), F.col("_area")).otherwise(
-        unranged_area(sqft, sqm, land_sqft, land_sqm, group)
-    )
-    return joined.withColumn(out, repair_area(first, group)).drop(
-        *limits, "_build", "_matched", "_area", "_group"
+    return joined.withColumn(out, _final_area()).drop(*LIMITS, "_build", "_matched", "_area", "_group")
+
+
+def _in_range(df: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Join the limits of the row's project, phase and build type (``_build``)."""
+    table = ranges.select(
+        "project_name", "phase", _build().alias("_build"),
+        *[plain_number(F.col(c)).alias(n) for n, c in LIMITS.items()],
     )
+    return attach_range(df, table, ["project_name", "phase", "_build"], list(LIMITS))
+
 
+def _build() -> Column:
+    return strip_upper(F.col("build_type"))
 
-def upper_columns() -> dict[str, Column]:
+
+def _areas(read: Read) -> list[Column]:
+    return [plain_number(read(c)) for c in AREAS]
+
+
+def _ranged(read: Read = F.col) -> Column:
+    """The area of a row in a known range, else null."""
+    return F.when(F.col("_matched"), ranged_area(*_areas(read)[:2], *map(F.col, LIMITS)))
+
+
+def _final_area(read: Read = F.col) -> Column:
+    group = F.col("_group")
+    first = F.when(F.col("_matched"), F.col("_area")).otherwise(unranged_area(*_areas(read), group))
+    return repair_area(first, group)
+
+
+def upper_columns(read: Read = F.col) -> dict[str, Column]:
     """Texts that are only put into one case."""
     return {
-        "derived_bumi_status": F.upper("customer_bumi_status"),
-        "derived_contact_occupation": strip_upper(F.col("contact_occupation")),
-        "derived_build_type": F.upper("build_type"),
-        "derived_phase_property_type": F.upper("phase_property_type"),
+        "derived_bumi_status": F.upper(read("customer_bumi_status")),
+        "derived_contact_occupation": strip_upper(read("contact_occupation")),
+        "derived_build_type": F.upper(read("build_type")),
+        "derived_phase_property_type": F.upper(read("phase_property_type")),
     }
 
 
-def filled_prices() -> dict[str, Column]:
+def filled_prices(read: Read = F.col) -> dict[str, Column]:
     """Prices with 0 for a missing one."""
-    return {f"derived_{p}": F.coalesce(plain_number(F.col(p)), F.lit(0.0)) for p in FILLED_PRICES}
+    return {f"derived_{p}": F.coalesce(plain_number(read(p)), F.lit(0.0)) for p in FILLED_PRICES}
+
+
+def _looked_up(df: DataFrame, lookups: Lookups) -> DataFrame:
+    """Each row in one struct, with its overrides and area limits; what the joins pass on is narrow."""
+    keys = {c: F.col(c) for c in ("sales_id", "project_name", "phase")}
+    out = packed(df, {**keys, "_build": _build()})
+    out = attach_override(out, lookups.id_type, "sales_id", "derived_id_type", "_own_id_type")
+    out = attach_override(out, lookups.nationality, "sales_id", "derived_nationality", "_own_nationality")
+    out = attach_override(out, lookups.city, "sales_id", "derived_contact_city", "_own_city")
+    return _in_range(out, lookups.area_range)
+
+
+def held(name: str) -> Column:
+    """A column of the row's struct."""
+    return F.col("_row")[name]
 
 
 def _derive(
-    df: DataFrame, lookups: Lookups, known: Mapping[str, Column]
+    df: DataFrame, known: Mapping[str, Column]
 ) -> tuple[DataFrame, list[str], dict[str, list[str]]]:
-    """The rules up to the income, given the statistics.
+    """The rules up to the income, given the statistics, on held rows with their overrides.
 
-    Returns the frame, the columns that must not be null, and for each statistic
+    The columns come in three steps, each of what the one before has made, so that rows are not rebuilt for
+    every rule. Returns the frame, the columns that must not be null, and for each statistic
     those that were there when it is taken.
     """
-    c, upper = F.col, upper_columns()
+    c, upper = held, upper_columns(held)
     done: list[str] = []
     before: dict[str, list[str]] = {}
+    steps: list[dict[str, Column]] = [{}, {}, {}]
 
-    def add(columns: Mapping[str, Column]) -> None:
-        nonlocal df
-        df = df.withColumns(dict(columns))
+    def add(columns: Mapping[str, Column], step: int = 1) -> None:
+        steps[step].update(columns)
         done.extend(columns)
 
     def statistic(name: str) -> Column:
@@ -255,29 +287,24 @@ def _derive(
         return known[name]
 
     # id type, with its override
-    df = df.withColumn(ID_TYPE, c("contact_identification_type"))
-    df = override_where(
-        df, lookups.id_type, "sales_id", ID_TYPE, "derived_id_type", c(ID_TYPE) == "Undefined"
-    )
-    add({ID_TYPE: id_type_rule(c(ID_TYPE), c("contact_purchaser_type"), c("customer_nationality"))})
+    stated = c("contact_identification_type")
+    stated = F.when(stated == "Undefined", F.col("_own_id_type")).otherwise(stated)
+    add({ID_TYPE: id_type_rule(stated, c("contact_purchaser_type"), c("customer_nationality"))}, 0)
     add({"derived_bumi_status": upper["derived_bumi_status"]})
-    id_type = c(ID_TYPE)
+    id_type = F.col(ID_TYPE)
 
     add({"derived_gender": gender_rule(
         id_type, c("customer_gender"), c("contact_gender"), c("contact_nric"), statistic("customer_gender"))})
     add({"derived_marital_status": marital_rule(
         id_type, c("customer_marital_status"), c("contact_marital_status"), statistic("customer_marital_status"))})
     add({"derived_contact_salutation": salutation_rule(
-        id_type, c("contact_salutation"), c("derived_gender"))})
+        id_type, c("contact_salutation"), F.col("derived_gender"))}, 2)
     add({"derived_contact_purchaser_type": purchaser_rule(id_type)})
 
-    nation = "derived_nationality"
-    df = df.withColumn(nation, nationality_rule(c("customer_nationality"), c("contact_nationality")))
-    df = override_where(
-        df, lookups.nationality, "sales_id", nation, "derived_nationality",
-        is_sentinel(c(nation), NO_NATION),
-    )
-    add({nation: F.coalesce(nation, F.lit("OTHERS"))})
+    steps[0]["_nation"] = nationality_rule(c("customer_nationality"), c("contact_nationality"))
+    nation = F.col("_nation")
+    own = F.when(is_sentinel(nation, NO_NATION), F.col("_own_nationality")).otherwise(nation)
+    add({"derived_nationality": F.coalesce(own, F.lit("OTHERS"))})
 
     add({"derived_age": age_rule(
         id_type, c("spa_date"), c("buyer_dob"), c("customer_age"), statistic("customer_age"))})
@@ -286,11 +313,7 @@ def _derive(
     add({"derived_race": race_rule(
         id_type, c("customer_race"), c("contact_race"), c("customer_race_group"))})
 
-    city = "derived_contact_city"
-    df = override_first(
-        df.withColumn(city, c("contact_city")), lookups.city, "sales_id", city, city
-    )
-    add({city: strip_upper(c(city))})
+    add({"derived_contact_city": strip_upper(F.coalesce(F.col("_own_city"), c("contact_city")))})
     add({"derived_contact_staff": status_rule(
         id_type, c("contact_staff"), "Undefined", "Not Staff", fill_null=False)})
     lifestyle = "contact_lifestyle_registration_status"
@@ -298,72 +321,100 @@ def _derive(
         id_type, c(lifestyle), "Undefined", "Non-Registered", fill_null=True)})
     add({"derived_contact_annual_income": income_rule(
         c("contact_annual_income"), statistic("contact_annual_income"))})
+    for columns in steps:
+        df = df.withColumns(columns)
     return df, done, before
 
 
-def _measured(df: DataFrame, before: Mapping[str, list[str]], names: list[str]) -> dict[str, object]:
-    """Modes, and the mean age of persons, each over the rows without a null so far; in one pass."""
-    cells = []
-    for name in names:
+def _measured(
+    df: DataFrame, before: Mapping[str, list[str]], names: list[str], done: list[str]
+) -> tuple[dict[str, object], DataFrame]:
+    """Modes, and the mean age of persons, each over the rows without a null so far; and the mean area per build type
+    over those with a known range and no null in ``done``. In one pass."""
+
+    def there(columns: Sequence[str]) -> Column:
         here = F.lit(True)
-        for x in before[name]:
+        for x in columns:
             here = here & F.col(x).isNotNull()
-        age = plain_number(F.col(name)) if name == AGE else F.lit(None).cast("double")
-        value = F.lit(None).cast("string") if name == AGE else F.col(name).cast("string")
+        return here
+
+    def cell(name: str, here: Column, value: Column, number: Column) -> Column:
+        return F.when(here, F.struct(F.lit(name).alias("name"), value.alias("value"), number.alias("number")))
+
+    cells = []
+    for name in names:
         if name == AGE:
-            here = here & differs(F.col(ID_TYPE), COMPANY)
-        present = age.isNotNull() if name == AGE else value.isNotNull()
-        cells.append(F.when(here & present, F.struct(F.lit(name).alias("name"), value.alias("value"), age.alias("age"))))
-    cell = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*")
-    counts = cell.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("age").alias("total"))
+            age, person = plain_number(held(name)), differs(F.col(ID_TYPE), COMPANY)
+            cells.append(cell(name, there(before[name]) & person & age.isNotNull(), F.lit(None).cast("string"), age))
+        else:
+            value = held(name).cast("string")
+            cells.append(cell(name, there(before[name]) & value.isNotNull(), value, F.lit(None).cast("double")))
+    area = _ranged(held)
+    cells.append(cell("_area", there([*done, "_build"]) & area.isNotNull(), F.col("_build"), area))
+    cell_rows = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*")
+    counts = cell_rows.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("number").alias("total"))
+    counts = stage(counts, "statistics")
     # the most frequent value, the smallest one on ties
     first = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")
     mean = (F.sum("total") / F.sum("n")).alias("mean")
-    found = {r["name"]: r["mean"] if r["name"] == AGE else r["mode"] for r in counts.groupBy("name").agg(first, mean).collect()}
-    return {name: found.get(name) for name in names}
+    rows = counts.where(F.col("name") != "_area").groupBy("name").agg(first, mean).collect()
+    found = {r["name"]: r["mean"] if r["name"] == AGE else r["mode"] for r in rows}
+    means = counts.where("name = '_area'").select(F.col("value").alias("_build"), (F.col("total") / F.col("n")).alias("_group"))
+    return {name: found.get(name) for name in names}, means
 
 
-def _statistics(df: DataFrame, lookups: Lookups) -> dict[str, Column]:
-    """The statistics as literals.
+def _statistics(df: DataFrame) -> tuple[dict[str, Column], DataFrame]:
+    """The statistics as literals, and the mean areas.
 
     A rule is null or not whatever the statistics before it are, as long as they
     are not null; so stand-ins serve to tell which rows are left, and one pass
     takes all. Should one be null, the rest is taken in turn.
     """
     literal = {n: F.lit(1.0) if n == AGE else F.lit("?") for n in STATISTICS}
-    left = list(STATISTICS)
-    while left:
-        frame, _, before = _derive(df, lookups, literal)
-        found = _measured(frame, before, left)
-        while left:
+    left, settled = list(STATISTICS), False
+    while not settled:
+        frame, done, before = _derive(df, literal)
+        found, means = _measured(frame, before, left, done)
+        settled = True
+        while left and settled:
             name = left.pop(0)
             literal[name] = F.lit(found[name]).cast("double" if name == AGE else "string")
-            if found[name] is None:
-                break
-    return literal
-
-
-def _cleaned(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, list[str]]:
-    """All rows with their derived columns, in the fixed order of the rules, and the columns that must not be null."""
-    df, done, _ = _derive(df, lookups, _statistics(df, lookups))
-    upper = upper_columns()
-    df = clean_area(df, lookups.area_range, keep=lambda frame: drop_nulls(frame, done))
+            settled = found[name] is not None
+    return literal, means
+
+
+def _cleaned(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
+    """All held rows with their derived columns, the columns that must not be null, in the fixed order of the rules, and
+    what makes plain rows of those that are left, with the prices."""
+    keys = ["project_name", "phase", "sales_id"]
+    columns = [*keys, *(c for c in df.columns if c not in keys)]
+    rows = _looked_up(df, lookups)
+    literal, means = _statistics(rows)
+    rows, done, _ = _derive(rows.join(means, "_build", "left"), literal)
+    upper, area = upper_columns(held), "derived_built_up_area_sqft"
     late = {
         "derived_build_type": upper["derived_build_type"],
         "derived_phase_property_type": upper["derived_phase_property_type"],
-        "derived_financier_name": financier_rule(F.col("derived_is_cash_buyer"), F.col("financier1_name")),
+        "derived_financier_name": financier_rule(F.col("derived_is_cash_buyer"), held("financier1_name")),
     }
-    return df.withColumns(late), [*done, "derived_built_up_area_sqft", *late]
+    rows = rows.withColumn("_area", _ranged(held)).withColumns({area: _final_area(held), **late})
+    done = [*done, area, *late]
+
+    def plain(left: DataFrame) -> DataFrame:
+        there = [F.col(c) if c in done else held(c).alias(c) for c in columns]
+        return left.select(*there, *[c for c in done if c not in columns]).withColumns(filled_prices())
+
+    return rows, done, plain
 
 
 def clean(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
     """(cleaned rows, report of dropped rows); the report is a pass of its own."""
-    df, done = _cleaned(df, lookups)
-    return drop_nulls(df, done).withColumns(filled_prices()), drop_report(df, done, "clean")
+    rows, done, plain = _cleaned(df, lookups)
+    return plain(drop_nulls(rows, done)), drop_report(rows, done, "clean")
 
 
 def clean_observed(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, Callable[[], DataFrame]]:
     """(cleaned rows, their report); it can be read once the rows have been written, and costs no pass."""
-    df, done = _cleaned(df, lookups)
-    kept, report = observe_drops(df, done, "clean")
-    return kept.withColumns(filled_prices()), report
+    rows, done, plain = _cleaned(df, lookups)
+    kept, report = observe_drops(rows, done, "clean")
+    return plain(kept), report

@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import not_in_keep_null, ratio_band, safe_ratio, strip_upper
-from ..operators.lookup import attach_group, attach_mapped, mapping_table, require_unique_keys
+from ..operators.lookup import UNMAPPED, attach_group, mapping_table, require_unique_keys
 from ..operators.quantiles import Cut, bin_columns
-from ..session import stage
+from ..session import packed, stage, unpacked
 from .clean import COMPANY, ID_TYPE, NOT_APPLICABLE
 from .settings import DROPPED_SALES
 
@@ -19,6 +19,8 @@ YEARS_TO_COMPLETE = {
     "LANDED": 3, "RSKU": 3, "HIGH RISE": 4, "COMMERCIAL": 2, "INDUSTRIAL": 2,
 }
 NEW_BELOW, DEVELOPING_TO = 5, 10
+# The groups whose first date counts.
+AGED = ["phase", "project_name"]
 
 # Column, mapping table, output, is the table's key normalised.
 GROUPS = [
@@ -74,28 +76,44 @@ def years_since_first(
 
 
 def add_features(df: DataFrame) -> DataFrame:
-    source = df
-    df = df.withColumn(
-        "derived_rebate_percentage",
-        safe_ratio(
-            F.col("derived_non_land_posted_total_rebate"),
-            F.col("derived_non_land_posted_selling_price"),
-        ),
-    )
-    df = years_since_first(df, "project_name", "spa_date", "_project_years", source)
-    df = years_since_first(df, "phase", "spa_date", "_phase_years", source)
-    return df.withColumns(
+    rows = _firsts(packed(df, {c: F.col(c) for c in AGED}), df)
+    return _featured(rows, df.columns)
+
+
+def _firsts(rows: DataFrame, source: DataFrame) -> DataFrame:
+    """Packed rows with the first date of their phase and their project."""
+    for group in AGED:
+        rows = attach_group(rows, group, {f"_{group}_first": F.min("spa_date")}, source)
+    return rows
+
+
+def _featured(rows: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
+    """Plain rows with their features, and ``more``, of packed rows with first dates."""
+    firsts = [f"_{group}_first" for group in AGED]
+
+    def years(group: str) -> Column:
+        return F.year("spa_date") - F.year(f"_{group}_first")
+
+    order = [*AGED, *(c for c in columns if c not in AGED)]
+    return unpacked(rows, order, *map(F.col, firsts), *more).withColumns(
         {
-            "derived_township_maturity": maturity(F.col("_project_years")),
-            "derived_completion_status": completion(
-                F.col("derived_phase_property_type"), F.col("_phase_years")
+            "derived_rebate_percentage": safe_ratio(
+                F.col("derived_non_land_posted_total_rebate"),
+                F.col("derived_non_land_posted_selling_price"),
             ),
+            "derived_township_maturity": maturity(years("project_name")),
+            "derived_completion_status": completion(F.col("derived_phase_property_type"), years("phase")),
         }
-    ).drop("_project_years", "_phase_years")
+    ).drop(*firsts)
+
 
+def group_values(
+    df: DataFrame, mappings: dict[str, DataFrame], features: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(grouped rows, report of values without a target).
 
-def group_values(df: DataFrame, mappings: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(grouped rows, report of values without a target)."""
+    With ``features`` those of ``add_features`` are added too, so that rows are packed and unpacked once.
+    """
     missing = [name for _, name, _, _ in GROUPS if name not in mappings]
     if missing:
         raise ValueError(f"missing mapping tables {missing}")
@@ -109,10 +127,17 @@ def group_values(df: DataFrame, mappings: dict[str, DataFrame]) -> tuple[DataFra
         )
     # one small staged table for all mappings
     staged = stage(reduce(DataFrame.unionByName, tables), "mappings")
-    out = df
-    for column, name, target, _ in GROUPS:
-        table = staged.where(F.col("_name") == name).drop("_name")
-        out = attach_mapped(out, column, table, target)
+    # the joins pass on a row as one value
+    keys = {f"_{name}_key": strip_upper(F.col(column)) for column, name, _, _ in GROUPS}
+    rows = _firsts(packed(df, {**keys, **{c: F.col(c) for c in AGED}}), df) if features else packed(df, keys)
+    for _, name, _, _ in GROUPS:
+        table = staged.where(F.col("_name") == name)
+        table = table.select(F.col("_key").alias(f"_{name}_key"), F.col("_value").alias(f"_{name}"))
+        rows = rows.join(table, f"_{name}_key", "left")
+    mapped = {target: F.coalesce(f"_{name}", F.lit(UNMAPPED)) for _, name, target, _ in GROUPS}
+    names = [f"_{name}" for _, name, _, _ in GROUPS]
+    out = (_featured if features else unpacked)(rows, df.columns, *map(F.col, names))
+    out = out.withColumns(mapped).drop(*names)
     report = _unmapped(df, staged)
     income = "group_derived_contact_annual_income"
     company = F.col(ID_TYPE) == COMPANY

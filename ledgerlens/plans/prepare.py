@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import differs
 from ..operators.quality import REPORT_SCHEMA
 from ..operators.sequence import HOT_ROWS
-from ..session import delete_path, path_exists, stage, staging
+from ..session import delete_path, path_exists, stage, staging, wide_rows
 from ..sources.sinks import write_stage
 from . import manifest
 from .clean import clean_observed
@@ -48,7 +48,7 @@ def prepare(
             last = manifest.last_finished(spark, settings.save_dir, facts)
         else:
             manifest.forget(spark, settings.save_dir)
-    with staging() as staged:
+    with wide_rows(spark), staging() as staged:
         done = _phases(raw, lookups, settings, hot_rows, facts, last)
         staged.keep(done.rows, done.evaluation, done.report)
     return done
@@ -94,10 +94,11 @@ def _phases(
         cleaned, dropped = clean_observed(df, replace(lookups, **fixed))
         df = keep(cleaned, "clean", barrier=True)
         reports.append(dropped())
-    if missing("features"):
+    if missing("features") and save_dir:
         df = keep(add_features(df), "features")
     if missing("group"):
-        grouped, unmapped = group_values(df, lookups.mappings)
+        # a table of features is made only to be kept
+        grouped, unmapped = group_values(df, lookups.mappings, features=not save_dir)
         df = keep(grouped, "group", barrier=True)
         # its tables are small; what it is made from need not stay for it
         reports.append(stage(unmapped, "unmapped"))

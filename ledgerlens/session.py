@@ -11,12 +11,12 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -124,6 +124,42 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return out
 
 
+WHOLE_STAGE = "spark.sql.codegen.wholeStage"
+_wide_lock = threading.Lock()
+_wide: list[tuple[SparkSession, str]] = []
+
+
+@contextmanager
+def wide_rows(spark: SparkSession) -> Iterator[None]:
+    """For actions on rows of many columns: the operators of their stages are not compiled into one method.
+
+    That method is longer than what the JVM compiles (8,000 bytes), so it would be interpreted for every row; single
+    expressions and projections are split into short methods. Blocks may overlap in several threads; the last to end
+    puts the setting back.
+    """
+    with _wide_lock:
+        _wide.append((spark, spark.conf.get(WHOLE_STAGE)) if not _wide else _wide[0])
+        spark.conf.set(WHOLE_STAGE, "false")
+    try:
+        yield
+    finally:
+        with _wide_lock:
+            first, before = _wide.pop()
+            if not _wide:
+                first.conf.set(WHOLE_STAGE, before)
+
+
+def packed(df: DataFrame, flat: Mapping[str, Column], into: str = "_row") -> DataFrame:
+    """The columns ``flat``, and all of ``df`` in one struct: joins then pass on a row as one value."""
+    whole = F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns])
+    return df.select(*[c.alias(n) for n, c in flat.items()], whole.alias(into))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], *more: Column, into: str = "_row") -> DataFrame:
+    """The struct's columns in the order given, then ``more``."""
+    return df.select(*[F.col(into)[c].alias(c) for c in columns], *more)
+
+
 def release(*frames: DataFrame) -> None:
     """Delete the tables of staged frames that nothing will read again; other frames are left alone."""
     for df in frames:

@@ -89,3 +89,13 @@ def test_na_tokens_agree_with_pandas(value, expected):
 
     assert (value in NA_TOKENS) is expected
     assert bool(pd.read_csv(io.StringIO(f"x,y\n{value},1\n"))["x"].isna()[0]) is expected
+
+
+def test_strip_takes_the_white_space_of_every_code_point(spark):
+    """The same characters as Unicode's white space in a regular expression, at both ends only."""
+    rows = [(chr(i),) for i in range(1, 0x3100)]
+    codes = spark.createDataFrame(rows, "c string")
+    text = F.concat("c", "c", F.lit("a"), "c", F.lit("b"), "c")
+    by_pattern = F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    assert codes.where(~strip(text).eqNullSafe(by_pattern)).isEmpty()
+    assert codes.where(F.length(strip(text)) == 3).count() == 29

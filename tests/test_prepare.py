@@ -168,3 +168,45 @@ def test_labels(spark):
     assert out[2].label == 1 and out[2].repeat_spa_date is None and out[2].repeat_phase_property_type is None
     assert out[4].label == 0 and out[4].purchase_no == 3
     assert (out[3].label, out[3].repeat_sales_id, out[3].repeat_spa_stamp_date) == (0, "NOT APPLICABLE", end)
+
+
+def test_rows_stay_packed_from_one_join_to_the_next(raw, lookups):
+    """No join or window of the cleaning and the grouping passes on a plain wide row."""
+    one_view = raw.where("date_type = 'spa_date_type'").drop("date_type")
+    cleaned = clean(one_view, lookups)[0]
+    grouped, _ = group_values(cleaned, lookups.mappings, features=True)
+    for df in (cleaned, grouped):
+        plan = df._jdf.queryExecution().optimizedPlan()
+        joins = [plan.p(i) for i in range(plan.treeString().count("\n")) if plan.p(i) is not None and plan.p(i).nodeName() == "Join"]
+        assert joins
+        assert max(j.output().size() for j in joins) < len(one_view.columns) / 2
+
+
+def test_features_with_the_groups_are_those_on_their_own(cleaned, lookups):
+    apart, lost = group_values(add_features(cleaned[0]), lookups.mappings)
+    together, lost_too = group_values(cleaned[0], lookups.mappings, features=True)
+    assert apart.columns == together.columns
+    assert sorted(map(str, apart.collect())) == sorted(map(str, together.collect()))
+    assert sorted(map(str, lost.collect())) == sorted(map(str, lost_too.collect()))
+
+
+def test_preparation_compiles_no_whole_stages_and_puts_the_setting_back(raw, lookups, monkeypatch):
+    import ledgerlens.plans.prepare as module
+
+    name, seen = "spark.sql.codegen.wholeStage", []
+    before = raw.sparkSession.conf.get(name)
+    plain = module.stage
+    monkeypatch.setattr(module, "stage", lambda df, label: seen.append(df.sparkSession.conf.get(name)) or plain(df, label))
+    prepare(raw, lookups, SETTINGS)
+    assert seen and set(seen) == {"false"}
+    assert raw.sparkSession.conf.get(name) == before
+
+
+def test_mean_areas_come_with_the_statistics(raw, lookups, monkeypatch):
+    """One pass over the rows before they are written, not one for the statistics and one for the areas."""
+    import ledgerlens.plans.clean as module
+
+    labels, plain = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, label: labels.append(label) or plain(df, label))
+    clean(raw.where("date_type = 'spa_date_type'").drop("date_type"), lookups)
+    assert labels == ["statistics"]
