@@ -1,20 +1,16 @@
-"""Token pieces and best-fit packing in bulk-synchronous rounds."""
+"""Token pieces and best-fit packing by the counts of their sizes."""
 
 from __future__ import annotations
 
-import math
+from bisect import bisect_left, insort
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import release, shuffle_partitions, stage, tidied
+from ledgerlens.session import shuffle_partitions, stage, tidied
 
-from .common import exclusive_sums, fresh, others
+from .common import fresh, others
 
-#: Pieces for each gap from which gaps are cut into slots, so that tiny pieces need few rounds.
-CROWDED = 3
-#: Sequences that are opened together.
-OPENED = 1 << 16
 #: Words whose ids a worker process keeps, first come first kept; about 150 MB.
 KEPT_WORDS = 600_000
 
@@ -115,47 +111,72 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity
     return rows.mapInPandas(_piece_maker(tokenizer, capacity, end, keep_ids), f"{kinds}, {PIECES}")
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
-    """Adds ``level``: how many documents, less gaps, stand at or before a document, or before
-    a gap, in the order of size (documents first in a size); each run on its own."""
-    kinds = Window.partitionBy("run").orderBy("size", "is_gap").rowsBetween(Window.unboundedPreceding, -1)
-    step = F.sum(F.when(F.col("is_gap"), -1).otherwise(1))
-    classes = rows.groupBy("run", "size", "is_gap").agg(step.alias("step"))  # two for each size of a run at most
-    classes = classes.select("run", "size", "is_gap", F.coalesce(F.sum("step").over(kinds), F.lit(0)).alias("from"))
-    # rows of one size may be a third of all
-    parts = shuffle_partitions(rows.sparkSession)
-    rows = rows.withColumns({"part": F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"), "one": F.lit(1).cast("long")})
-    rows = exclusive_sums(rows, ["run", "size", "is_gap"], ["part"], ["id"], {"rank": "one"}).join(classes, ["run", "size", "is_gap"])
-    return rows.withColumn("level", F.when(F.col("is_gap"), F.col("from") - F.col("rank")).otherwise(F.col("from") + F.col("rank") + 1))
+def best_fit(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """Best fit, largest first, of ``n`` pieces of each size: (size, before, each, first, offset) for each step.
 
+    Sequences with equal gaps that follow each other are filled as one: of the pieces of a size, those from place
+    ``before`` on go to sequence ``first`` and the next ones, ``each`` in a sequence, from ``offset`` on. Pieces of a size go
+    one by one to the smallest gap that they fit, or to a new sequence; where that leaves a gap that they fit, it is
+    the smallest, so a sequence takes as many as it can. The work depends on the number of sizes, not on that of pieces.
+    """
+    steps: list[tuple[int, int, int, int, int]] = []
+    spans: dict[int, list[tuple[int, int]]] = {}
+    gaps: list[int] = []
+    opened = 0
+
+    def put(gap, first, many):
+        if gap and many:
+            if gap not in spans:
+                insort(gaps, gap)
+                spans[gap] = []
+            spans[gap].append((first, many))
+
+    for size, n in sorted(counts, reverse=True):
+        done = 0
+        while done < n:
+            at = bisect_left(gaps, size)
+            if at < len(gaps):
+                gap = gaps[at]
+                first, many = spans[gap].pop()
+                if not spans[gap]:
+                    del spans[gap], gaps[at]
+            else:
+                gap, first, many = capacity, opened, -(-(n - done) // (capacity // size))
+                opened += many
+            each = gap // size
+            full = min(many, (n - done) // each)
+            # where the pieces end, one sequence takes fewer
+            for of, taking in ((full, each), (min(many - full, 1), n - done - full * each)):
+                if of and taking:
+                    steps.append((size, done, taking, first, capacity - gap))
+                    put(gap - taking * size, first, of)
+                    first, many, done = first + of, many - of, done + of * taking
+            put(gap, first, many)
+    return steps
+
+
+def _planner(capacity: int):
+    def plan(counts):
+        import pandas as pd
 
-def _matched(docs: DataFrame, gaps: DataFrame) -> DataFrame:
-    """(id, sequence_id): each gap with the largest document that fits and that no smaller gap has.
+        steps = best_fit([*zip(counts["size"].tolist(), counts["n"].tolist())], capacity)
+        made = pd.DataFrame(steps, columns=["size", "before", "each", "first", "offset"])
+        made.insert(0, "run", counts["run"].iloc[0])
+        return made
 
-    Going up through the sizes a document opens a level and a gap closes one, so a gap belongs to
-    the document before it on its level: the one successor of both. Ties go by rank.
-    """
-    none = F.lit(None).cast("long")
-    both = docs.select("run", "size", F.lit(False).alias("is_gap"), "id", none.alias("sequence_id")).unionByName(
-        gaps.select("run", "size", F.lit(True).alias("is_gap"), "id", "sequence_id")
-    )
-    # on a level documents and gaps take turns, with one row of a size and kind at most
-    turns = Window.partitionBy("run", "level").orderBy("size", "is_gap")
-    ranked = _ranked(both).withColumn("to", F.lead("sequence_id").over(turns))
-    return ranked.where("not is_gap and to is not null").select("id", F.col("to").alias("sequence_id"))
+    return plan
 
 
 @tidied
 def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length", run: str | None = None) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of 1 to ``capacity`` tokens.
 
-    Rounds on the whole table: pieces and gaps are sorted by size, each gap gets the largest piece that
-    fits it best, gaps shrink, and the rest goes on. Pieces of more than half a sequence open one each,
-    and as many more are opened as the tokens need at least; a round that places few opens more. When
-    pieces crowd, gaps are cut into equal slots for the round, so that rounds grow with the
-    logarithm of the pieces in a sequence. Every round is written to the shared folder. With ``run``, a column
-    of whole numbers from 0, a sequence has pieces of one run only: all runs are packed at once, each on its own, which
-    costs a sequence or two for each run.
+    Best fit, largest first: a piece goes to the sequence with the smallest gap that it fits, or opens one. Pieces of one size
+    are alike, so the steps are made from how many there are of each, at most ``capacity`` numbers a run, in one
+    small task for each run; each piece then finds its step by its place among those of its size. Pieces are
+    exchanged for that place and never grouped by size alone, so one size may have most of them. With ``run``, a
+    column of whole numbers from 0, a sequence has pieces of one run only: all runs are packed at once, each on its own,
+    which costs a sequence or two for each run.
 
     Input columns of these names are replaced. A null length, or one outside the range, is an error; a null run is 0.
     No rows: no rows. Equal rows may swap places.
@@ -163,60 +184,31 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, length: str = "length
     bad = F.raise_error(F.lit("a piece must have 1 to capacity tokens")).cast("long")
     fits = F.col(length).isNotNull() & F.col(length).between(1, capacity)
     names = others(pieces, "sequence_id", "offset")
-    piece, own, of = fresh(pieces, "_piece", "_size", "_run")
-    part = F.coalesce(F.col(run).cast("long"), F.lit(0).cast("long")) if run else F.lit(0).cast("long")
-    pieces = pieces.select(*names, F.when(fits, F.col(length).cast("long")).otherwise(bad).alias(own), F.monotonically_increasing_id().alias(piece), part.alias(of))
+    piece, own, of, part, place, steps = fresh(pieces, "_piece", "_size", "_run", "_part", "_place", "_steps")
+    owner = F.coalesce(F.col(run).cast("long"), F.lit(0).cast("long")) if run else F.lit(0).cast("long")
+    pieces = pieces.select(*names, F.when(fits, F.col(length).cast("long")).otherwise(bad).alias(own), F.monotonically_increasing_id().alias(piece), owner.alias(of))
     pieces = stage(pieces, "pieces")
-    rest = pieces.select(F.col(piece).alias("id"), F.col(own).alias("size"), F.col(of).alias("run"))
-    # a piece over half a sequence opens its own; its number is its id's complement
-    big = rest.where(f"size * 2 > {capacity}").select("id", (-F.col("id") - 1).alias("sequence_id"), "size", "run")
-    placed = [big.select("id", "sequence_id")]
-    gaps = stage(big.select("sequence_id", (F.lit(capacity) - F.col("size")).alias("size"), "run").where("size > 0"), "gaps")
-    # as many sequences as the tokens of each run need at least, less those that are open
-    need = F.ceil(F.sum("size") / capacity) - F.count_if(F.col("size") * 2 > capacity)
-    wanted = stage(rest.groupBy("run").agg(need.alias("n")).where("n > 0"), "wanted")
-    rest = stage(rest.where(f"size * 2 <= {capacity}"), "rest")
-    held, opened = [gaps], 0
-    before = None
-    while True:
-        if wanted is not None:
-            # numbers of one run follow each other, made in parts by many tasks; the run stands in the upper bits
-            part = F.explode(F.expr(f"sequence(0L, (n - 1) div {OPENED})"))
-            new = wanted.select("run", "n", part.alias("p")).repartition("run", "p")
-            new = new.select("run", F.explode(F.expr(f"sequence(p * {OPENED}, least((p + 1) * {OPENED}, n) - 1)")).alias("k"))
-            new = new.select(F.expr(f"run * {1 << 40} + {opened} + k").alias("sequence_id"), F.lit(capacity).cast("long").alias("size"), "run")
-            gaps, opened, wanted = gaps.unionByName(new), opened + (wanted.agg(F.max("n")).first()[0] or 0), None
-        size, none = F.col("size"), F.lit(None).cast("long")
-        both = rest.select(size.alias("piece"), none.alias("gap")).unionByName(gaps.select(none.alias("piece"), size.alias("gap")))
-        left = both.agg(F.count("piece").alias("pieces"), F.sum("piece").alias("tokens"), F.min("piece").alias("least"), F.max("piece").alias("most"), F.count("gap").alias("gaps")).first()
-        if not left["pieces"]:
-            break
-        if before is not None and left["pieces"] > 0.9 * before:
-            # few were placed: what is left is larger than most gaps
-            wanted, before = stage(rest.groupBy("run").agg(F.ceil(F.sum("size") / capacity).alias("n")), "wanted"), None
-            continue
-        before = left["pieces"]
-        # a crowded gap is cut: one slot for the largest piece left, equal ones of the mean or more
-        crowd = left["pieces"] // max(left["gaps"], 1)
-        first = F.least(size, F.greatest(F.call_function("div", size, F.lit(2)), F.lit(left["most"])))
-        mean = math.ceil(left["tokens"] / left["pieces"])
-        parts = F.least(F.lit(crowd), F.call_function("div", size - first, F.lit(mean))).cast("int")
-        equal = F.array_repeat(F.call_function("div", size - first, F.greatest(parts, F.lit(1))), parts)
-        cuts = F.concat(F.array(first), equal) if crowd >= CROWDED else F.array(size)
-        slot = gaps.where(size >= left["least"]).select("run", "sequence_id", F.posexplode(cuts).alias("k", "size"))
-        slot = slot.select("run", "sequence_id", "size", F.xxhash64("sequence_id", "k").alias("id"))
-        found = stage(_matched(rest, slot).join(rest.select("id", "size"), "id"), "placed")
-        placed.append(found.select("id", "sequence_id"))
-        taken = found.groupBy("sequence_id").agg(F.sum("size").alias("taken"))
-        shrunk = gaps.join(taken, "sequence_id", "left").select("sequence_id", (size - F.coalesce("taken", F.lit(0))).alias("size"), "run")
-        # the least piece never gets smaller
-        old, gaps = [*held, rest], stage(shrunk.where(size >= left["least"]), "gaps")
-        rest, held = stage(rest.join(found.select("id"), "id", "left_anti"), "rest"), [gaps]
-        release(*old)
-    where = placed[0]
-    for x in placed[1:]:
-        where = where.unionByName(x)
-    out = pieces.join(where.select(F.col("id").alias(piece), "sequence_id"), piece)
-    before = Window.partitionBy("sequence_id").orderBy(F.col(own).desc(), piece).rowsBetween(Window.unboundedPreceding, -1)
-    out = out.withColumn("offset", F.coalesce(F.sum(own).over(before), F.lit(0)).cast("long"))
-    return out.select(*names, "sequence_id", "offset")
+    # pieces of one size may be a third of all
+    parts = shuffle_partitions(pieces.sparkSession)
+    pieces = pieces.withColumn(part, F.pmod(F.xxhash64(piece), F.lit(parts)).cast("int"))
+    shares = pieces.groupBy(F.col(of).alias("run"), F.col(own).alias("size"), F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    shares = stage(shares, "shares")
+    counts = shares.groupBy("run", "size").agg(F.sum("n").alias("n"))
+    made = counts.groupBy("run").applyInPandas(_planner(capacity), "run long, size long, before long, each long, first long, offset long")
+    made = made.groupBy("run", "size").agg(F.sort_array(F.collect_list(F.struct("before", "each", "first", "offset"))).alias("steps"))
+    # the steps that a share's places reach: from the last that begins up to its first place
+    upto = Window.partitionBy("run", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.withColumn("from", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    early = F.size(F.filter("steps", lambda s: s["before"] <= F.col("from")))
+    reached = F.size(F.filter("steps", lambda s: s["before"] < F.col("from") + F.col("n")))
+    shares = shares.join(made, ["run", "size"])
+    shares = stage(shares.select(F.col("run").alias(of), F.col("size").alias(own), F.col("part").alias(part), F.col("from").alias(place), F.slice("steps", early, reached - early + 1).alias(steps)), "steps")
+    within = Window.partitionBy(of, own, part).orderBy(piece)
+    out = pieces.withColumn(piece, F.row_number().over(within) - 1).join(shares, [of, own, part])
+    out = out.withColumn(place, F.col(place) + F.col(piece))
+    out = out.withColumn(steps, F.element_at(F.filter(steps, lambda s: s["before"] <= F.col(place)), -1))
+    step, ahead = F.col(steps), F.col(place) - F.col(steps)["before"]
+    # the run stands in the upper bits
+    sequence = F.col(of) * F.lit(1 << 40) + step["first"] + F.call_function("div", ahead, step["each"])
+    offset = step["offset"] + ahead % step["each"] * F.col(own)
+    return out.select(*names, sequence.alias("sequence_id"), offset.alias("offset"))

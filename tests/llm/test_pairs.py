@@ -5,7 +5,7 @@ import math
 import random
 import zlib
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -17,7 +17,7 @@ from ledgerlens.llm.darts import drop_near_duplicates, near_duplicates, throw
 from ledgerlens.llm.fingerprints import SAMPLES, Sampler, edited, fingerprints
 from ledgerlens.llm.hashing import Shingler
 from ledgerlens.llm.neighbours import _borders, _forest, link_near_vectors, passes_for
-from ledgerlens.llm.packing import pack_best_fit, token_pieces, word_ids
+from ledgerlens.llm.packing import best_fit, pack_best_fit, token_pieces, word_ids
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -382,3 +382,51 @@ def test_packing_by_runs(spark):
     for spans in ends.values():
         spans.sort()
         assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and spans[-1][1] <= 4096
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_best_fit_by_counts(seed):
+    """The steps made from the counts of sizes are those of a search for each piece on its own."""
+    rng = random.Random(seed)
+    capacity = rng.choice([10, 97, 400])
+    sizes = [max(1, min(capacity, int(rng.expovariate(3 / capacity)))) for _ in range(rng.choice([1, 50, 2000]))]
+    left = []
+    for s in sorted(sizes, reverse=True):
+        fitting = [(gap, i) for i, gap in enumerate(left) if gap >= s]
+        if fitting:
+            left[min(fitting)[1]] -= s
+        else:
+            left.append(capacity - s)
+    counts = Counter(sizes)
+    filled, placed = defaultdict(int), Counter()
+    steps = best_fit([*counts.items()], capacity)
+    ends = [b[1] if b[0] == a[0] else counts[a[0]] for a, b in zip(steps, [*steps[1:], (0, 0)])]
+    for (size, before, each, first, offset), end in zip(steps, ends):
+        assert before == placed[size] and (end - before) % each == 0
+        for sequence in range(first, first + (end - before) // each):
+            assert filled[sequence] == offset
+            filled[sequence] += each * size
+        placed[size] = end
+    assert placed == counts and sorted(filled.values()) == sorted(capacity - gap for gap in left)
+
+
+def test_packing_takes_few_jobs(spark):
+    """Plans of many rounds filled the driver's memory: their number depends on the pieces no more."""
+    rng = random.Random(5)
+    lengths = [min(4096, int(rng.expovariate(1 / 400)) + 1) for _ in range(20_000)]
+    pieces = spark.createDataFrame([*enumerate(lengths)], "id long, length long").repartition(5)
+    context = spark.sparkContext
+    context.setJobGroup("packing", "packing")
+    try:
+        rows, groups = packed(pieces, 4096)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r["id"] for r in rows) == list(range(len(lengths))) and len(groups) <= 1.002 * sum(lengths) / 4096 + 1
+    assert len(context.statusTracker().getJobIdsForGroup("packing")) <= 20
+
+
+def test_packing_one_size_for_most(spark):
+    """Places among the pieces of one size are gapless over all of their shares."""
+    pieces = spark.range(0, 30_000, numPartitions=7).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 90 + 1).otherwise(7).alias("length"))
+    rows, groups = packed(pieces, 100)
+    assert len(rows) == 30_000 and len(groups) <= 1.02 * sum(r["length"] for r in rows) / 100 + 1
