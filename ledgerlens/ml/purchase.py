@@ -40,8 +40,11 @@ class Ensemble:
 
     def score(self, df: DataFrame, threshold: float) -> DataFrame:
         """Add probability and predicted label; all members in one pass, no joins
-        (knn members join their votes)."""
+        (knn members and forests join their votes)."""
         out = encode(self.encoder, df)
+        if any(m.votes for m in self.members):
+            # each of them reads the vectors
+            out = stage(out, "asked")
         parts = [f"_p{i}" for i in range(len(self.members))]
         for member, c in zip(self.members, parts):
             out = member.score(out, c)
